@@ -1,0 +1,41 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+class TooLargeToBroadcast(ValueError):
+    pass
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows, so the check itself stays cheap on big inputs."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_bounded(left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = 100_000) -> DataFrame:
+    """Join that broadcasts ``right`` only when its row count is proven to be
+    at most ``max_rows``; otherwise a regular shuffle join (AQE may still
+    switch strategies at run time from real sizes)."""
+    if bounded_rows(right, max_rows):
+        return left.join(F.broadcast(right), on, how)
+    return left.join(right, on, how)
+
+
+def require_bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
+    """Raise unless ``df`` is small enough to be broadcast or collected."""
+    if not bounded_rows(df, max_rows):
+        raise TooLargeToBroadcast(f"{what}: more than {max_rows} rows")
+    return df
+
+
+def one_row_cross(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a single-row aggregate to every row of ``df``.
+
+    ``one_row`` is a global aggregate (exactly one row by construction), so
+    the broadcast is size-bounded and no row pairs are formed.
+    """
+    return df.join(F.broadcast(one_row), how="cross")
