@@ -143,3 +143,7 @@ def segment_parts_q(spark, sf_dir):
 @register("features", S.with_app_log("SELECT * FROM feat", features=True))
 def features_q(spark, sf_dir):
     return features(spark, sf_dir)
+
+
+# Register the remaining query groups (they import ``register`` from here).
+from . import q_ingest, q_quality  # noqa: E402,F401
