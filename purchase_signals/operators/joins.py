@@ -31,11 +31,3 @@ def require_bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
         raise TooLargeToBroadcast(f"{what}: more than {max_rows} rows")
     return df
 
-
-def one_row_cross(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a single-row aggregate to every row of ``df``.
-
-    ``one_row`` is a global aggregate (exactly one row by construction), so
-    the broadcast is size-bounded and no row pairs are formed.
-    """
-    return df.join(F.broadcast(one_row), how="cross")

@@ -14,11 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from .joins import join_bounded
 from .quality import medians_struct, numeric_columns, string_columns
 
-MAX_CLASSES = 64
-
 
 def drop_present(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop the columns that exist (P5); absent names are ignored."""
@@ -64,7 +61,8 @@ def _kth_threshold(h: DataFrame, label: str, share: float) -> DataFrame:
     # bucket holding the k-th value, and the rank inside it
     pick = (cum.where((F.col("cum") >= k) & (F.col("cum") - F.col("cnt") < k))
             .select(label, "hi", (k - (F.col("cum") - F.col("cnt"))).alias("r")))
-    inner = join_bounded(hi, pick, [label, "hi"], "inner", MAX_CLASSES)
+    # ``pick`` has one row per class: AQE broadcasts it from its runtime size.
+    inner = hi.join(pick, [label, "hi"], "inner")
     per_lo = (inner.withColumn("lo", F.col("h").bitwiseAND(F.lit(0xFFFF)))
               .groupBy(label, "hi", "r", "lo").agg(F.count(F.lit(1)).alias("cnt")))
     w2 = Window.partitionBy(label).orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -79,7 +77,7 @@ def stratified_split(df: DataFrame, key_cols: list[str], label: str = C.TARGET,
     smallest hash (all rows tied at the threshold go to test)."""
     h = df.withColumn("h", split_hash(key_cols, seed))
     thr = _kth_threshold(h.select(label, "h"), label, test_share)
-    out = join_bounded(h, thr, label, "left", MAX_CLASSES)
+    out = h.join(thr, label, "left")
     return out.withColumn("is_test", F.coalesce(F.col("h") <= F.col("threshold"), F.lit(False))).drop("threshold")
 
 
@@ -90,11 +88,12 @@ def impute(df: DataFrame, fit: DataFrame | None = None, cols: list[str] | None =
     fit = fit if fit is not None else df
     cols = cols or [c for c in numeric_columns(df) if c != C.TARGET]
     bools = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
-    m = medians_struct(fit, cols, exact)
-    filled = {c: F.coalesce(F.col(c), m[c].cast(df.schema[c].dataType)) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
-              else F.coalesce(F.col(c).cast("double"), m[c]) for c in cols}
+    # Bind the subquery once as a column; every feature reads that column.
+    df = df.withColumn("_medians", medians_struct(fit, cols, exact))
+    m = F.col("_medians")
+    filled = {c: F.coalesce(F.col(c).cast("double"), m[c]) for c in cols}
     filled.update({b: F.coalesce(F.col(b), F.lit(False)) for b in bools})
-    return df.withColumns(filled)
+    return df.withColumns(filled).drop("_medians")
 
 
 def scaler_fit(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -120,15 +119,18 @@ def scale_struct(df: DataFrame, cols: list[str]) -> Column:
 
 def apply_scaler(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -> DataFrame:
     """(x - mean) / scale with the parameters of ``fit``."""
-    s = scale_struct(fit if fit is not None else df, cols)
-    return df.withColumns({c: (F.col(c).cast("double") - s[c]["mean"]) / s[c]["scale"] for c in cols})
+    df = df.withColumn("_scaler", scale_struct(fit if fit is not None else df, cols))
+    s = F.col("_scaler")
+    return df.withColumns({c: (F.col(c).cast("double") - s[c]["mean"]) / s[c]["scale"] for c in cols}).drop("_scaler")
 
 
 def apply_scaler_table(df: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
     """(x - mean) / scale from a stored scaler table (pos, feature, mean,
     scale); one row per feature, so the map is bounded by the model width."""
-    params = scaler.select(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale"))))).scalar()
-    return df.withColumns({c: (F.col(c).cast("double") - params[c]["mean"]) / params[c]["scale"] for c in cols})
+    df = df.withColumn("_scaler", scaler.select(
+        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale"))))).scalar())
+    p = F.col("_scaler")
+    return df.withColumns({c: (F.col(c).cast("double") - p[c]["mean"]) / p[c]["scale"] for c in cols}).drop("_scaler")
 
 
 def align_features(df: DataFrame, feature_names: list[str]) -> DataFrame:
@@ -137,15 +139,18 @@ def align_features(df: DataFrame, feature_names: list[str]) -> DataFrame:
     return df.select(*[F.col(f) if f in have else F.lit(0).alias(f) for f in feature_names])
 
 
-def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit_on: str = "train") -> tuple[DataFrame, list[str], list[str]]:
+def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit_on: str = "train"):
     """End-to-end preparation (M7): model columns -> drop sparse -> split ->
     impute (medians of training rows by default; ``fit_on='all'`` imputes
     before the split as the original did) -> scale numeric features with
-    training-row parameters. Returns (frame with is_test, feature names,
-    scaled names)."""
+    training-row parameters.
+
+    Returns (frame with ``is_test``, feature names, scaled names, scaler
+    table). The scaler table (pos, feature, mean, std, scale) is what serving
+    applies to new rows.
+    """
     key_cols = key_cols or ["user_id", "log_ts"]
-    keys = features.select(*key_cols, *[c for c in features.columns if c not in key_cols])
-    split = stratified_split(keys, key_cols)
+    split = stratified_split(features, key_cols)
     m = model_frame(split.drop("h"))
     keep = dense_columns(m.drop("is_test"))
     if C.TARGET not in keep:
@@ -156,5 +161,5 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     train = m.where(~F.col("is_test"))
     imp = impute(m, fit=m if fit_on == "all" else train, cols=nums)
     train_imp = imp.where(~F.col("is_test"))
-    scaled = apply_scaler(imp, nums, fit=train_imp)
-    return scaled, feats, nums
+    scaler = scaler_fit(train_imp, nums)
+    return apply_scaler(imp, nums, fit=train_imp), feats, nums, scaler

@@ -146,4 +146,4 @@ def features_q(spark, sf_dir):
 
 
 # Register the remaining query groups (they import ``register`` from here).
-from . import q_ingest, q_quality  # noqa: E402,F401
+from . import q_decisions, q_ingest, q_model, q_quality  # noqa: E402,F401

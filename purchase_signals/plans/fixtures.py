@@ -69,3 +69,46 @@ def feature_runs(log: DataFrame) -> DataFrame:
         F.round("purchase_rate", 6).alias("purchase_rate"),
         F.lit(DOMAIN).alias("domain"),
     )
+
+
+RAW_COLUMNS = sorted(["user_id", "first_visit_date", "purchase_date", "screen_list", "session_count",
+                      "total_screens_viewed", "used_search_feature", "wrote_review", "added_to_wishlist", "age",
+                      "platform", "region", "acquisition_channel", "user_segment", "app_version", "made_purchase",
+                      "log_ts"])
+
+
+def feature_runs_with_columns(log: DataFrame) -> DataFrame:
+    """Run table with the sorted source column list of each run."""
+    return feature_runs(log).withColumn("columns", F.array(*[F.lit(c) for c in RAW_COLUMNS]))
+
+
+def candidates(log: DataFrame) -> DataFrame:
+    """One candidate model per day of data: its test F1 is the rule scorer's
+    F1 on that day's rows (derived, so it grows with the data)."""
+    s = scored(log).withColumn("day", F.to_date("log_ts"))
+    y, p = F.col("label"), F.col("prediction")
+    g = s.groupBy("day").agg(
+        F.max("log_ts").alias("trained_at"),
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn"))
+    f1 = F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"),
+                                 (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0))
+    return g.select(F.concat(F.lit("rf_"), F.col("day").cast("string")).alias("model_version"), "trained_at",
+                    F.col("day").cast("string").alias("data_version"), F.round(f1, 6).alias("test_f1"))
+
+
+def to_score(log: DataFrame) -> DataFrame:
+    """Scoring inbox: raw rows with a tri-state ``predicted`` flag."""
+    flag = (F.when(F.col("log_ts") < cutoff(), F.lit(True))
+            .when(F.col("user_id") % 2 == 0, F.lit(False)).otherwise(F.lit(None).cast("boolean")))
+    return log.withColumn("predicted", flag)
+
+
+def rule_predictions(pending: DataFrame) -> DataFrame:
+    """Rule-scored pending rows, one scoring run per arrival day."""
+    f = featurize(pending, mode="serve")
+    score = F.round(F.col("purchase_intent") / F.lit(SCORE_DIVISOR), 6)
+    return f.select("user_id", "log_ts",
+                    F.concat(F.lit("pred_"), F.to_date("log_ts").cast("string")).alias("prediction_id"),
+                    score.alias("score"),
+                    F.when(score >= F.lit(SCORE_THRESHOLD), 1).otherwise(0).cast("int").alias("prediction"))

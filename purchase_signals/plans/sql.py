@@ -139,17 +139,17 @@ def features_sql(source: str = "app_log", vocab: dict[str, list[str]] | None = N
     return f"WITH s1 AS ({stage1}), s2 AS ({stage2}) {stage3}"
 
 
-def with_tables(body: str, **ctes: str) -> str:
+def with_tables(body: str, recursive: bool = False, **ctes: str) -> str:
     """Prefix ``body`` with named CTEs (each a full SELECT, may contain WITH)."""
     if not ctes:
         return body
     defs = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
-    return f"WITH {defs}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{defs}\n{body}"
 
 
-def with_app_log(body: str, features: bool = False, **extra: str) -> str:
+def with_app_log(body: str, features: bool = False, recursive: bool = False, **extra: str) -> str:
     ctes = {"app_log": APP_LOG_SQL}
     if features:
         ctes["feat"] = features_sql("app_log")
     ctes.update(extra)
-    return with_tables(body, **ctes)
+    return with_tables(body, recursive=recursive, **ctes)

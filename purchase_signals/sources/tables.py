@@ -12,18 +12,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_bounded
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# TPC-H fixes these dimension sizes (25 nations, 5 regions) at every scale
-# factor; the bound below is what ``join_bounded`` verifies before it
-# broadcasts.
-GEO_MAX_ROWS = 1_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one parquet table (S2). Column pruning and filters reach the scan."""
@@ -97,14 +91,14 @@ def visits_from_events(events: DataFrame) -> DataFrame:
 
 def app_log_from(events: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     v = visits_from_events(events)
-    geo = join_bounded(
-        nation.select("n_nationkey", "n_regionkey"),
-        region.select("r_regionkey", "r_name"),
-        F.col("n_regionkey") == F.col("r_regionkey"), "inner", GEO_MAX_ROWS,
+    # nation (25 rows) and region (5 rows) are scans whose size the planner
+    # knows from file statistics; it broadcasts them under
+    # spark.sql.autoBroadcastJoinThreshold without a hint or an extra job.
+    geo = nation.select("n_nationkey", "n_regionkey").join(
+        region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "r_name")
-    cust = join_bounded(
-        customer.select("c_custkey", "c_nationkey", "c_mktsegment"), geo,
-        F.col("c_nationkey") == F.col("n_nationkey"), "inner", GEO_MAX_ROWS,
+    cust = customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
+        geo, F.col("c_nationkey") == F.col("n_nationkey")
     ).select("c_custkey", "c_mktsegment", "r_name")
     j = v.join(cust, v["user_id"] == cust["c_custkey"], "inner")
     uid = F.col("user_id")
