@@ -41,15 +41,22 @@ RAW_LOG_SCHEMA = T.StructType([
 ])
 
 
+# Text form of timestamps in CSV files: 'YYYY-mm-dd HH:MM:SS' with optional
+# fraction (microseconds are kept).
+CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+CSV_TIMESTAMP_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_LOG_SCHEMA) -> DataFrame:
     """CSV scan with a header and a declared schema (S1); no inference pass."""
-    return (spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    return (spark.read.option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
             .schema(schema).csv(path))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Scored rows as CSV with a header, no index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Rows as CSV with a header, no index column."""
+    df.write.mode("overwrite").option("header", True) \
+        .option("timestampNTZFormat", CSV_TIMESTAMP_WRITE_FORMAT).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

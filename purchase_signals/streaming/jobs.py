@@ -23,7 +23,7 @@ from ..operators import score as SC
 from ..operators.featurize import featurize
 from ..plans import runs
 from ..session import ensure_checkpoint_dir
-from ..sources.files import RAW_LOG_SCHEMA
+from ..sources.files import CSV_TIMESTAMP_FORMAT, RAW_LOG_SCHEMA
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
@@ -35,7 +35,7 @@ def ingest_stream(spark: SparkSession, landing_dir: str, root: str, fmt: str = "
     """New landing files -> hash, anti-join against the store, append."""
     reader = spark.readStream.schema(RAW_LOG_SCHEMA)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.format(fmt).load(landing_dir)
