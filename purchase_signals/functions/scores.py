@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 
-def _weighted(terms, serve: bool) -> Column:
+def _weighted(terms, serve: bool, cols: dict[str, Column] | None = None) -> Column:
     total = None
     for name, w in terms:
-        c = F.col(name)
+        c = (cols or {}).get(name, F.col(name))
         if serve:
             c = F.coalesce(c, F.lit(0))
         t = c * F.lit(w)
@@ -20,18 +20,18 @@ def _weighted(terms, serve: bool) -> Column:
     return total.cast("double")
 
 
-def engagement_score(serve: bool = False) -> Column:
-    return _weighted(C.ENGAGEMENT_WEIGHTS, serve)
+def engagement_score(serve: bool = False, cols: dict[str, Column] | None = None) -> Column:
+    return _weighted(C.ENGAGEMENT_WEIGHTS, serve, cols)
 
 
-def purchase_intent(serve: bool = False) -> Column:
-    return _weighted(C.INTENT_WEIGHTS, serve)
+def purchase_intent(serve: bool = False, cols: dict[str, Column] | None = None) -> Column:
+    return _weighted(C.INTENT_WEIGHTS, serve, cols)
 
 
-def screen_diversity() -> Column:
+def screen_diversity(cols: dict[str, Column] | None = None) -> Column:
     """Number of screen categories with at least one screen (0..4)."""
     total = None
     for name in C.SCREEN_CATEGORIES:
-        t = (F.col(name) > 0).cast("int")
+        t = ((cols or {}).get(name, F.col(name)) > 0).cast("int")
         total = t if total is None else total + t
     return total.cast("int")

@@ -51,7 +51,7 @@ def featurize(df: DataFrame, vocab: dict[str, list[str]] | None = None, mode: st
     vocab = vocab if vocab is not None else C.FIXTURE_VOCABULARY
     check_vocabulary(vocab)
 
-    # Stage 1: parse and flag (all narrow expressions on the raw row).
+    # Stage 1: parse, flag and split (narrow expressions on the raw row).
     fv = dates.parse_date("first_visit_date") if _has(df, "first_visit_date") else F.lit(None).cast("timestamp_ntz")
     first: dict[str, Column] = {"_fv": fv}
     if not serve and _has(df, "purchase_date"):
@@ -71,43 +71,54 @@ def featurize(df: DataFrame, vocab: dict[str, list[str]] | None = None, mode: st
     ver = F.col("app_version") if _has(df, "app_version") else F.lit(None).cast("string")
     first["app_major_version"] = cat.app_major_version(ver, serve=serve)
     first["version_score"] = cat.version_score(ver, serve=serve)
-    s1 = df.withColumns(first)
+    for src in ("region", "acquisition_channel"):
+        first[f"_{src}"] = F.col(src) if _has(df, src) else F.lit(None).cast("string")
 
-    # Stage 2: counts, scores, one-hot (still the same projection after
-    # Catalyst collapses the two selects).
+    drop = set(C.RAW_DROP_COLUMNS)
+    if not keep_hash:
+        drop.add("record_hash")
+    # Raw columns keep their position (redefined ones are replaced in place).
+    kept = [c for c in df.columns if c not in drop]
+    extra = [n for n in first if n not in kept]
+    s1 = df.select(*[first[c].alias(c) if c in first else F.col(c) for c in kept],
+                   *[first[n].alias(n) for n in extra])
+
+    # Stage 2: counts, scores, one-hot over the stage-1 columns; Catalyst
+    # collapses both selects into one projection (common subexpressions are
+    # evaluated once in generated code).
     dow = dates.day_of_week("_fv", serve=serve)
-    second: dict[str, Column] = {
+    derived: dict[str, Column] = {
         "hour": dates.hour_of_day("_fv", serve=serve),
         "dayofweek": dow,
         "is_weekend": dates.is_weekend(dow),
     }
-    s2 = s1.withColumns(second).withColumns(screens.category_counts())
-    third: dict[str, Column] = {
-        "engagement_score": scores.engagement_score(serve=serve),
-        "screen_diversity": scores.screen_diversity(),
-        "purchase_intent": scores.purchase_intent(serve=serve),
-    }
-    cat_src = {
-        "region": F.col("region") if _has(df, "region") else F.lit(None).cast("string"),
-        "acquisition_channel": F.col("acquisition_channel") if _has(df, "acquisition_channel") else F.lit(None).cast("string"),
-        "age_group": F.col("_age_group"),
-        "user_type": F.col("_user_type"),
-    }
+    derived.update({f: F.col(f) for f in (screens.flag_name(x) for x in C.TRACKED_SCREENS)})
+    derived.update(screens.category_counts())
+    derived["other_screens"] = F.col("other_screens")
+    # scores read the category counts, so they are written out in full here
+    counts = screens.category_counts()
+    with_counts = {n: counts.get(n, F.col(n)) for n in
+                   ("session_count", "used_search_feature", "wrote_review", "added_to_wishlist",
+                    "total_screens_viewed", *C.SCREEN_CATEGORIES)}
+    derived["engagement_score"] = scores.engagement_score(serve=serve, cols=with_counts)
+    derived["screen_diversity"] = scores.screen_diversity(cols=with_counts)
+    derived["purchase_intent"] = scores.purchase_intent(serve=serve, cols=with_counts)
+    cat_src = {"region": F.col("_region"), "acquisition_channel": F.col("_acquisition_channel"),
+               "age_group": F.col("_age_group"), "user_type": F.col("_user_type")}
     for src, prefix in C.ONE_HOT_PREFIX.items():
-        third.update(cat.one_hot(cat_src[src], prefix, vocab.get(src, [])))
-    s3 = s2.withColumns(third)
-
-    drop = set(C.RAW_DROP_COLUMNS) | {"_fv", "_age_group", "_user_type"}
-    if not keep_hash:
-        drop.add("record_hash")
-    feats = feature_columns(vocab)
-    passthrough = [c for c in df.columns if c not in drop and c not in feats and c != "purchase_24h"]
-    out_cols = passthrough + (["purchase_24h"] if "purchase_24h" in first else []) + feats
-    out = s3.select(*[F.col(c).alias(c.lower()) for c in out_cols])
+        derived.update(cat.one_hot(cat_src[src], prefix, vocab.get(src, [])))
+    derived["app_major_version"] = F.col("app_major_version")
+    derived["version_score"] = F.col("version_score")
+
+    label = [F.col("purchase_24h")] if "purchase_24h" in first else []
+    out = s1.select(*[F.col(c) for c in kept if c not in derived], *label,
+                    *[e.alias(n) for n, e in derived.items()])
+    out = out.toDF(*[c.lower() for c in out.columns])
     if serve:
         numeric = [f.name for f in out.schema.fields
                    if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "byte")]
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in numeric})
+        out = out.select(*[F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)).alias(c) if c in numeric
+                           else F.col(c) for c in out.columns])
     if processing_version is not None:
         out = out.withColumn("processing_version", F.lit(processing_version))
     return out

@@ -30,6 +30,11 @@ class ForestParams:
     feature_subset: str = "sqrt"
     max_bins: int = 32
     seed: int = C.RANDOM_STATE
+    # Deep trees: keep each row's node id on the executors instead of
+    # shipping the growing trees every level (checkpointed to the shared
+    # checkpoint folder), and let one pass split more nodes at once.
+    cache_node_ids: bool = True
+    max_memory_mb: int = 1024
 
 
 def with_class_weights(df: DataFrame, label: str = C.TARGET, weight_col: str = "class_weight") -> DataFrame:
@@ -49,7 +54,8 @@ def forest_pipeline(features: list[str], label: str = C.TARGET, weight_col: str
     rf = RandomForestClassifier(
         featuresCol="features_vec", labelCol=label, numTrees=p.num_trees, maxDepth=p.max_depth,
         minInstancesPerNode=p.min_instances_per_node, featureSubsetStrategy=p.feature_subset,
-        maxBins=p.max_bins, seed=p.seed, **({"weightCol": weight_col} if weight_col else {}))
+        maxBins=p.max_bins, seed=p.seed, cacheNodeIds=p.cache_node_ids, maxMemoryInMB=p.max_memory_mb,
+        checkpointInterval=10, **({"weightCol": weight_col} if weight_col else {}))
     return Pipeline(stages=[assembler, rf])
 
 
@@ -82,7 +88,10 @@ def predict(model: PipelineModel, df: DataFrame, features: list[str], keep: list
 
 
 def evaluate(pred: DataFrame, label: str = C.TARGET) -> DataFrame:
-    """Test metrics row: accuracy, precision, recall, f1, roc_auc."""
+    """Test metrics row: accuracy, precision, recall, f1, roc_auc. The
+    predictions are written once first: each metric job would otherwise
+    re-run the forest (and re-ship it to the executors)."""
+    pred = pred.checkpoint()
     b = binary_metrics(pred, label, "prediction")
     auc = roc_auc(pred, label, "probability").select("roc_auc").scalar()
     return b.withColumn("roc_auc", auc)

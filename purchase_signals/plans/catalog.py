@@ -37,8 +37,30 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+# Stores written once per session and input folder, like the original's raw
+# collection and feature table: later queries read the written data instead
+# of re-deriving it from events on every action (and a lost executor re-reads
+# files rather than recomputing the lineage). Stored under
+# ``spark.checkpoint.dir`` (shared storage on a cluster).
+_STORES: dict[tuple, DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (id(spark._jsparkSession), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, name)
+    df = _STORES.get(key)
+    if df is None:
+        df = _STORES[key] = build().checkpoint(eager=True)
+    return df
+
+
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw app-log store (derived from events once per session)."""
+    return _stored(spark, sf_dir, "app_log", lambda: app_log(spark, sf_dir))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return featurize(app_log(spark, sf_dir))
+    """The written feature table (featurized once per session)."""
+    return _stored(spark, sf_dir, "features", lambda: featurize(log_table(spark, sf_dir)))
 
 
 KEY = ["user_id", "log_ts"]
@@ -51,7 +73,7 @@ def _feature_subset(name: str, cols: list[str]) -> None:
 
     @register(name, S.with_app_log(f"SELECT {sel_sql} FROM feat", features=True))
     def _q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return features(spark, sf_dir).select(*KEY, *cols)
+        return featurize(log_table(spark, sf_dir)).select(*KEY, *cols)
 
 
 # --- 2.1 scans ---------------------------------------------------------------
@@ -92,7 +114,7 @@ SELECT user_id, first_visit_date,
      coalesce(strftime({S.parse_date_sql('first_visit_date')}, '%Y-%m-%d'), trim(first_visit_date), 'nan'))) AS record_hash
 FROM app_log"""))
 def record_hash_q(spark, sf_dir):
-    return app_log(spark, sf_dir).select("user_id", "first_visit_date", record_hash().alias("record_hash"))
+    return log_table(spark, sf_dir).select("user_id", "first_visit_date", record_hash().alias("record_hash"))
 
 
 @register("parse_dates", S.with_app_log(f"""
@@ -100,7 +122,7 @@ SELECT user_id, log_ts, {S.parse_date_sql('first_visit_date')} AS first_visit_ts
        {S.parse_date_sql('purchase_date')} AS purchase_ts
 FROM app_log"""))
 def parse_dates_q(spark, sf_dir):
-    return app_log(spark, sf_dir).select(
+    return log_table(spark, sf_dir).select(
         *KEY, dates.parse_date("first_visit_date").alias("first_visit_ts"),
         dates.parse_date("purchase_date").alias("purchase_ts"))
 
@@ -113,7 +135,7 @@ FROM (SELECT *, CAST(CASE WHEN date_diff('microsecond', {S.parse_date_sql('first
                  THEN 1 ELSE 0 END AS INTEGER) AS purchase_24h FROM app_log) t"""))
 def purchase_label_q(spark, sf_dir):
     fv, pd_ = dates.parse_date("first_visit_date"), dates.parse_date("purchase_date")
-    return app_log(spark, sf_dir).select(
+    return log_table(spark, sf_dir).select(
         *KEY, F.round(dates.hours_between(fv, pd_), 6).alias("hours_to_purchase"),
         dates.purchase_label(fv, pd_).alias("purchase_24h"))
 
@@ -136,13 +158,13 @@ FROM app_log"""))
 def segment_parts_q(spark, sf_dir):
     from ..functions.categorical import age_group, user_type
 
-    return app_log(spark, sf_dir).select(*KEY, age_group("user_segment").alias("age_group"),
+    return log_table(spark, sf_dir).select(*KEY, age_group("user_segment").alias("age_group"),
                                          user_type("user_segment").alias("user_type"))
 
 
 @register("features", S.with_app_log("SELECT * FROM feat", features=True))
 def features_q(spark, sf_dir):
-    return features(spark, sf_dir)
+    return featurize(log_table(spark, sf_dir))
 
 
 # Register the remaining query groups (they import ``register`` from here).

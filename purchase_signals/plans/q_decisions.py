@@ -10,10 +10,9 @@ from ..operators import decisions as D
 from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.quality import _corr
-from ..sources.tables import app_log
 from . import fixtures as X
 from . import sql as S
-from .catalog import features, register
+from .catalog import features, log_table, register
 from .q_ingest import RUNS_SQL
 from .q_quality import MODEL_NUMERIC, SCORED_SQL, SPLIT_SQL, _corr_sql, _scale_params
 
@@ -54,7 +53,7 @@ def _hist_ctes(**more):
 
 
 def _history(spark, sf_dir):
-    return D.promotion_history(X.candidates(app_log(spark, sf_dir)))
+    return D.promotion_history(X.candidates(log_table(spark, sf_dir)))
 
 
 @register("promotion_decision", S.with_app_log("SELECT * FROM hist", features=True, recursive=True, **_hist_ctes()))
@@ -74,7 +73,7 @@ def active_model(spark, sf_dir):
 @register("latest_run", S.with_app_log(
     "SELECT * FROM runs ORDER BY processed_at DESC LIMIT 1", features=True, runs=RUNS_SQL))
 def latest_run(spark, sf_dir):
-    return D.latest_run(X.feature_runs(app_log(spark, sf_dir)))
+    return D.latest_run(X.feature_runs(log_table(spark, sf_dir)))
 
 
 NEW_SINCE_SQL = """
@@ -86,7 +85,7 @@ FROM runs WHERE processed_at > (SELECT max(trained_at) FROM active) AND domain =
 @register("new_since_training", S.with_app_log("SELECT * FROM news", features=True, recursive=True,
                                                 **_hist_ctes(active=ACTIVE_SQL, runs=RUNS_SQL, news=NEW_SINCE_SQL)))
 def new_since_training(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     trained_at = D.active_model(D.promotion_history(X.candidates(log))).select(F.max("trained_at")).scalar()
     return D.new_since(X.feature_runs(log), trained_at)
 
@@ -101,7 +100,7 @@ FROM (SELECT t, CAST(floor(date_diff('second', t, (SELECT max(log_ts) FROM app_l
       FROM (SELECT (SELECT max(trained_at) FROM active) AS t) a) b""",
     features=True, recursive=True, **_hist_ctes(active=ACTIVE_SQL, runs=RUNS_SQL, news=NEW_SINCE_SQL)))
 def retrain_decision(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     now = log.select(F.max("log_ts")).scalar()
     return D.retrain_decision(X.feature_runs(log), D.promotion_history(X.candidates(log)), now)
 
@@ -124,7 +123,7 @@ LEFT JOIN (SELECT *, CAST(floor(date_diff('second', processed_at, (SELECT max(lo
            FROM (SELECT *, {RAW_COLS_SQL} AS columns FROM runs ORDER BY processed_at DESC LIMIT 1) x) l ON true""",
     features=True, runs=RUNS_SQL))
 def reprocess_decision(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     now = log.select(F.max("log_ts")).scalar()
     return D.reprocess_decision(log, X.feature_runs_with_columns(log), X.RAW_COLUMNS, now)
 
@@ -134,7 +133,7 @@ def model_history(spark, sf_dir):
     h = _history(spark, sf_dir)
     models = h.select("model_version", "trained_at", F.substring("model_version", 4, 10).alias("data_version"),
                       "status", F.create_map(F.lit("test_f1_score"), F.col("test_f1")).alias("metrics"))
-    return D.model_history(models, X.feature_runs(app_log(spark, sf_dir))).orderBy(F.col("trained_at").desc())
+    return D.model_history(models, X.feature_runs(log_table(spark, sf_dir))).orderBy(F.col("trained_at").desc())
 
 
 # --- scoring -----------------------------------------------------------------------
@@ -154,7 +153,7 @@ def _score_ctes(**more):
 
 
 def _to_score(spark, sf_dir):
-    return X.to_score(app_log(spark, sf_dir))
+    return X.to_score(log_table(spark, sf_dir))
 
 
 @register("pending_rows", S.with_app_log("SELECT * FROM pending", features=True, **_score_ctes()))

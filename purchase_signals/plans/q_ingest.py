@@ -10,10 +10,9 @@ from ..operators import merge as M
 from .. import config as C
 from ..operators.featurize import feature_columns, featurize
 from ..operators.quality import feature_run_stats
-from ..sources.tables import app_log
 from . import fixtures as X
 from . import sql as S
-from .catalog import features, register
+from .catalog import features, log_table, register
 
 # raw passthrough columns + label + derived features
 FEATURE_TABLE_WIDTH = 9 + 1 + len(feature_columns(C.FIXTURE_VOCABULARY))
@@ -34,25 +33,25 @@ def _ingest_ctes(**more):
 
 @register("hash_keys", S.with_app_log(f"SELECT {HASH_SQL} AS record_hash FROM app_log"))
 def hash_keys(spark, sf_dir):
-    return I.with_record_hash(app_log(spark, sf_dir)).select("record_hash")
+    return I.with_record_hash(log_table(spark, sf_dir)).select("record_hash")
 
 
 @register("new_records", S.with_app_log("SELECT * FROM new_rows", **_ingest_ctes()))
 def new_records(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     return I.new_records(I.with_record_hash(log), X.stored_log(log))
 
 
 @register("gated_batch", S.with_app_log("SELECT * FROM gated", **_ingest_ctes(gated=GATED_SQL)))
 def gated_batch(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     return I.gate(I.new_records(I.with_record_hash(log), X.stored_log(log)), 200)
 
 
 @register("upsert_log", S.with_app_log("SELECT * FROM stored UNION ALL SELECT * FROM gated",
                                         **_ingest_ctes(gated=GATED_SQL)))
 def upsert_log(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     _, after = I.upsert(X.stored_log(log), I.with_record_hash(log))
     return after
 
@@ -63,7 +62,7 @@ def upsert_log(spark, sf_dir):
 def duplicate_keys(spark, sf_dir):
     """Uniqueness audit over the store plus the raw landing batch: the keys a
     unique index would reject (the upsert itself leaves none, see tests)."""
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     stored = X.stored_log(log)
     return I.duplicate_keys(stored.unionByName(I.with_record_hash(log)))
 
@@ -76,7 +75,7 @@ SELECT (SELECT count(*) FROM batch) AS batch_records,
        (SELECT count(*) FROM stored) + (SELECT count(*) FROM gated) AS stored_after""",
     **_ingest_ctes(gated=GATED_SQL)))
 def ingest_stats(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     stored, batch = X.stored_log(log), I.with_record_hash(log)
     fresh, _ = I.upsert(stored, batch)
     return I.ingest_stats(stored, batch, fresh)
@@ -89,13 +88,13 @@ NEWLOG_SQL = f"SELECT * FROM app_log WHERE log_ts >= {CUT}"
 @register("high_water_mark", S.with_app_log("SELECT max(log_ts) AS high_water_mark FROM existing",
                                              existing=EXISTING_SQL))
 def high_water_mark(spark, sf_dir):
-    return M.high_water_mark(X.existing_log(app_log(spark, sf_dir)))
+    return M.high_water_mark(X.existing_log(log_table(spark, sf_dir)))
 
 
 @register("incremental_rows", S.with_app_log(
     "SELECT * FROM app_log WHERE log_ts > (SELECT max(log_ts) FROM existing)", existing=EXISTING_SQL))
 def incremental_rows(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     return M.incremental_rows(log, X.existing_log(log))
 
 
@@ -106,7 +105,7 @@ SELECT * FROM fn WHERE NOT EXISTS (SELECT 1 FROM fe WHERE fe.user_id = fn.user_i
     existing=EXISTING_SQL, newlog=NEWLOG_SQL,
     fe=S.features_sql("existing"), fn=S.features_sql("newlog")))
 def merge_existing_wins(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     return M.merge_existing_wins(featurize(X.existing_log(log)), featurize(X.new_log(log)))
 
 
@@ -121,7 +120,7 @@ FROM (SELECT CAST(log_ts AS DATE) AS day, max(log_ts) AS processed_at, count(*)
 
 @register("feature_runs", S.with_app_log("SELECT * FROM runs", features=True, runs=RUNS_SQL))
 def feature_runs(spark, sf_dir):
-    return X.feature_runs(app_log(spark, sf_dir))
+    return X.feature_runs(log_table(spark, sf_dir))
 
 
 @register("load_latest_version", S.with_app_log(
@@ -129,7 +128,7 @@ def feature_runs(spark, sf_dir):
     "WHERE processing_version = (SELECT arg_max(processing_version, processed_at) FROM runs)",
     features=True, runs=RUNS_SQL))
 def load_latest_version(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = log_table(spark, sf_dir)
     versioned = featurize(log).withColumn("processing_version", F.to_date("log_ts").cast("string"))
     return M.load_version(versioned, X.feature_runs(log))
 

@@ -12,9 +12,8 @@ from ..operators import model as ML
 from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.featurize import featurize
-from ..sources.tables import app_log
 from . import fixtures as X
-from .catalog import features, register
+from .catalog import features, log_table, register
 
 KEY = ["user_id", "log_ts"]
 # Forest used by the registered queries: the original's settings, depth capped
@@ -28,7 +27,7 @@ def _prepared(spark, sf_dir):
     back to the raw events (a lost executor re-reads files, not the plan)."""
     f = features(spark, sf_dir)
     prepared, feats, nums, scaler = P.prepare_training(f, KEY)
-    return prepared.checkpoint(), feats, nums, scaler
+    return prepared.checkpoint(), feats, nums, scaler.checkpoint()
 
 
 @register("prepare_training")
@@ -37,15 +36,24 @@ def prepare_training(spark, sf_dir):
     return prepared
 
 
+_MODELS: dict[tuple, tuple] = {}
+
+
 def _fit(spark, sf_dir, params=QUERY_FOREST):
-    prepared, feats, nums, _ = _prepared(spark, sf_dir)
-    model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, params)
-    return model, prepared, feats, nums
+    """Fit once per session and input; later queries (importances, scoring)
+    use this model as the active one, like the original's scorer loads the
+    production model instead of retraining."""
+    key = (id(spark._jsparkSession), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, repr(params))
+    if key not in _MODELS:
+        prepared, feats, nums, scaler = _prepared(spark, sf_dir)
+        model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, params)
+        _MODELS[key] = (model, prepared, feats, nums, scaler)
+    return _MODELS[key]
 
 
 @register("train_forest")
 def train_forest(spark, sf_dir):
-    model, prepared, feats, _ = _fit(spark, sf_dir)
+    model, prepared, feats, _, _ = _fit(spark, sf_dir)
     pred = ML.predict(model, prepared.where(F.col("is_test")), feats, [C.TARGET])
     return ML.evaluate(pred).select("*", F.lit(QUERY_FOREST.num_trees).alias("num_trees"),
                                     F.lit(QUERY_FOREST.max_depth).alias("max_depth"))
@@ -53,7 +61,7 @@ def train_forest(spark, sf_dir):
 
 @register("importances")
 def importances(spark, sf_dir):
-    model, _, feats, _ = _fit(spark, sf_dir)
+    model, _, feats, _, _ = _fit(spark, sf_dir)
     return ML.importances(spark, model, feats)
 
 
@@ -67,9 +75,8 @@ def cross_validate(spark, sf_dir):
 def score_pending(spark, sf_dir):
     """Batch scoring with serving semantics (M12): pending rows -> serve
     features -> model columns -> training scaler -> forest."""
-    prepared, feats, nums, scaler = _prepared(spark, sf_dir)
-    model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, QUERY_FOREST)
-    pending = SC.pending_rows(X.to_score(app_log(spark, sf_dir)))
+    model, _, feats, nums, scaler = _fit(spark, sf_dir)
+    pending = SC.pending_rows(X.to_score(log_table(spark, sf_dir)))
     served = featurize(pending, mode="serve")
     aligned = served.select(*KEY, *[F.col(c) for c in P.align_features(served, feats).columns])
     scaled = P.apply_scaler_table(aligned, scaler, nums)

@@ -11,10 +11,9 @@ from ..operators import prepare as P
 from ..operators import quality as Q
 from ..operators.featurize import feature_columns, featurize
 from ..operators.vocab import fit_vocabulary
-from ..sources.tables import app_log
 from . import fixtures as X
 from . import sql as S
-from .catalog import features, register
+from .catalog import features, log_table, register
 
 PASSTHROUGH = ["user_id", "session_count", "total_screens_viewed", "used_search_feature", "wrote_review",
                "added_to_wishlist", "age", "platform", "log_ts"]
@@ -54,14 +53,14 @@ def null_report(spark, sf_dir):
     [f"SELECT '{c}' AS column_name, round(CAST(count_if({c} IS NULL) AS DOUBLE) / count(*), 6) AS null_share, "
      f"CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) > {C.MAX_MISSING_SHARE} AS dropped FROM app_log" for c in RAW_COLUMNS])))
 def sparse_columns(spark, sf_dir):
-    return Q.sparse_columns(app_log(spark, sf_dir))
+    return Q.sparse_columns(log_table(spark, sf_dir))
 
 
 @register("date_like_columns", S.with_app_log(_union(
     [f"SELECT '{c}' AS column_name, coalesce(bool_or(regexp_matches({c}, '{C.DATE_LIKE_PATTERN}')), false) AS date_like "
      f"FROM app_log" for c in RAW_STRINGS])))
 def date_like_columns(spark, sf_dir):
-    return Q.date_like_columns(app_log(spark, sf_dir))
+    return Q.date_like_columns(log_table(spark, sf_dir))
 
 
 def _corr_sql(c: str) -> str:
@@ -92,7 +91,7 @@ SELECT DISTINCT column_name, value FROM (
   UNION ALL SELECT 'user_type', array_to_string(list_filter(regexp_split_to_array(user_segment, '\\s+'), lambda x: x <> '')[2:], ' ') FROM app_log
 ) t WHERE value IS NOT NULL"""))
 def vocabulary(spark, sf_dir):
-    return fit_vocabulary(app_log(spark, sf_dir))
+    return fit_vocabulary(log_table(spark, sf_dir))
 
 
 # --- metrics over the rule-scored fixture ------------------------------------------
@@ -107,7 +106,7 @@ SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND pred
 
 
 def _scored(spark, sf_dir):
-    return X.scored(app_log(spark, sf_dir))
+    return X.scored(log_table(spark, sf_dir))
 
 
 def _m(body: str, **more) -> str:
@@ -253,10 +252,10 @@ MODEL_FEATURES = [c for c in FEATURE_TABLE if c not in ("user_id", "log_ts", C.T
     "SELECT " + ", ".join("coalesce(platform, 0) AS platform" if c == "platform" else q(c) for c in MODEL_FEATURES)
     + " FROM feat", features=True))
 def align_features(spark, sf_dir):
-    served = featurize(app_log(spark, sf_dir), mode="serve")
+    served = featurize(log_table(spark, sf_dir), mode="serve")
     return P.align_features(served, MODEL_FEATURES)
 
 
 @register("batch_fingerprint")
 def batch_fingerprint(spark, sf_dir):
-    return Q.batch_fingerprint(app_log(spark, sf_dir))
+    return Q.batch_fingerprint(log_table(spark, sf_dir))

@@ -19,9 +19,20 @@ BASE_TABLES = [
 ]
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one parquet table (S2). Column pruning and filters reach the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan one parquet table (S2). Column pruning and filters reach the scan.
+
+    The resolved relation (file listing, footer schema) is reused within a
+    session; it holds no data, only the plan leaf."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
