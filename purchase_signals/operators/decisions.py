@@ -122,3 +122,8 @@ def model_history(models: DataFrame, runs: DataFrame) -> DataFrame:
     return j.select("model_version", "trained_at", "data_version", "status", f1.alias("test_f1_score"),
                     "record_count", "purchase_rate").withColumn(
         "f1_change", F.col("test_f1_score") - F.lag("test_f1_score").over(w))
+
+
+def metric_trend(history: DataFrame, metric: str = "test_f1_score") -> DataFrame:
+    """Oldest first, rows without the metric dropped."""
+    return history.na.drop(subset=[metric]).orderBy("trained_at")

@@ -156,6 +156,9 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     if C.TARGET not in keep:
         raise ValueError(f"target column {C.TARGET} not found")
     m = m.select(*keep, "is_test")
+    n = m.select(F.count(F.lit(1))).first()[0]
+    if n < C.MIN_TRAINING_ROWS:
+        raise ValueError(f"insufficient data for training: {n} rows (< {C.MIN_TRAINING_ROWS})")
     feats = [c for c in keep if c != C.TARGET]
     nums = [c for c in numeric_columns(m) if c != C.TARGET]
     train = m.where(~F.col("is_test"))

@@ -111,8 +111,8 @@ def load_features(spark: SparkSession, root: str, version: str | None = None) ->
 
 
 def append_predictions(pred: DataFrame, root: str, source: str | None = None) -> None:
-    """Append scored rows partitioned by prediction_id (S8); an optional
-    ``prediction_source`` tag marks interactive scoring (S9)."""
-    if source is not None:
-        pred = pred.withColumn("prediction_source", F.lit(source))
+    """Append scored rows partitioned by prediction_id (S8). The
+    ``prediction_source`` column tags interactive scoring (S9); it is always
+    written (null for batch runs) so every append has the same schema."""
+    pred = pred.withColumn("prediction_source", F.lit(source).cast("string"))
     pred.write.mode("append").partitionBy("prediction_id").parquet(os.path.join(root, "predictions"))

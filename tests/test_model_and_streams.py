@@ -154,3 +154,58 @@ def test_featurize_and_score_streams(spark, trained):
     pending = X.to_score(log).where(~F.col("predicted").eqNullSafe(True)).count()
     assert preds.count() == pending
     assert preds.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
+
+
+def test_registry_promotion_and_load(spark, trained):
+    from purchase_signals.sources import registry as R
+    model, prepared, feats, nums, scaler = trained
+    root = tempfile.mkdtemp(prefix="ps-reg-")
+    with pytest.raises(LookupError):
+        R.load_active_model(spark, root)
+    R.register_model(spark, root, model, "m1", "v1", {"test_f1_score": 0.80}, feats, nums, scaler)
+    R.register_model(spark, root, model, "m2", "v1", {"test_f1_score": 0.805}, feats, nums, scaler)
+    R.register_model(spark, root, model, "m3", "v1", {"test_f1_score": 0.82}, feats, nums, scaler)
+    assert R.promote_if_better(spark, root, "m1")
+    assert not R.promote_if_better(spark, root, "m2")
+    assert R.promote_if_better(spark, root, "m3")
+    loaded, lfeats, lscaler, lscaled, version = R.load_active_model(spark, root)
+    assert version == "m3" and lfeats == feats and lscaled == nums and lscaler.count() == len(nums)
+    test = prepared.where(F.col("is_test"))
+    a = sorted(r.probability for r in ML.predict(model, test, feats, [C.TARGET]).collect())
+    b = sorted(r.probability for r in ML.predict(loaded, test, feats, [C.TARGET]).collect())
+    assert a == pytest.approx(b)
+
+
+def test_training_guard_and_artifacts(spark, trained):
+    log = app_log(spark, SF_SMALL).limit(50)
+    with pytest.raises(ValueError, match="insufficient"):
+        P.prepare_training(featurize(log), KEY)
+    model, prepared, feats, _, _ = trained
+    d = tempfile.mkdtemp(prefix="ps-art-")
+    files.write_json(ML.importances(spark, model, feats, top=None), os.path.join(d, "importances"))
+    back = spark.read.json(os.path.join(d, "importances"))
+    assert back.count() == len(feats)
+
+
+def test_prediction_sinks_and_source_tag(spark):
+    root = tempfile.mkdtemp(prefix="ps-pred-")
+    rows = spark.createDataFrame([(1, 0.7, 1, "pred_a"), (2, 0.2, 0, "pred_a")],
+                                 "user_id long, probability double, prediction int, prediction_id string")
+    files.append_predictions(rows, root)
+    files.append_predictions(rows.withColumn("prediction_id", F.lit("pred_b")), root, source="interactive")
+    out = spark.read.parquet(os.path.join(root, "predictions"))
+    assert out.count() == 4
+    assert out.where(F.col("prediction_source") == "interactive").count() == 2
+
+
+def test_key_fields_default_timestamp_and_keep_hash(spark):
+    from purchase_signals.operators import ingest as I
+    df = spark.createDataFrame([(1, "2024-01-01")], "user_id long, first_visit_date string")
+    assert I.validated_key_fields(df, ["user_id", "missing"]) == ["user_id"]
+    with pytest.raises(ValueError):
+        I.validated_key_fields(df, ["missing"])
+    stamped = I.with_default_timestamp(df, "2024-02-01 00:00:00")
+    assert stamped.first()["log_ts"].year == 2024
+    hashed = I.with_record_hash(app_log(spark, SF_SMALL))
+    assert "record_hash" in featurize(hashed, keep_hash=True).columns
+    assert "record_hash" not in featurize(hashed).columns
