@@ -36,22 +36,20 @@ def feature_influence(values: DataFrame, importances: Column, features: list[str
     """Per row, the ``top`` features by |importance x value|.
 
     ``importances`` is a struct column (one field per feature), e.g. a
-    scalar subquery over a one-row table. The ranking is a per-row array
-    sort: no shuffle, no window over rows. Null influences rank last."""
+    scalar subquery over a one-row table. The ranking is a per-row
+    ``sort_array`` over structs keyed by (-|influence|, feature): no shuffle,
+    no window over rows, no lambda. Null influences rank last."""
     values = values.withColumn("_imp", importances)
-    items = F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.coalesce(F.col("_imp")[f], F.lit(0.0)).alias("importance"),
-                 F.col(f).cast("double").alias("value"))
-        for f in features])
-    with_inf = F.transform(items, lambda s: F.struct(
-        s["feature"].alias("feature"), s["importance"].alias("importance"), s["value"].alias("value"),
-        (s["importance"] * s["value"]).alias("influence"),
-        F.coalesce(F.round(F.abs(s["importance"] * s["value"]), 9), F.lit(-1.0)).alias("rank_key")))
-    ordered = F.array_sort(with_inf, lambda a, b: F.when(a["rank_key"] > b["rank_key"], -1)
-                           .when(a["rank_key"] < b["rank_key"], 1)
-                           .when(a["feature"] < b["feature"], -1)
-                           .when(a["feature"] > b["feature"], 1).otherwise(0))
-    topk = F.slice(ordered, 1, top)
+    items = []
+    for f in features:
+        imp = F.coalesce(F.col("_imp")[f], F.lit(0.0))
+        val = F.col(f).cast("double")
+        infl = imp * val
+        # ascending sort key: larger |influence| first, nulls last, then name
+        key_ = F.coalesce(-F.round(F.abs(infl), 9), F.lit(1.0))
+        items.append(F.struct(key_.alias("k"), F.lit(f).alias("feature"), imp.alias("importance"),
+                              val.alias("value"), infl.alias("influence")))
+    topk = F.slice(F.sort_array(F.array(*items)), 1, top)
     return values.select(*key, F.posexplode(topk).alias("pos", "x")).select(
         *key, (F.col("pos") + 1).alias("rank"), F.col("x.feature").alias("feature"),
         F.round("x.importance", 6).alias("importance"), F.round("x.value", 6).alias("value"),

@@ -18,6 +18,7 @@ from ..functions.hashing import record_hash
 from ..functions.screens import flag_name
 from ..operators.featurize import featurize
 from ..sources.tables import app_log
+from ..session import session_key
 from . import sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +47,7 @@ _STORES: dict[tuple, DataFrame] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (id(spark._jsparkSession), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, name)
+    key = (*session_key(spark), sf_dir, name)
     df = _STORES.get(key)
     if df is None:
         df = _STORES[key] = build().checkpoint(eager=True)

@@ -13,6 +13,7 @@ from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.featurize import featurize
 from . import fixtures as X
+from ..session import session_key
 from .catalog import features, log_table, register
 
 KEY = ["user_id", "log_ts"]
@@ -43,7 +44,7 @@ def _fit(spark, sf_dir, params=QUERY_FOREST):
     """Fit once per session and input; later queries (importances, scoring)
     use this model as the active one, like the original's scorer loads the
     production model instead of retraining."""
-    key = (id(spark._jsparkSession), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, repr(params))
+    key = (*session_key(spark), sf_dir, repr(params))
     if key not in _MODELS:
         prepared, feats, nums, scaler = _prepared(spark, sf_dir)
         model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, params)

@@ -49,3 +49,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a running session (application id and start time), for
+    per-session reuse of stores; never reused by a later session."""
+    sc = spark.sparkContext
+    return (sc.applicationId, sc.startTime, spark.conf.get("spark.checkpoint.dir", ""))

@@ -19,7 +19,7 @@ BASE_TABLES = [
 ]
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The resolved relation (file listing, footer schema) is reused within a
     session; it holds no data, only the plan leaf."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
+    sc = spark.sparkContext
+    key = (sc.applicationId, sc.startTime, path)
     df = _RELATIONS.get(key)
     if df is None:
         df = _RELATIONS[key] = spark.read.parquet(path)
