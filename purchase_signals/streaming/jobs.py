@@ -22,12 +22,13 @@ from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.featurize import featurize
 from ..plans import runs
-from ..session import ensure_checkpoint_dir
 from ..sources.files import CSV_TIMESTAMP_FORMAT, RAW_LOG_SCHEMA
 
 
-def _checkpoint(spark: SparkSession, name: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+def _checkpoint(root: str, name: str) -> str:
+    """A stream's progress lives with the store it writes (shared storage),
+    so each store has its own streams and a restart resumes where it was."""
+    return os.path.join(root, "_streams", name)
 
 
 def ingest_stream(spark: SparkSession, landing_dir: str, root: str, fmt: str = "csv",
@@ -43,7 +44,7 @@ def ingest_stream(spark: SparkSession, landing_dir: str, root: str, fmt: str = "
     def sink(batch: DataFrame, batch_id: int) -> None:
         runs.ingest_batch(spark, batch, root, f"stream_{batch_id:08d}", min_batch)
 
-    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(spark, "ingest"))
+    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "ingest"))
             .trigger(availableNow=True).start())
 
 
@@ -57,7 +58,7 @@ def featurize_stream(spark: SparkSession, root: str, min_batch: int = C.MIN_FEAT
     def sink(batch: DataFrame, batch_id: int) -> None:
         runs.featurize_increment(spark, root, f"stream_v{batch_id:08d}", batch.drop("ingest_run"), min_batch)
 
-    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(spark, "featurize"))
+    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "featurize"))
             .trigger(availableNow=True).start())
 
 
@@ -80,5 +81,5 @@ def score_stream(spark: SparkSession, inbox_dir: str, root: str, model: Pipeline
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("prediction_id").parquet(os.path.join(root, "predictions")))
 
-    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(spark, "score"))
+    return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "score"))
             .trigger(availableNow=True).start())
