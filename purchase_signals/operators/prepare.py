@@ -150,7 +150,9 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     applies to new rows.
     """
     key_cols = key_cols or ["user_id", "log_ts"]
-    split = stratified_split(features, key_cols)
+    # Written once: every later statistic (null shares, medians, scaler) and
+    # the forest read the split rows instead of re-deriving the thresholds.
+    split = stratified_split(features, key_cols).checkpoint()
     m = model_frame(split.drop("h"))
     keep = dense_columns(m.drop("is_test"))
     if C.TARGET not in keep:
@@ -162,7 +164,7 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     feats = [c for c in keep if c != C.TARGET]
     nums = [c for c in numeric_columns(m) if c != C.TARGET]
     train = m.where(~F.col("is_test"))
-    imp = impute(m, fit=m if fit_on == "all" else train, cols=nums)
+    imp = impute(m, fit=m if fit_on == "all" else train, cols=nums).checkpoint()
     train_imp = imp.where(~F.col("is_test"))
     scaler = scaler_fit(train_imp, nums)
     return apply_scaler(imp, nums, fit=train_imp), feats, nums, scaler

@@ -22,13 +22,19 @@ KEY = ["user_id", "log_ts"]
 QUERY_FOREST = ML.ForestParams()
 
 
+_PREPARED: dict[tuple, tuple] = {}
+
+
 def _prepared(spark, sf_dir):
-    """Prepared training frame, checkpointed to the shared checkpoint folder:
-    MLlib reads its input many times, and a written table cuts the lineage
-    back to the raw events (a lost executor re-reads files, not the plan)."""
-    f = features(spark, sf_dir)
-    prepared, feats, nums, scaler = P.prepare_training(f, KEY)
-    return prepared.checkpoint(), feats, nums, scaler.checkpoint()
+    """Prepared training frame, checkpointed to the shared checkpoint folder
+    once per session: MLlib reads its input many times, and a written table
+    cuts the lineage back to the raw events (a lost executor re-reads files,
+    not the plan)."""
+    key = (*session_key(spark), sf_dir)
+    if key not in _PREPARED:
+        prepared, feats, nums, scaler = P.prepare_training(features(spark, sf_dir), KEY)
+        _PREPARED[key] = (prepared.checkpoint(), feats, nums, scaler.checkpoint())
+    return _PREPARED[key]
 
 
 @register("prepare_training")
