@@ -208,7 +208,7 @@ def feature_influence(spark, sf_dir):
     for c in MODEL_NUMERIC:
         total = F.col(c) if total is None else total + F.col(c)
     imp = absc.select(F.struct(*[(F.col(c) / total).alias(c) for c in MODEL_NUMERIC])).scalar()
-    sp = P.stratified_split(f, ["user_id", "log_ts"])
+    sp = P.stratified_split(f, ["user_id", "log_ts"]).checkpoint()
     scaled = P.apply_scaler(sp, MODEL_NUMERIC, fit=sp.where(~F.col("is_test")))
     return SC.feature_influence(scaled, imp, MODEL_NUMERIC, ["user_id", "log_ts"]).withColumn(
         "rank", F.col("rank").cast("int"))

@@ -191,7 +191,9 @@ SELECT *, h <= threshold AS is_test FROM (
 
 
 def _split(spark, sf_dir):
-    return P.stratified_split(features(spark, sf_dir), ["user_id", "log_ts"])
+    """Split rows, written once: scaler statistics read them instead of
+    re-deriving the per-class thresholds inside each subquery."""
+    return P.stratified_split(features(spark, sf_dir), ["user_id", "log_ts"]).checkpoint()
 
 
 @register("stratified_split", S.with_app_log("SELECT user_id, log_ts, purchase_24h, is_test FROM split",
