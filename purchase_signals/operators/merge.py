@@ -46,10 +46,21 @@ def latest_version(runs: DataFrame) -> DataFrame:
 
 
 def load_version(features: DataFrame, runs: DataFrame, version: str | None = None) -> DataFrame:
-    """Rows of one version, the latest by default (S4). On a table
-    partitioned by processing_version the filter prunes partitions (a
-    literal version statically, the latest through a scalar subquery)."""
-    if version is not None:
-        return features.where(F.col("processing_version") == F.lit(version))
-    latest = runs.select(F.max_by("processing_version", "processed_at")).scalar()
-    return features.where(F.col("processing_version") == latest)
+    """The feature table as of one version, the latest committed by default
+    (S4): rows of every committed version up to it (each version stores the
+    rows it added), stamped with that version. Uncommitted version folders
+    are never read; on a table partitioned by processing_version the
+    semi-join against the (small) run table prunes partitions dynamically."""
+    wanted = versions_up_to(runs, version)
+    stamp = wanted.select(F.max_by("processing_version", "processed_at")).scalar()
+    return features.join(wanted.select("processing_version"), "processing_version", "left_semi") \
+        .withColumn("processing_version", stamp)
+
+
+def versions_up_to(runs: DataFrame, version: str | None = None) -> DataFrame:
+    """Committed versions at or before ``version`` (default: all), one row
+    per run (the run table grows by one row per featurization)."""
+    if version is None:
+        return runs.select("processing_version", "processed_at")
+    at = runs.where(F.col("processing_version") == F.lit(version)).select(F.max("processed_at")).scalar()
+    return runs.where(F.col("processed_at") <= at).select("processing_version", "processed_at")

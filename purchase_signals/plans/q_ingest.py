@@ -124,8 +124,9 @@ def feature_runs(spark, sf_dir):
 
 
 @register("load_latest_version", S.with_app_log(
-    "SELECT * FROM (SELECT *, CAST(CAST(log_ts AS DATE) AS VARCHAR) AS processing_version FROM feat) v "
-    "WHERE processing_version = (SELECT arg_max(processing_version, processed_at) FROM runs)",
+    "SELECT * EXCLUDE (processing_version), (SELECT arg_max(processing_version, processed_at) FROM runs) AS processing_version "
+    "FROM (SELECT *, CAST(CAST(log_ts AS DATE) AS VARCHAR) AS processing_version FROM feat) v "
+    "WHERE processing_version IN (SELECT processing_version FROM runs)",
     features=True, runs=RUNS_SQL))
 def load_latest_version(spark, sf_dir):
     log = log_table(spark, sf_dir)

@@ -62,11 +62,17 @@ def featurize_increment(spark: SparkSession, root: str, version: str, new_rows:
         todo.unpersist()
         return None
     feats = featurize(todo)
-    merged = feats if latest is None else M.merge_existing_wins(latest.drop("processing_version"), feats, key)
-    # The merge reads the features folder it writes to: cut the lineage first.
-    files.write_feature_version(merged.checkpoint(), root, version)
+    if latest is None:
+        delta = feats
+    else:
+        # existing wins: only rows of unseen keys are added; the anti-join
+        # reads the features folder it writes to, so cut the lineage first
+        key = key or ["user_id"]
+        delta = feats.join(latest.select(*key).distinct(), key, "left_anti").checkpoint()
+    files.write_feature_version(delta, root, version)
     written = spark.read.parquet(f"{root}/features").where(F.col("processing_version") == version)
-    stats = feature_run_stats(written.drop("processing_version"))
+    merged = written if latest is None else latest.unionByName(written, allowMissingColumns=True)
+    stats = feature_run_stats(merged.drop("processing_version"))
     new_count = todo.count()
     run = stats.select(F.lit(version).alias("processing_version"),
                        F.localtimestamp().cast("timestamp_ntz").alias("processed_at"),

@@ -3,13 +3,16 @@
 Layout under a store root (shared storage on a cluster):
 
     raw_log/ingest_run=<id>/      appended by ingest (unique record_hash)
-    features/processing_version=<v>/   one directory per version, whole table
+    features/processing_version=<v>/   rows added by version v (its delta)
     feature_runs/                 one row per featurization; appended last = commit
     predictions/prediction_id=<id>/
     models/, scaler/              model metadata and scaler tables
 
 Writers never overwrite a path they read: a new version goes to a new
-partition directory, and readers select versions through the run table.
+partition directory, and readers select versions through the run table. The
+table of version v is the union of the deltas of every version committed up
+to v (existing rows win, so older rows never change), so a run writes only
+its new rows instead of rewriting the whole table.
 """
 
 from __future__ import annotations
@@ -77,7 +80,7 @@ def read_raw(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_feature_version(features: DataFrame, root: str, version: str) -> None:
-    """Write a whole feature table as a new version directory (S7). Dynamic
+    """Write the rows a version adds as its own directory (S7). Dynamic
     partition overwrite touches only this version, so a retry of the same
     version replaces its own files and nothing else."""
     (features.withColumn("processing_version", F.lit(version)).write
@@ -99,15 +102,16 @@ def read_runs(spark: SparkSession, root: str, table: str = "feature_runs") -> Da
 
 
 def load_features(spark: SparkSession, root: str, version: str | None = None) -> DataFrame | None:
-    """Load one version, the latest committed one by default (S4); None when
-    nothing is committed. The version filter prunes partitions."""
+    """The table as of one version, the latest committed one by default
+    (S4); None when nothing is committed. Only committed versions are read
+    (an uncommitted directory is ignored), every row is stamped with the
+    requested version, and the version filter prunes partitions."""
     from ..operators.merge import load_version
 
     runs = read_runs(spark, root)
     if runs is None:
         return None
-    feats = spark.read.parquet(os.path.join(root, "features"))
-    return load_version(feats, runs, version)
+    return load_version(spark.read.parquet(os.path.join(root, "features")), runs, version)
 
 
 def append_predictions(pred: DataFrame, root: str, source: str | None = None) -> None:
