@@ -23,28 +23,24 @@ def platform_code(c, serve: bool = False) -> Column:
     return out.cast("int")
 
 
-def _words(c) -> Column:
-    """Whitespace-separated words, blanks dropped (like Python's str.split())."""
-    return F.filter(F.split(_col(c), r"\s+", -1), lambda x: x != F.lit(""))
-
-
 def age_group(segment, serve: bool = False) -> Column:
+    """First whitespace-separated word (null when there is none)."""
     seg = _col(segment)
     if serve:
         seg = F.coalesce(seg, F.lit(C.SERVE_DEFAULT_SEGMENT))
-    return F.get(_words(seg), 0)
+    return F.nullif(F.regexp_extract(seg, r"^\s*(\S+)", 1), F.lit(""))
 
 
 def user_type(segment, serve: bool = False) -> Column:
-    """Words after the first, joined by one space. Serving: 'User' when the
-    segment has a single word."""
+    """Words after the first, joined by one space (like ' '.join(s.split()[1:])).
+    Serving: 'User' when the segment has a single word."""
     seg = _col(segment)
     if serve:
         seg = F.coalesce(seg, F.lit(C.SERVE_DEFAULT_SEGMENT))
-    w = _words(seg)
-    rest = F.array_join(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), " ")
+    rest = F.regexp_extract(seg, r"(?s)^\s*\S+(.*)$", 1)
+    rest = F.regexp_replace(F.regexp_replace(rest, r"^\s+|\s+$", ""), r"\s+", " ")
     if serve:
-        rest = F.when(F.size(w) > 1, rest).otherwise(F.lit(C.SERVE_DEFAULT_USER_TYPE))
+        rest = F.when(rest != F.lit(""), rest).otherwise(F.lit(C.SERVE_DEFAULT_USER_TYPE))
     return rest
 
 
@@ -71,12 +67,22 @@ def app_major_version(v, serve: bool = False) -> Column:
     return major.cast("int")
 
 
+# Longest version text scored; longer ones count as unparsable.
+MAX_VERSION_PARTS = 16
+
+
 def version_score(v, serve: bool = False) -> Column:
     """Sum of part_n / 10^n (n from 0): '3.10.1' -> 4.01. Any bad part -> null
-    (training) or 3.0 (serving)."""
+    (training) or 3.0 (serving). Unrolled over at most MAX_VERSION_PARTS
+    parts, so the expression stays in generated code."""
     parts = _version_parts(v)
-    terms = F.transform(parts, lambda x, i: F.trim(x).try_cast("double") / F.pow(F.lit(10.0), i))
-    score = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+    n = F.size(parts)
+    score = None
+    for i in range(MAX_VERSION_PARTS):
+        term = F.when(n > i, F.trim(F.get(parts, i)).try_cast("double") / F.lit(float(10 ** i))) \
+            .otherwise(F.lit(0.0))
+        score = (F.lit(0.0) + term) if score is None else score + term
+    score = F.when((n >= 1) & (n <= MAX_VERSION_PARTS), score)
     if serve:
         score = F.coalesce(score, F.lit(C.SERVE_DEFAULT_VERSION_SCORE))
     return score.cast("double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,14 +36,13 @@ def category_counts() -> dict[str, Column]:
 
 def other_screens(screen_list, serve: bool = False) -> Column:
     """Count of comma tokens (repeats included) that are non-empty and not
-    *exactly* a tracked name. Serving also skips blank tokens."""
-    s = F.coalesce(F.col(screen_list) if isinstance(screen_list, str) else screen_list, F.lit(""))
-    known = F.array(*[F.lit(n) for n in C.TRACKED_SCREENS])
+    *exactly* a tracked name. Serving also skips blank tokens.
 
-    def keep(x):
-        cond = (x != F.lit("")) & ~F.array_contains(known, x)
-        if serve:
-            cond = cond & (F.trim(x) != F.lit(""))
-        return cond
-
-    return F.size(F.filter(F.split(s, ",", -1), keep)).cast("int")
+    One regular expression counted per row (stays in generated code): a
+    match starts at a token boundary, is not a tracked name followed by a
+    boundary, and takes the whole token."""
+    s = F.coalesce(F.col(screen_list) if isinstance(screen_list, str) else screen_list, F.lit(""))
+    names = "|".join(re.escape(n) for n in C.TRACKED_SCREENS)
+    blank = r"(?!\s+(?:,|$))" if serve else ""
+    pattern = rf"(?<=^|,)(?!(?:{names})(?:,|$)){blank}[^,]+"
+    return F.regexp_count(s, F.lit(pattern)).cast("int")

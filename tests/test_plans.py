@@ -57,3 +57,21 @@ def test_hot_user_merge(spark):
     merged = M.merge_existing_wins(old, new)
     assert merged.count() == 9000 + 98
     assert merged.where((F.col("user_id") == 1) & (F.col("v") == -1)).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["train", "serve"])
+def test_featurize_is_fully_codegen(spark, mode):
+    from purchase_signals.operators.featurize import featurize
+    from purchase_signals.plans.catalog import log_table
+
+    plan = plan_of(featurize(log_table(spark, SF_SMALL), mode=mode))
+    ops = [line.strip(" :+-") for line in plan.splitlines() if line.strip(" :+-")]
+    assert ops and all(op.startswith("*(") for op in ops), plan[:2000]
+
+
+def test_long_versions_are_unparsable(spark):
+    from purchase_signals.functions import categorical as cat
+    v = ".".join(["1"] * (cat.MAX_VERSION_PARTS + 1))
+    r = spark.createDataFrame([(v,)], "v string").select(
+        cat.version_score("v").alias("s"), cat.version_score("v", serve=True).alias("ss")).first()
+    assert r.s is None and r.ss == 3.0
