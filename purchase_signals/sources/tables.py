@@ -56,9 +56,10 @@ def _screen_expr() -> F.Column:
             .when(et == "signup", signup).when(et == "error", F.lit("Home")))
 
 
-def _ordered_join(items: F.Column, key: str, value: str) -> F.Column:
-    """Comma-join ``value`` of an array of structs in ``key`` order."""
-    return F.array_join(F.transform(F.sort_array(items), lambda x: x[value]), ",")
+def _ordered_join(items: F.Column, value: str) -> F.Column:
+    """Comma-join the ``value`` field of an array of structs, in the order of
+    the structs (their leading fields)."""
+    return F.array_join(F.sort_array(items).getField(value), ",")
 
 
 def visits_from_events(events: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def visits_from_events(events: DataFrame) -> DataFrame:
     hourly = ev.groupBy("user_id", "d", "hr").agg(
         _ordered_join(
             F.collect_list(F.when(F.col("screen").isNotNull(), F.struct("ts", "event_id", "screen"))),
-            "ts", "screen").alias("part"),
+            "screen").alias("part"),
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(is_purchase, 0).otherwise(1)).alias("n_screens"),
         F.max(F.when(F.col("screen") == "Search", 1).otherwise(0)).alias("search"),
@@ -87,7 +88,7 @@ def visits_from_events(events: DataFrame) -> DataFrame:
     )
     daily = hourly.groupBy("user_id", "d").agg(
         _ordered_join(
-            F.collect_list(F.when(F.col("part") != "", F.struct("hr", "part"))), "hr", "part").alias("screen_list"),
+            F.collect_list(F.when(F.col("part") != "", F.struct("hr", "part"))), "part").alias("screen_list"),
         F.sum("n").alias("session_count"),
         F.sum("n_screens").cast("long").alias("total_screens_viewed"),
         F.max("search").cast("int").alias("used_search_feature"),
