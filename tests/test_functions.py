@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from purchase_signals import config as C
 from purchase_signals.functions import categorical as cat
