@@ -81,3 +81,25 @@ def featurize_increment(spark: SparkSession, root: str, version: str, new_rows:
     files.append_run(run, root)
     todo.unpersist()
     return version
+
+
+def score_with_active_model(spark: SparkSession, root: str, records: DataFrame, key: list[str] | None = None):
+    """Score raw records (one or many) with the registry's active model
+    (M12, M13, T5): serving features -> model columns -> stored scaler ->
+    forest, plus each row's top influences from the forest's importances.
+    Returns (predictions, influences)."""
+    from ..operators import model as ML
+    from ..operators import prepare as P
+    from ..operators import score as SC
+    from ..sources import registry
+
+    key = key or ["user_id"]
+    model, feats, scaler, scaled, version = registry.load_active_model(spark, root)
+    served = featurize(records, mode="serve")
+    aligned = served.select(*key, *[F.col(c) for c in P.align_features(served, feats).columns])
+    x = P.apply_scaler_table(aligned, scaler, scaled)
+    pred = ML.predict(model, x, feats, key).withColumn("model_version", F.lit(version))
+    # one weight per model feature (bounded by the model width)
+    weights = model.stages[-1].featureImportances.toArray().tolist()
+    imp = F.struct(*[F.lit(float(w)).alias(f) for f, w in zip(feats, weights)])
+    return pred, SC.feature_influence(x, imp, feats, key)
