@@ -172,3 +172,13 @@ def test_fingerprint_is_order_free(spark, log):
     a = Q.batch_fingerprint(log).first()
     b = Q.batch_fingerprint(log.repartition(7).orderBy(F.rand(1))).first()
     assert a == b
+
+
+def test_run_ids():
+    import re
+    from purchase_signals.plans.runs import run_id
+    now = dt.datetime(2024, 5, 1, 12, 30, 5)
+    for prefix in ("retail_v", "rf", "pred"):
+        rid = run_id(prefix, now)
+        assert re.fullmatch(rf"{prefix}_20240501_123005_[0-9a-f]{{8}}", rid)
+    assert run_id("rf", now) == run_id("rf", now)
