@@ -20,11 +20,13 @@ from ..operators.quality import feature_run_stats
 from ..sources import files
 
 
-def run_id(prefix: str, now: dt.datetime | None = None) -> str:
-    """``prefix_<yyyymmdd_HHMMSS>_<8 hex>`` computed once on the driver."""
+def run_id(prefix: str, now: dt.datetime | None = None, sep: str = "_") -> str:
+    """``<prefix><sep><yyyymmdd_HHMMSS>_<8 hex>`` computed once on the driver
+    and used as a literal (F21): ``rf_…``, ``pred_…``; feature versions use
+    ``run_id("retail_v", sep="")``."""
     now = now or dt.datetime.now()
     stamp = now.strftime("%Y%m%d_%H%M%S")
-    return f"{prefix}_{stamp}_{hashlib.md5(f'{prefix}{now.isoformat()}'.encode()).hexdigest()[:8]}"
+    return f"{prefix}{sep}{stamp}_{hashlib.md5(f'{prefix}{now.isoformat()}'.encode()).hexdigest()[:8]}"
 
 
 def ingest_batch(spark: SparkSession, batch: DataFrame, root: str, ingest_run: str,

@@ -178,7 +178,8 @@ def test_run_ids():
     import re
     from purchase_signals.plans.runs import run_id
     now = dt.datetime(2024, 5, 1, 12, 30, 5)
-    for prefix in ("retail_v", "rf", "pred"):
+    for prefix in ("rf", "pred"):
         rid = run_id(prefix, now)
         assert re.fullmatch(rf"{prefix}_20240501_123005_[0-9a-f]{{8}}", rid)
+    assert re.fullmatch(r"retail_v20240501_123005_[0-9a-f]{8}", run_id("retail_v", now, sep=""))
     assert run_id("rf", now) == run_id("rf", now)
