@@ -35,12 +35,17 @@ def model_frame(df: DataFrame, date_like: list[str] | None = None) -> DataFrame:
     return df.drop(*sorted(drop))
 
 
-def dense_columns(df: DataFrame, max_share: float = C.MAX_MISSING_SHARE) -> list[str]:
-    """Columns with null share <= max (P10); one aggregate row."""
+def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Row count and null count per column, from one aggregate row."""
     one = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.count_if(F.col(c).isNull()).alias(f"__z{i}") for i, c in enumerate(df.columns)]).first()
-    n = one["__n"] or 0
-    return [c for i, c in enumerate(df.columns) if n == 0 or one[f"__z{i}"] / n <= max_share]
+    return one["__n"] or 0, {c: one[f"__z{i}"] for i, c in enumerate(df.columns)}
+
+
+def dense_columns(df: DataFrame, max_share: float = C.MAX_MISSING_SHARE) -> list[str]:
+    """Columns with null share <= max (P10); one aggregate row."""
+    n, nulls = null_counts(df)
+    return [c for c in df.columns if n == 0 or nulls[c] / n <= max_share]
 
 
 def split_hash(key_cols: list[str], seed: int = C.RANDOM_STATE) -> Column:
@@ -86,14 +91,16 @@ def impute(df: DataFrame, fit: DataFrame | None = None, cols: list[str] | None =
     nulls -> false (F19). The label is never imputed. Medians come from one
     scalar subquery, computed once."""
     fit = fit if fit is not None else df
-    cols = cols or [c for c in numeric_columns(df) if c != C.TARGET]
+    cols = [c for c in numeric_columns(df) if c != C.TARGET] if cols is None else cols
     bools = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
-    # Bind the subquery once as a column; every feature reads that column.
-    df = df.withColumn("_medians", medians_struct(fit, cols, exact))
-    m = F.col("_medians")
-    filled = {c: F.coalesce(F.col(c).cast("double"), m[c]) for c in cols}
-    filled.update({b: F.coalesce(F.col(b), F.lit(False)) for b in bools})
-    return df.withColumns(filled).drop("_medians")
+    filled = {b: F.coalesce(F.col(b), F.lit(False)) for b in bools}
+    if cols:
+        # Bind the subquery once as a column; every feature reads that column.
+        df = df.withColumn("_medians", medians_struct(fit, cols, exact))
+        m = F.col("_medians")
+        filled.update({c: F.coalesce(F.col(c).cast("double"), m[c]) for c in cols})
+        return df.withColumns(filled).drop("_medians")
+    return df.withColumns(filled)
 
 
 def scaler_fit(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -154,17 +161,19 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     # the forest read the split rows instead of re-deriving the thresholds.
     split = stratified_split(features, key_cols).checkpoint()
     m = model_frame(split.drop("h"))
-    keep = dense_columns(m.drop("is_test"))
+    n, nulls = null_counts(m.drop("is_test"))
+    keep = [c for c in m.columns if c != "is_test" and (n == 0 or nulls[c] / n <= C.MAX_MISSING_SHARE)]
     if C.TARGET not in keep:
         raise ValueError(f"target column {C.TARGET} not found")
     m = m.select(*keep, "is_test")
-    n = m.select(F.count(F.lit(1))).first()[0]
     if n < C.MIN_TRAINING_ROWS:
         raise ValueError(f"insufficient data for training: {n} rows (< {C.MIN_TRAINING_ROWS})")
     feats = [c for c in keep if c != C.TARGET]
     nums = [c for c in numeric_columns(m) if c != C.TARGET]
     train = m.where(~F.col("is_test"))
-    imp = impute(m, fit=m if fit_on == "all" else train, cols=nums).checkpoint()
+    # like the original, only columns that have nulls get a median
+    missing = [c for c in nums if nulls[c] > 0]
+    imp = impute(m, fit=m if fit_on == "all" else train, cols=missing).checkpoint()
     train_imp = imp.where(~F.col("is_test"))
     scaler = scaler_fit(train_imp, nums)
     return apply_scaler(imp, nums, fit=train_imp), feats, nums, scaler
