@@ -128,7 +128,15 @@ def reprocess_decision(spark, sf_dir):
     return D.reprocess_decision(log, X.feature_runs_with_columns(log), X.RAW_COLUMNS, now)
 
 
-@register("model_history")
+HISTORY_SQL = """
+SELECT h.model_version, h.trained_at, substr(h.model_version, 4, 10) AS data_version, h.status,
+       h.test_f1 AS test_f1_score, r.record_count, r.purchase_rate,
+       h.test_f1 - lag(h.test_f1) OVER (ORDER BY h.trained_at) AS f1_change
+FROM hist h LEFT JOIN runs r ON substr(h.model_version, 4, 10) = r.processing_version"""
+
+
+@register("model_history", S.with_app_log(HISTORY_SQL, features=True, recursive=True,
+                                           **_hist_ctes(runs=RUNS_SQL)))
 def model_history(spark, sf_dir):
     h = _history(spark, sf_dir)
     models = h.select("model_version", "trained_at", F.substring("model_version", 4, 10).alias("data_version"),
