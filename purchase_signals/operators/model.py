@@ -118,7 +118,8 @@ def cross_validate(spark: SparkSession, train: DataFrame, features: list[str], k
     (A17) as extra rows. Folds are trained one after another; each fit is a
     distributed MLlib job; folds are submitted concurrently (``parallelism``)
     so their jobs share the cluster."""
-    data = train.withColumn("_fold", fold_column(key_cols, k)).cache()
+    # written once: every fold's passes read files, not the lineage or a cache
+    data = train.withColumn("_fold", fold_column(key_cols, k)).checkpoint()
     evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
 
     def run(fold: int) -> tuple[str, float]:
@@ -130,7 +131,6 @@ def cross_validate(spark: SparkSession, train: DataFrame, features: list[str], k
 
     with ThreadPoolExecutor(max_workers=max(1, min(k, parallelism))) as pool:
         rows = list(pool.map(run, range(k)))
-    data.unpersist()
     folds = spark.createDataFrame(rows, "fold string, weighted_f1 double")
     summary = folds.agg(F.avg("weighted_f1").alias("m"), F.stddev_pop("weighted_f1").alias("s"))
     return folds.unionByName(summary.select(F.lit("mean").alias("fold"), F.col("m").alias("weighted_f1"))) \
