@@ -19,6 +19,7 @@ into windows of power-of-two length, which need none.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import deque
 from collections.abc import Iterator
@@ -43,7 +44,57 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 #: A word of plain Latin letters with plain punctuation behind it: its
 #: normal form is its lower case, and letters and punctuation are one piece each.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?&%$#*()\"|+-]{0,4})")
+
+
+def byte_symbols() -> dict[str, int]:
+    """The byte behind each symbol of a byte-level vocabulary: printable Latin-1
+    characters stand for themselves, the other bytes for characters from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class PlainWords:
+    """The same merges run by tiktoken, for words of plain letters.
+
+    A word's end is the byte 0, which no such word has; it joins the last byte
+    first.  Merging neighbours by the rank of what they make gives the
+    tokenizer's ids because each of its tokens, taken as a word, is encoded as
+    itself: neighbours that make a token always are the two parts of its merge
+    (tests check that for the whole vocabulary).
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        byte = byte_symbols()
+
+        def raw(token: str) -> bytes:
+            return bytes(map(byte.__getitem__, token.removesuffix("</w>"))) + b"\0" * token.endswith("</w>")
+
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ends = [c + "</w>" for c in byte]
+        order = [*ends, *(a + b for a, b in pairs), *byte]
+        ranks: dict[bytes, int] = {}
+        self.ids = np.zeros(len(order) + 1, "<u4")
+        self.ends = np.array([*(token.endswith("</w>") for token in order), True])
+        for k, token in enumerate(order):
+            if raw(token) not in ranks:
+                ranks[raw(token)] = k
+                self.ids[k] = model["vocab"][token]
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, in one call."""
+        if not words:
+            return []
+        got = np.array(self.encoding.encode_ordinary("\0".join(words) + "\0"))
+        data = self.ids[got].tobytes()
+        stops = ((np.flatnonzero(self.ends[got]) + 1) * 4).tolist()
+        return [data[i:j] for i, j in zip([0, *stops], stops, strict=False)]
 
 
 class WordIds(dict):
@@ -58,35 +109,38 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.plain = PlainWords(path)
+        self.marks: dict[str, bytes] = {"": b""}
         vocab = self.tokenizer.get_vocab()
         self.sentence_end = np.zeros(max([END_ID, *vocab.values()]) + 1, bool)
         for token, i in vocab.items():
             self.sentence_end[i] = bool(re.fullmatch(r"\W*[.!?]\W*</w>", token))
 
-    def encode(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.encode(piece)
-        return ids
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        plain = PLAIN.fullmatch(text)
-        ids = self.piece(plain[1].lower()) + self.piece(plain[2]) if plain and (plain[2] or len(word) < 40) else self.encode(text)
-        if len(self) >= CACHE_WORDS:
+    def encode(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def mark(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            self.marks[marks] = self.encode(marks)
+        return self.marks[marks]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Make sure that every word is a key."""
+        new = [w for w in set(words) if w not in self]
+        if new and len(self) + len(new) > CACHE_WORDS:
             self.clear()
-        self[word] = ids
-        return ids
+            new = list(set(words))
+        texts = [w.decode() for w in new]
+        plain = [PLAIN.fullmatch(t) if len(t) < 60 else None for t in texts]
+        stems = iter(self.plain.encode([p[1].lower() for p in plain if p]))
+        for w, t, p in zip(new, texts, plain, strict=True):
+            self[w] = next(stems) + self.mark(p[2]) if p else self.encode(t)
 
     def text(self, text: str | None) -> np.ndarray:
         """The ids of a whole text with ``END_ID`` behind them."""
-        return np.frombuffer(b"".join(map(self.__getitem__, (text or "").encode().split())) + END_ID.to_bytes(4, "little"), "<u4")
+        words = (text or "").encode().split()
+        self.learn(words)
+        return np.frombuffer(b"".join(map(self.__getitem__, words)) + END_ID.to_bytes(4, "little"), "<u4")
 
 
 _LOADED: dict[str, WordIds] = {}

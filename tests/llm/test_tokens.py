@@ -132,3 +132,19 @@ def test_tree_merge_over_many_runs(spark):
     got = X.exact_dedup(df)
     assert got.where("kept").count() == 700
     assert got.where("keep_id <> doc_id % 700 OR group_size <> 4 + cast(doc_id % 700 < 200 AS int)").count() == 0
+
+
+def test_plain_words_have_the_tokenizers_ids():
+    import json
+
+    words = packing.word_ids(WORDS)
+    model = json.load(open(WORDS))["model"]
+    for token, i in model["vocab"].items():
+        if token.endswith("</w>"):
+            assert [t.id for t in words.tokenizer.model.tokenize(token.removesuffix("</w>"))] == [i]
+    sf = "/root/testdata/sf0.01"
+    seen = {w for (t,) in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet'").fetchall() for w in (t or "").split()}
+    for w in seen:
+        plain = packing.PLAIN.fullmatch(w)
+        if plain:
+            assert words.plain.encode([plain[1].lower()])[0] + words.mark(plain[2]) == words.encode(w), w
