@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, packing, repeats, toxicity
+from . import bpe, exact_dedup, langid, packing, pii, repeats, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -53,6 +53,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagged = pii.tag(docs, pii.fit(docs))
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    base = F.filter("spans", lambda s: s["base"])
+    of = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+    counts = [of(k).alias(f"n_{k}") for k in pii.KINDS]
+    return tagged.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                         F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))
+
+
 @query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
