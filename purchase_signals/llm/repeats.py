@@ -119,10 +119,15 @@ _HASHER: list[Hasher] = []
 
 
 def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of texts given as (text_sha256, bytes)."""
+    """Anchors of texts given as (text_sha256, bytes).  A task takes a text that
+    it has met before only once, so that copies thin out before any shuffle."""
     if not _HASHER:
         _HASHER.append(Hasher())
+    met: set[str] = set()
     for batch in batches:
+        names = batch.column(0).to_pylist()
+        fresh = [i for i, name in enumerate(names) if not (name in met or met.add(name))]
+        batch = batch.take(pa.array(fresh, pa.int32()))
         for data, row, place in slices(batch):
             end = np.arange(len(data) - LENGTH + 1) + LENGTH - 1
             start_ok = (row[:len(end)] == row[end]) & (place[end] - place[:len(end)] == LENGTH - 1)
