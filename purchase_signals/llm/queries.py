@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, packing, pii, repeats, toxicity
+from . import ann, bpe, exact_dedup, langid, packing, pii, repeats, toxicity, wrappers
 
 QUERIES = {}
 ORACLES = {}
@@ -47,6 +47,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -76,3 +81,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.fit(docs))
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_nearest")
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
