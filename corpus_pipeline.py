@@ -1,8 +1,10 @@
 """Corpus pipeline: documents to packed training sequences in five stages.
 
-Each stage reads what its predecessor kept and returns the columns of
-``documents``, but for the last, which returns packed pieces.  ``run`` writes
-every stage as Parquet in the shared folder and reads it back.
+Each stage reads all that its predecessor kept; all but the last return the
+columns of ``documents``.  ``run`` writes every stage as Parquet in the shared
+folder and reads it back.  Language ID, near duplicates, personal data and
+packing are beyond SQL, so there is no ORACLE_SQL; tests hold every stage
+against a brute-force version.
 """
 
 from __future__ import annotations
@@ -12,22 +14,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from purchase_signals.llm import exact_dedup as exact
-from purchase_signals.llm import packing
+from purchase_signals.llm import jaccard, langid, packing, pii
 from purchase_signals.llm.common import stage
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null text, no letter) go; the others stay
+    and get the predicted language as their ``lang``."""
+    tagged = langid.annotate(docs, langid.fit(docs))
+    return tagged.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(docs.columns)
+
+
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (up to white space) the smallest doc_id stays."""
+    """Of equal texts (up to white space) the one with the smallest doc_id stays."""
     return exact.deduplicated(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked documents the one with the smallest doc_id stays."""
+    return jaccard.first_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by marks; ``n_chars`` follows."""
+    clean = pii.mask(docs, pii.fit(docs))
+    return clean.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4,096 ids."""
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-STAGES = [("exact_dedup", exact_duplicates), ("packing", pack)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("ngram_jaccard", near_duplicates),
+          ("pii", personal_data), ("packing", pack)]
 ORACLE_SQL = None
 
 

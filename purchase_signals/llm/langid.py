@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import prepare
+from .common import columns, prepare
 from .toxicity import held_out
 
 DIMS = 512
@@ -129,30 +130,46 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Profiles(tuple(names), out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12))
 
 
+def scores(texts: pa.Array, profiles: Profiles) -> tuple[pa.Array, pa.Array]:
+    h, names, best = letters(), [], []
+    for text in texts:
+        v = h.bundle(text.as_py()) if profiles.languages else None
+        if v is None:
+            names.append("und")
+            best.append(0.0)
+            continue
+        cosine = profiles.prototypes @ v / max(float(np.linalg.norm(v)), 1e-12)
+        k = int(np.argmax(cosine))
+        names.append(profiles.languages[k])
+        best.append(min(1.0, max(0.0, float(cosine[k]))))
+    return pa.array(names, pa.string()), pa.array(best, pa.float64())
+
+
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns' rows one to one as doc_id, lang_pred, score.
+    """The rows one to one as doc_id, lang_pred, score.
 
     ``und`` with score 0 where the text is null, empty or has no letter, or
     where no language was learned; else the score is the cosine with the best
-    prototype, cut to 0 to 1.  Ties go to the first language by name.
+    prototype, cut to 0 to 1.  Ties go to the first language by name.  Repeated
+    rows are predicted alike; other columns are ignored.
     """
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = letters()
         for b in batches:
-            names, scores = [], []
-            for text in b.column(1):
-                v = h.bundle(text.as_py()) if profiles.languages else None
-                if v is None:
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                cosine = profiles.prototypes @ v / max(float(np.linalg.norm(v)), 1e-12)
-                k = int(np.argmax(cosine))
-                names.append(profiles.languages[k])
-                scores.append(min(1.0, max(0.0, float(cosine[k]))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
+            yield pa.RecordBatch.from_arrays([b.column(0), *scores(b.column(1), profiles)], names=["doc_id", "lang_pred", "score"])
+
+    return columns(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_col: str = "lang_pred") -> DataFrame:
+    """``docs`` with all its columns and one more, the predicted language."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.append_column(pred_col, scores(b.column(at), profiles)[0])
+
+    schema = StructType([*docs.schema.fields, StructField(pred_col, StringType())])
+    return docs.mapInArrow(run, schema)

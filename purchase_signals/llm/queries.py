@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, langid, packing, pii, repeats, toxicity, wrappers
+from . import ann, bpe, exact_dedup, jaccard, langid, packing, pii, repeats, toxicity, wrappers
 
 QUERIES = {}
 ORACLES = {}
@@ -52,6 +52,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op5_ngram_jaccard")
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
