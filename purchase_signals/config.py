@@ -50,13 +50,20 @@ HASH_KEY_FIELDS = ["user_id", "first_visit_date"]
 HASH_SEPARATOR = "|"
 
 # Date formats tried, in order, after ISO (month first).
-DATE_FORMATS_SPARK = ["MM/dd/yyyy", "yyyy/MM/dd"]
-DATE_FORMATS_DUCKDB = ["%m/%d/%Y", "%Y/%m/%d"]
+DATE_FORMATS_SPARK = ["M/d/yyyy", "yyyy/M/d", "yyyy-M-d", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "yyyyMMdd"]
+DATE_FORMATS_DUCKDB = ["%m/%d/%Y", "%Y/%m/%d", "%Y-%m-%d", "%b %d, %Y", "%B %d, %Y", "%d %b %Y", "%Y%m%d"]
+# Each date format may be followed by a time of day.
+TIME_SUFFIX_SPARK = "[ H:m[:s]]"
+TIME_SUFFIXES_DUCKDB = ["", " %H:%M", " %H:%M:%S"]
 
 # Date-like text patterns (unanchored) used to drop text columns.
 DATE_LIKE_PATTERN = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}"
 
 # Batch gates, thresholds and training parameters.
+# Partitions that a forest's training rows are dealt to, and the greatest number
+# of rows it is fitted to.
+FIT_PARTITIONS = 32
+MAX_TRAINING_ROWS = 2_000_000
 MIN_INGEST_BATCH = 200
 MIN_FEATURIZE_BATCH = 100
 MAX_MISSING_SHARE = 0.3
@@ -102,10 +109,6 @@ SCREEN_CATEGORIES = {
 }
 TRACKED_SCREENS = SHOPPING_SCREENS + CART_SCREENS + ENGAGEMENT_SCREENS + ACCOUNT_SCREENS
 
-# Largest vocabulary accepted per categorical column: it becomes columns, so
-# it must stay small whatever the data size.
-MAX_CATEGORIES_PER_COLUMN = 256
-
 # Vocabulary fitted on the shared app-log fixture (checked by a test against
 # ``fit_vocabulary``); used where a static column list is required.
 FIXTURE_VOCABULARY = {

@@ -67,22 +67,12 @@ def app_major_version(v, serve: bool = False) -> Column:
     return major.cast("int")
 
 
-# Longest version text scored; longer ones count as unparsable.
-MAX_VERSION_PARTS = 16
-
-
 def version_score(v, serve: bool = False) -> Column:
-    """Sum of part_n / 10^n (n from 0): '3.10.1' -> 4.01. Any bad part -> null
-    (training) or 3.0 (serving). Unrolled over at most MAX_VERSION_PARTS
-    parts, so the expression stays in generated code."""
-    parts = _version_parts(v)
-    n = F.size(parts)
-    score = None
-    for i in range(MAX_VERSION_PARTS):
-        term = F.when(n > i, F.trim(F.get(parts, i)).try_cast("double") / F.lit(float(10 ** i))) \
-            .otherwise(F.lit(0.0))
-        score = (F.lit(0.0) + term) if score is None else score + term
-    score = F.when((n >= 1) & (n <= MAX_VERSION_PARTS), score)
+    """Sum of part_n / 10^n (n from 0) over all parts: '3.10.1' -> 4.01. Any
+    bad part -> null (training) or 3.0 (serving). From part 309 on the divisor
+    leaves the range of a double and a part adds nothing."""
+    terms = F.transform(_version_parts(v), lambda p, n: F.trim(p).try_cast("double") / F.pow(F.lit(10.0), n.cast("double")))
+    score = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
     if serve:
         score = F.coalesce(score, F.lit(C.SERVE_DEFAULT_VERSION_SCORE))
     return score.cast("double")

@@ -12,16 +12,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column) -> Column:
+    """Text without white space (blanks, tabs, line ends) at either end."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def parse_date(c) -> Column:
     """Permissive parse to TIMESTAMP_NTZ; unparsable or null text -> null.
 
-    ISO text first (with or without time, surrounding blanks ignored), then the
-    declared formats, month first. Never raises under ANSI mode.
+    ISO text first (with or without time, surrounding white space ignored),
+    then the declared formats, month first, each with or without a time of
+    day. Never raises under ANSI mode.
     """
-    s = F.trim(_col(c).cast("string"))
+    s = strip(_col(c).cast("string"))
     tries = [s.try_cast("timestamp_ntz")]
     for fmt in C.DATE_FORMATS_SPARK:
-        tries.append(F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"))
+        tries.append(F.try_to_timestamp(s, F.lit(fmt + C.TIME_SUFFIX_SPARK)).cast("timestamp_ntz"))
     return F.coalesce(*tries)
 
 

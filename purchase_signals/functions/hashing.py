@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .dates import parse_date
+from .dates import parse_date, strip
 
 
 def _key_text(name: str) -> Column:
     """Key as trimmed text; null becomes 'nan' so that different keys never
     collapse onto the same joined string."""
-    return F.coalesce(F.trim(F.col(name).cast("string")), F.lit("nan"))
+    return F.coalesce(strip(F.col(name).cast("string")), F.lit("nan"))
 
 
 def normalized_date_text(name: str) -> Column:

@@ -43,6 +43,6 @@ def other_screens(screen_list, serve: bool = False) -> Column:
     boundary, and takes the whole token."""
     s = F.coalesce(F.col(screen_list) if isinstance(screen_list, str) else screen_list, F.lit(""))
     names = "|".join(re.escape(n) for n in C.TRACKED_SCREENS)
-    blank = r"(?!\s+(?:,|$))" if serve else ""
-    pattern = rf"(?<=^|,)(?!(?:{names})(?:,|$)){blank}[^,]+"
+    blank = r"(?!\s+(?:,|\z))" if serve else ""
+    pattern = rf"(?<=^|,)(?!(?:{names})(?:,|\z)){blank}[^,]+"
     return F.regexp_count(s, F.lit(pattern)).cast("int")

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import whole_days_between
-from .joins import join_bounded
-
-# Run tables grow by one row per run; beyond this they are not broadcast.
-MAX_RUNS = 100_000
 
 
 def latest_run(runs: DataFrame, order_col: str = "processed_at") -> DataFrame:
@@ -115,8 +111,8 @@ def model_history(models: DataFrame, runs: DataFrame) -> DataFrame:
     """Model rows with their data run (J4), F1 read from the metrics map
     (F24, null if absent) and the change against the previous model (T4).
     The lag window runs over the model table (one row per training)."""
-    j = join_bounded(models, runs.select(F.col("processing_version").alias("data_version"),
-                                         "record_count", "purchase_rate"), "data_version", "left", MAX_RUNS)
+    j = models.join(runs.select(F.col("processing_version").alias("data_version"), "record_count", "purchase_rate"),
+                    "data_version", "left")
     f1 = F.try_element_at(F.col("metrics"), F.lit("test_f1_score"))
     w = Window.orderBy("trained_at")
     return j.select("model_version", "trained_at", "data_version", "status", f1.alias("test_f1_score"),

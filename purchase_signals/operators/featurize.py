@@ -37,19 +37,12 @@ def one_hot_columns(vocab: dict[str, list[str]]) -> list[str]:
             for src in C.ONE_HOT_PREFIX for v in vocab.get(src, [])]
 
 
-def check_vocabulary(vocab: dict[str, list[str]]) -> None:
-    for src, values in vocab.items():
-        if len(values) > C.MAX_CATEGORIES_PER_COLUMN:
-            raise ValueError(f"vocabulary of {src} has {len(values)} values (> {C.MAX_CATEGORIES_PER_COLUMN})")
-
-
 def featurize(df: DataFrame, vocab: dict[str, list[str]] | None = None, mode: str = "train",
               keep_hash: bool = False, processing_version: str | None = None) -> DataFrame:
     if mode not in ("train", "serve"):
         raise ValueError(mode)
     serve = mode == "serve"
     vocab = vocab if vocab is not None else C.FIXTURE_VOCABULARY
-    check_vocabulary(vocab)
 
     # Stage 1: parse, flag and split (narrow expressions on the raw row).
     fv = dates.parse_date("first_visit_date") if _has(df, "first_visit_date") else F.lit(None).cast("timestamp_ntz")

@@ -1,8 +1,8 @@
 """Incremental featurization and versioned merge.
 
-A version directory holds the whole merged table; the run row in
-``feature_runs`` is appended last and is the commit: readers pick a version
-from it, so a half-written version is never read.
+A version directory holds the rows the version added; the run row in
+``feature_runs`` is written last and is the commit: readers take the committed
+versions from it, so a half-written version is never read.
 """
 
 from __future__ import annotations
@@ -36,15 +36,6 @@ def merge_existing_wins(existing: DataFrame, new: DataFrame, key: list[str] | No
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 
-def restamp(df: DataFrame, version: str) -> DataFrame:
-    return df.withColumn("processing_version", F.lit(version))
-
-
-def latest_version(runs: DataFrame) -> DataFrame:
-    """processing_version of the latest run (T3): ``max_by``, no sort."""
-    return runs.select(F.max_by("processing_version", "processed_at").alias("processing_version"))
-
-
 def load_version(features: DataFrame, runs: DataFrame, version: str | None = None) -> DataFrame:
     """The feature table as of one version, the latest committed by default
     (S4): rows of every committed version up to it (each version stores the

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import stored
 from .metrics import binary_metrics, roc_auc
+from .prepare import stratified_folds
 
 
 @dataclass
@@ -38,19 +40,21 @@ class ForestParams:
 
 
 def with_class_weights(df: DataFrame, label: str = C.TARGET, weight_col: str = "class_weight") -> DataFrame:
-    """Balanced weights n / (k * n_c) as a column (M4); the per-class table has
-    one row per class, so AQE broadcasts it from its runtime size."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    k = counts.select(F.count(F.lit(1))).scalar()
-    w = counts.select(label, (total / (k * F.col("_n_c"))).alias(weight_col))
-    return df.join(w, label, "inner")
+    """Balanced weights n / (k * n_c) as a column (M4). The per-class counts
+    come from one scalar subquery (a map with one entry per class), so the
+    rows are projected where they are and never shuffled on the label."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    by_class = counts.select(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"), F.sum("n").alias("n"))
+    facts = by_class.select(F.struct("m", "n")).scalar()
+    out = df.where(F.col(label).isNotNull()).withColumn("_classes", facts)
+    weight = F.col("_classes")["n"] / (F.size(F.col("_classes")["m"]) * F.col("_classes")["m"][F.col(label)])
+    return out.withColumn(weight_col, weight).drop("_classes")
 
 
 def forest_pipeline(features: list[str], label: str = C.TARGET, weight_col: str | None = "class_weight",
                     params: ForestParams | None = None) -> Pipeline:
     p = params or ForestParams()
-    assembler = VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="error")
     rf = RandomForestClassifier(
         featuresCol="features_vec", labelCol=label, numTrees=p.num_trees, maxDepth=p.max_depth,
         minInstancesPerNode=p.min_instances_per_node, featureSubsetStrategy=p.feature_subset,
@@ -64,18 +68,30 @@ def prepare_for_fit(df: DataFrame, features: list[str], label: str = C.TARGET) -
     return df.withColumns({f: F.col(f).cast("double") for f in features} | {label: F.col(label).cast("double")})
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input at least one partition per core (MLlib runs one
-    job per tree level over the input's partitions); large inputs are left
-    as they are."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+def spread(df: DataFrame, partitions: int = C.FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by a hash of their values to a fixed number of partitions
+    and sorted by it there. MLlib draws its bags partition by partition, so
+    the forest depends on the rows alone, not on cores or on how the input
+    was laid out."""
+    return (df.withColumn("_row", F.xxhash64(*df.columns)).repartition(partitions, "_row")
+            .sortWithinPartitions("_row", *df.columns).drop("_row"))
+
+
+def bounded_sample(df: DataFrame, label: str = C.TARGET, max_rows: int = C.MAX_TRAINING_ROWS) -> DataFrame:
+    """At most about ``max_rows`` rows, the same share of every class, chosen by
+    a hash of the row. A forest with unlimited leaves grows with its rows and is
+    broadcast for scoring; this documented bound on the labelled rows used to
+    fit is what bounds it."""
+    total = df.select(F.count(F.lit(1))).scalar()
+    share = F.least(F.lit(1.0), F.lit(float(max_rows)) / total)
+    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
 
 
 def train_forest(train: DataFrame, features: list[str], label: str = C.TARGET,
                  params: ForestParams | None = None) -> PipelineModel:
     """Fit the forest with balanced class weights (M2)."""
-    data = spread(with_class_weights(prepare_for_fit(train, features, label), label))
+    data = bounded_sample(prepare_for_fit(train, features, label).select(*features, label), label)
+    data = spread(with_class_weights(data, label))
     return forest_pipeline(features, label, "class_weight", params).fit(data)
 
 
@@ -91,7 +107,7 @@ def evaluate(pred: DataFrame, label: str = C.TARGET) -> DataFrame:
     """Test metrics row: accuracy, precision, recall, f1, roc_auc. The
     predictions are written once first: each metric job would otherwise
     re-run the forest (and re-ship it to the executors)."""
-    pred = pred.checkpoint()
+    pred = stored(pred, "predictions")
     b = binary_metrics(pred, label, "prediction")
     auc = roc_auc(pred, label, "probability").select("roc_auc").scalar()
     return b.withColumn("roc_auc", auc)
@@ -106,25 +122,20 @@ def importances(spark: SparkSession, model: PipelineModel, features: list[str],
     return df.limit(top) if top else df
 
 
-def fold_column(key_cols: list[str], k: int = C.CV_FOLDS, seed: int = C.RANDOM_STATE) -> F.Column:
-    """Deterministic fold id from a key hash (stratified in expectation)."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)), F.lit(k)).cast("int")
-
-
 def cross_validate(spark: SparkSession, train: DataFrame, features: list[str], key_cols: list[str],
                    label: str = C.TARGET, k: int = C.CV_FOLDS, params: ForestParams | None = None,
                    parallelism: int = C.CV_FOLDS) -> DataFrame:
-    """k-fold CV with weighted F1 per fold (M3) and mean / population std
-    (A17) as extra rows. Folds are trained one after another; each fit is a
-    distributed MLlib job; folds are submitted concurrently (``parallelism``)
-    so their jobs share the cluster."""
+    """k-fold CV over stratified folds, weighted F1 per fold (M3), mean /
+    population std (A17) as extra rows. Each fit is a distributed MLlib job;
+    up to ``parallelism`` folds are submitted at a time, so their jobs share
+    the cluster."""
     # written once: every fold's passes read files, not the lineage or a cache
-    data = train.withColumn("_fold", fold_column(key_cols, k)).checkpoint()
+    data = stored(stratified_folds(train, key_cols, k, label), "folds")
     evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
 
     def run(fold: int) -> tuple[str, float]:
-        fit_part = data.where(F.col("_fold") != fold)
-        held = data.where(F.col("_fold") == fold)
+        fit_part = data.where(F.col("fold") != fold)
+        held = data.where(F.col("fold") == fold)
         model = train_forest(fit_part, features, label, params)
         scored = model.transform(prepare_for_fit(held, features, label))
         return str(fold), float(evaluator.evaluate(scored))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import stored
 from .quality import medians_struct, numeric_columns, string_columns
 
 
@@ -82,8 +83,31 @@ def stratified_split(df: DataFrame, key_cols: list[str], label: str = C.TARGET,
     smallest hash (all rows tied at the threshold go to test)."""
     h = df.withColumn("h", split_hash(key_cols, seed))
     thr = _kth_threshold(h.select(label, "h"), label, test_share)
-    out = h.join(thr, label, "left")
-    return out.withColumn("is_test", F.coalesce(F.col("h") <= F.col("threshold"), F.lit(False))).drop("threshold")
+    # one entry per class: the rows are projected, not shuffled on the label
+    by_class = thr.where(F.col(label).isNotNull()).select(
+        F.map_from_entries(F.collect_list(F.struct(label, "threshold"))).alias("m")).scalar()
+    out = h.withColumn("_thresholds", by_class)
+    at = F.try_element_at(F.col("_thresholds"), F.col(label))
+    return out.withColumn("is_test", F.coalesce(F.col("h") <= at, F.lit(False))).drop("_thresholds")
+
+
+def stratified_folds(df: DataFrame, key_cols: list[str], k: int = C.CV_FOLDS, label: str = C.TARGET,
+                     seed: int = C.RANDOM_STATE + 1) -> DataFrame:
+    """Adds ``fold`` (M3): per class, rows in order of a key hash are dealt to
+    the folds in turn, so a class's fold sizes differ by at most one and a row
+    keeps its fold however the frame is partitioned.
+
+    A row's place is the count of the class's smaller hash buckets (a window
+    over at most 4,096 bucket totals of a class) plus its place in its bucket,
+    so no task sorts a class."""
+    h = df.withColumn("_h", split_hash(key_cols, seed)).withColumn("_b", F.shiftright("_h", 20))
+    sizes = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(label).alias("_label"), F.col("_b").alias("_bucket"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", *key_cols)) - 1
+    ranked = h.withColumn("_place", place).join(offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_b") == F.col("_bucket")))
+    return ranked.withColumn("fold", F.pmod(F.col("_off") + F.col("_place"), F.lit(k)).cast("int")).drop(
+        "_h", "_b", "_place", "_label", "_bucket", "_off")
 
 
 def impute(df: DataFrame, fit: DataFrame | None = None, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -133,9 +157,9 @@ def apply_scaler(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -
 
 def apply_scaler_table(df: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
     """(x - mean) / scale from a stored scaler table (pos, feature, mean,
-    scale); one row per feature, so the map is bounded by the model width."""
-    df = df.withColumn("_scaler", scaler.select(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale"))))).scalar())
+    scale), bound once as a struct with a field per feature."""
+    fields = [F.max(F.when(F.col("feature") == c, F.struct("mean", "scale"))).alias(c) for c in cols]
+    df = df.withColumn("_scaler", scaler.agg(*fields).select(F.struct(*[F.col(f"`{c}`") for c in cols])).scalar())
     p = F.col("_scaler")
     return df.withColumns({c: (F.col(c).cast("double") - p[c]["mean"]) / p[c]["scale"] for c in cols}).drop("_scaler")
 
@@ -152,28 +176,30 @@ def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit
     before the split as the original did) -> scale numeric features with
     training-row parameters.
 
-    Returns (frame with ``is_test``, feature names, scaled names, scaler
+    Returns (frame with the key columns and ``is_test``, feature names, scaled names, scaler
     table). The scaler table (pos, feature, mean, std, scale) is what serving
     applies to new rows.
     """
     key_cols = key_cols or ["user_id", "log_ts"]
     # Written once: every later statistic (null shares, medians, scaler) and
     # the forest read the split rows instead of re-deriving the thresholds.
-    split = stratified_split(features, key_cols).checkpoint()
+    split = stored(stratified_split(features, key_cols), "split") if "is_test" not in features.columns else features
     m = model_frame(split.drop("h"))
     n, nulls = null_counts(m.drop("is_test"))
+    keys = [k for k in key_cols if k not in m.columns]
     keep = [c for c in m.columns if c != "is_test" and (n == 0 or nulls[c] / n <= C.MAX_MISSING_SHARE)]
     if C.TARGET not in keep:
         raise ValueError(f"target column {C.TARGET} not found")
-    m = m.select(*keep, "is_test")
+    m = lower_names(split).select(*keys, *keep, "is_test")
     if n < C.MIN_TRAINING_ROWS:
         raise ValueError(f"insufficient data for training: {n} rows (< {C.MIN_TRAINING_ROWS})")
     feats = [c for c in keep if c != C.TARGET]
-    nums = [c for c in numeric_columns(m) if c != C.TARGET]
+    nums = [c for c in numeric_columns(m.select(*keep)) if c != C.TARGET]
     train = m.where(~F.col("is_test"))
     # like the original, only columns that have nulls get a median
     missing = [c for c in nums if nulls[c] > 0]
-    imp = impute(m, fit=m if fit_on == "all" else train, cols=missing).checkpoint()
+    imp = impute(m, fit=m if fit_on == "all" else train, cols=missing)
+    imp = stored(imp, "imputed")
     train_imp = imp.where(~F.col("is_test"))
-    scaler = scaler_fit(train_imp, nums)
-    return apply_scaler(imp, nums, fit=train_imp), feats, nums, scaler
+    scaler = stored(scaler_fit(train_imp, nums), "scaler")
+    return apply_scaler_table(imp, scaler, nums), feats, nums, scaler

@@ -6,7 +6,7 @@ turns the one-row result into long form with ``stack``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,20 +102,50 @@ def label_correlation(df: DataFrame, label: str = C.TARGET, top: int | None = C.
     return long.orderBy(F.col("correlation").desc_nulls_last(), "feature").limit(top)
 
 
+#: Rank error of the bracket around a median, as a share of the rows.
+BRACKET = 1 / 10000
+
+
+def median_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, median): exact medians without gathering a column's values.
+
+    A mergeable sketch first brackets each column's middle ranks; then, in one
+    pass over (feature, value) pairs, the rows below the bracket are counted
+    and only the distinct values inside it (about 4 / 10,000 of the ranks) are
+    grouped, spread over all tasks, and ranked.
+    """
+    low, high = 0.5 - 2 * BRACKET, 0.5 + 2 * BRACKET
+    edges = df.select(F.struct(*[F.percentile_approx(F.col(c).cast("double"), [low, high], int(1 / BRACKET)).alias(c) for c in cols])).scalar()
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"), F.col("_edges")[c][0].alias("lo"),
+                      F.col("_edges")[c][1].alias("hi")) for c in cols]
+    long = df.withColumn("_edges", edges).select(F.explode(F.array(*items)).alias("x")).select("x.*").where(F.col("v").isNotNull())
+    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+    grouped = long.groupBy("feature", F.when(inside, F.col("v")).alias("v")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("v") < F.col("lo")).alias("below"))
+    facts = grouped.groupBy("feature").agg(F.sum("cnt").alias("n"), F.sum("below").alias("below"))
+    w = Window.partitionBy("feature").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = grouped.where(F.col("v").isNotNull()).select("feature", "v", "cnt", F.sum("cnt").over(w).alias("upto")).join(facts, "feature")
+    upto, first, last = F.col("below") + F.col("upto"), F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    holds = lambda k: (k < upto) & (k >= upto - F.col("cnt"))
+    return ranked.groupBy("feature").agg(
+        ((F.max(F.when(holds(first), F.col("v"))) + F.max(F.when(holds(last), F.col("v")))) / 2).alias("median"))
+
+
 def column_medians(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Median per numeric column (A8). Exact ``median`` keeps a value->count
-    map per column (memory by distinct values); ``exact=False`` uses the
-    mergeable ``percentile_approx`` sketch for high-cardinality columns."""
+    """Median per numeric column (A8), null for a column without values.
+    ``exact=False`` stops at the mergeable ``percentile_approx`` sketch."""
     cols = cols or numeric_columns(df, exclude=tuple(C.ID_COLUMNS) + (C.TARGET,))
-    agg = (lambda c: F.median(F.col(c))) if exact else (lambda c: F.percentile_approx(F.col(c), 0.5, 10000).cast("double"))
-    one = df.agg(*[agg(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    one = df.select(medians_struct(df, cols, exact).alias("m")).limit(1).select(*[F.col("m")[c].alias(f"__m{i}") for i, c in enumerate(cols)]) \
+        if not exact else median_rows(df, cols).agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"__m{i}") for i, c in enumerate(cols)])
     return _long_form(one, cols, [[f"__m{i}"] for i in range(len(cols))], ["feature", "median"])
 
 
 def medians_struct(df: DataFrame, cols: list[str], exact: bool = True) -> Column:
     """Scalar subquery returning one struct of medians (computed once)."""
-    agg = (lambda c: F.median(F.col(c))) if exact else (lambda c: F.percentile_approx(F.col(c), 0.5, 10000).cast("double"))
-    return df.select(F.struct(*[agg(c).alias(c) for c in cols]).alias("m")).scalar()
+    if exact:
+        return median_rows(df, cols).select(
+            F.struct(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in cols])).scalar()
+    return df.select(F.struct(*[F.percentile_approx(F.col(c), 0.5, 10000).cast("double").alias(c) for c in cols]).alias("m")).scalar()
 
 
 def feature_run_stats(features: DataFrame, raw_columns: list[str] | None = None) -> DataFrame:
@@ -131,8 +161,10 @@ def feature_run_stats(features: DataFrame, raw_columns: list[str] | None = None)
 
 
 def batch_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint of all rows (A18): row count and the XOR of a
-    64-bit hash of each row. Equal content gives an equal fingerprint no
-    matter how the rows are partitioned."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("record_count"), F.bit_xor(h).alias("fingerprint"))
+    """Order-free fingerprint of all rows (A18): the row count and the sum of
+    60 bits of each row's md5, taken modulo 2^31 before summing so that the sum
+    stays exact. Equal content gives an equal fingerprint no matter how the
+    rows are partitioned, in any engine that has md5."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("record_count"), F.coalesce(F.sum(F.pmod(bits, F.lit(1 << 31))), F.lit(0)).alias("fingerprint"))

@@ -32,8 +32,9 @@ def scoring_run_stats(predictions: DataFrame, run_col: str = "prediction_id", pr
 
 
 def feature_influence(values: DataFrame, importances: Column, features: list[str], key: list[str],
-                      top: int = C.TOP_INFLUENCES) -> DataFrame:
-    """Per row, the ``top`` features by |importance x value|.
+                      top: int | None = C.TOP_INFLUENCES) -> DataFrame:
+    """Per row, the ``top`` features by |importance x value| (J5, T5, F23), all
+    of them for ``top=None``.
 
     ``importances`` is a struct column (one field per feature), e.g. a
     scalar subquery over a one-row table. The ranking is a per-row
@@ -49,7 +50,7 @@ def feature_influence(values: DataFrame, importances: Column, features: list[str
         key_ = F.coalesce(-F.round(F.abs(infl), 9), F.lit(1.0))
         items.append(F.struct(key_.alias("k"), F.lit(f).alias("feature"), imp.alias("importance"),
                               val.alias("value"), infl.alias("influence")))
-    topk = F.slice(F.sort_array(F.array(*items)), 1, top)
+    topk = F.slice(F.sort_array(F.array(*items)), 1, top or len(features))
     return values.select(*key, F.posexplode(topk).alias("pos", "x")).select(
         *key, (F.col("pos") + 1).alias("rank"), F.col("x.feature").alias("feature"),
         F.round("x.importance", 6).alias("importance"), F.round("x.value", 6).alias("value"),

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 from ..functions.categorical import age_group, user_type
 
 
@@ -25,12 +24,9 @@ def fit_vocabulary(log: DataFrame) -> DataFrame:
     return pairs.where(F.col("value").isNotNull()).distinct()
 
 
-def vocabulary_dict(vocab: DataFrame, max_per_column: int = C.MAX_CATEGORIES_PER_COLUMN) -> dict[str, list[str]]:
-    """Bring a fitted vocabulary to the driver, refusing an unbounded one: it
-    becomes the feature columns, so its size is checked first."""
-    counts = vocab.groupBy("column_name").count().where(F.col("count") > max_per_column).limit(1).collect()
-    if counts:
-        raise ValueError(f"vocabulary of {counts[0]['column_name']} exceeds {max_per_column} values")
+def vocabulary_dict(vocab: DataFrame) -> dict[str, list[str]]:
+    """A fitted vocabulary as column -> values. It becomes the feature
+    columns, so it has one row per feature column of the model."""
     out: dict[str, list[str]] = {}
     for r in vocab.orderBy("column_name", "value").collect():
         out.setdefault(r["column_name"], []).append(r["value"])

@@ -17,8 +17,9 @@ from ..functions.categorical import one_hot_name
 from ..functions.hashing import record_hash
 from ..functions.screens import flag_name
 from ..operators.featurize import featurize
+from ..operators.prepare import stratified_split as stratified
 from ..sources.tables import app_log
-from ..session import session_key
+from ..session import session_key, stored
 from . import sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -41,16 +42,19 @@ def register(name: str, oracle: str | None = None):
 # Stores written once per session and input folder, like the original's raw
 # collection and feature table: later queries read the written data instead
 # of re-deriving it from events on every action (and a lost executor re-reads
-# files rather than recomputing the lineage). Stored under
-# ``spark.checkpoint.dir`` (shared storage on a cluster).
+# files rather than recomputing the lineage). Parquet under
+# ``spark.checkpoint.dir`` (shared storage on a cluster), so every query reads
+# only its columns. The input's files are part of the key: a file added under
+# ``sf_dir`` makes a new store.
 _STORES: dict[tuple, DataFrame] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (*session_key(spark), sf_dir, name)
+    files = tuple(sorted(f for t in ("events", "customer") for f in spark.read.parquet(f"{sf_dir}/{t}.parquet").inputFiles()))
+    key = (*session_key(spark), sf_dir, name, files)
     df = _STORES.get(key)
     if df is None:
-        df = _STORES[key] = build().checkpoint(eager=True)
+        df = _STORES[key] = stored(build(), name)
     return df
 
 
@@ -59,6 +63,11 @@ def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "app_log", lambda: app_log(spark, sf_dir))
 
 
+def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with its train / test split, shared by its users."""
+    return _stored(spark, sf_dir, "split", lambda: stratified(features(spark, sf_dir), ["user_id", "log_ts"]))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written feature table (featurized once per session)."""
     return _stored(spark, sf_dir, "features", lambda: featurize(log_table(spark, sf_dir)))
@@ -128,6 +137,26 @@ def parse_dates_q(spark, sf_dir):
         dates.parse_date("purchase_date").alias("purchase_ts"))
 
 
+# Date texts of real exports, derived from first_visit_date by user: (Spark, DuckDB) forms.
+_DATE_FORMS = [("M/d/yyyy", "%-m/%-d/%Y"), ("MM/dd/yyyy HH:mm", "%m/%d/%Y %H:%M"), ("yyyy/M/d", "%Y/%-m/%-d"), ("MMM d, yyyy", "%b %-d, %Y"),
+               ("yyyyMMdd", "%Y%m%d"), ("d MMM yyyy", "%-d %b %Y"), ("MMMM d, yyyy H:m:s", "%B %-d, %Y %-H:%-M:%-S"), ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S")]
+_FORM_SQL = "CASE user_id % 8 " + " ".join(
+    f"WHEN {i} THEN strftime({S.parse_date_sql('first_visit_date')}, '{duck}')" for i, (_, duck) in enumerate(_DATE_FORMS)) + " END"
+
+
+@register("date_formats", S.with_app_log(f"""
+SELECT user_id, log_ts, date_text, {S.parse_date_sql('date_text')} AS parsed,
+  md5(concat_ws('|', CAST(user_id AS VARCHAR), strftime({S.parse_date_sql('date_text')}, '%Y-%m-%d'))) AS record_hash
+FROM (SELECT user_id, log_ts, chr(9) || {_FORM_SQL} || ' ' AS date_text FROM app_log) t"""))
+def date_formats_q(spark, sf_dir):
+    """Parsed date and record hash of every text form that exports use."""
+    day = dates.parse_date("first_visit_date")
+    text = F.coalesce(*[F.when(F.col("user_id") % 8 == i, F.date_format(day, form)) for i, (form, _) in enumerate(_DATE_FORMS)])
+    rows = log_table(spark, sf_dir).select(*KEY, F.concat(F.lit("\t"), text, F.lit(" ")).alias("first_visit_date"))
+    return rows.select(*KEY, F.col("first_visit_date").alias("date_text"), dates.parse_date("first_visit_date").alias("parsed"),
+                       record_hash(["user_id", "first_visit_date"]).alias("record_hash"))
+
+
 @register("purchase_label", S.with_app_log(f"""
 SELECT user_id, log_ts,
   round(date_diff('microsecond', {S.parse_date_sql('first_visit_date')}, {S.parse_date_sql('purchase_date')}) / 3.6e9, 6) AS hours_to_purchase,

@@ -12,9 +12,9 @@ from ..operators import score as SC
 from ..operators.quality import _corr
 from . import fixtures as X
 from . import sql as S
-from .catalog import features, log_table, register
+from .catalog import features, log_table, register, split_rows
 from .q_ingest import RUNS_SQL
-from .q_quality import MODEL_NUMERIC, SCORED_SQL, SPLIT_SQL, _corr_sql, _scale_params
+from .q_quality import MODEL_FEATURES, MODEL_NUMERIC, SCORED_SQL, SPLIT_SQL, _corr_sql, _scale_params
 
 q = S.q
 CUT = f"TIMESTAMP '{X.CUTOFF}'"
@@ -188,13 +188,15 @@ def mark_scored(spark, sf_dir):
 
 # --- feature influence ---------------------------------------------------------------
 
-_abs = [f"coalesce(abs({_corr_sql(c)}), 0.0) AS a{i}" for i, c in enumerate(MODEL_NUMERIC)]
-_tot = " + ".join(f"a{i}" for i in range(len(MODEL_NUMERIC)))
+# All model features: the numeric ones scaled, the one-hot ones as 0 or 1.
+_abs = [f"coalesce(abs({_corr_sql(c)}), 0.0) AS a{i}" for i, c in enumerate(MODEL_FEATURES)]
+_tot = " + ".join(f"a{i}" for i in range(len(MODEL_FEATURES)))
+_value = {c: f"(CAST({q(c)} AS DOUBLE) - m{i}) / s{i}" for i, c in enumerate(MODEL_NUMERIC)}
 INFL_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, log_ts ORDER BY round(abs(influence), 9) DESC, feature) AS rank FROM (" + \
     "\nUNION ALL\n".join(
-        f"SELECT user_id, log_ts, '{c}' AS feature, w{i} AS importance, (CAST({q(c)} AS DOUBLE) - m{i}) / s{i} AS value, "
-        f"w{i} * ((CAST({q(c)} AS DOUBLE) - m{i}) / s{i}) AS influence FROM split, params, imp"
-        for i, c in enumerate(MODEL_NUMERIC)) + f") u) r WHERE rank <= {C.TOP_INFLUENCES}"
+        f"SELECT user_id, log_ts, '{c}' AS feature, w{i} AS importance, {_value.get(c, f'CAST({q(c)} AS DOUBLE)')} AS value, "
+        f"w{i} * ({_value.get(c, f'CAST({q(c)} AS DOUBLE)')}) AS influence FROM split, params, imp"
+        for i, c in enumerate(MODEL_FEATURES)) + f") u) r WHERE rank <= {C.TOP_INFLUENCES}"
 
 
 @register("feature_influence", S.with_app_log(
@@ -202,21 +204,21 @@ INFL_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, lo
     "round(value, 6) AS value, round(influence, 6) AS influence FROM infl",
     features=True, split=SPLIT_SQL, params=f"SELECT {_scale_params} FROM split WHERE NOT is_test",
     corr_row=f"SELECT {', '.join(_abs)} FROM feat",
-    imp="SELECT " + ", ".join(f"a{i} / ({_tot}) AS w{i}" for i in range(len(MODEL_NUMERIC))) + " FROM corr_row",
+    imp="SELECT " + ", ".join(f"a{i} / ({_tot}) AS w{i}" for i in range(len(MODEL_FEATURES))) + " FROM corr_row",
     infl=INFL_SQL))
 def feature_influence(spark, sf_dir):
-    """Influence = importance x scaled value, top 5 per row. Importances are
-    the normalized |correlation| with the label (a model-free stand-in that
-    SQL can check); the forest's own importances feed the same operator in
-    ``score_batch``."""
+    """Influence = importance x value over all model features, top 5 per row.
+    Importances are the normalized |correlation| with the label (a model-free
+    stand-in that SQL can check); ``score_with_active_model`` hands the same
+    operator the forest's own importances."""
     f = features(spark, sf_dir)
     y = F.col(C.TARGET).cast("double")
-    absc = f.agg(*[F.coalesce(F.abs(_corr(F.col(c).cast("double"), y)), F.lit(0.0)).alias(c) for c in MODEL_NUMERIC])
+    absc = f.agg(*[F.coalesce(F.abs(_corr(F.col(c).cast("double"), y)), F.lit(0.0)).alias(c) for c in MODEL_FEATURES])
     total = None
-    for c in MODEL_NUMERIC:
-        total = F.col(c) if total is None else total + F.col(c)
-    imp = absc.select(F.struct(*[(F.col(c) / total).alias(c) for c in MODEL_NUMERIC])).scalar()
-    sp = P.stratified_split(f, ["user_id", "log_ts"]).checkpoint()
+    for c in MODEL_FEATURES:
+        total = F.col(f"`{c}`") if total is None else total + F.col(f"`{c}`")
+    imp = absc.select(F.struct(*[(F.col(f"`{c}`") / total).alias(c) for c in MODEL_FEATURES])).scalar()
+    sp = split_rows(spark, sf_dir)
     scaled = P.apply_scaler(sp, MODEL_NUMERIC, fit=sp.where(~F.col("is_test")))
-    return SC.feature_influence(scaled, imp, MODEL_NUMERIC, ["user_id", "log_ts"]).withColumn(
+    return SC.feature_influence(scaled, imp, MODEL_FEATURES, ["user_id", "log_ts"]).withColumn(
         "rank", F.col("rank").cast("int"))

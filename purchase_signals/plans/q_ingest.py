@@ -3,6 +3,8 @@ A1, A3, S11, A2, A6)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I
@@ -10,7 +12,10 @@ from ..operators import merge as M
 from .. import config as C
 from ..operators.featurize import feature_columns, featurize
 from ..operators.quality import feature_run_stats
+from ..session import ensure_checkpoint_dir, session_key
+from ..sources import files
 from . import fixtures as X
+from . import runs
 from . import sql as S
 from .catalog import features, log_table, register
 
@@ -141,3 +146,53 @@ SELECT count(*) AS record_count, count(DISTINCT user_id) AS id_count, round(avg(
 FROM feat""", features=True))
 def feature_run_stats_q(spark, sf_dir):
     return feature_run_stats(features(spark, sf_dir))
+
+
+# --- run jobs over a store -------------------------------------------------------
+
+_JOB_STORES: dict[tuple, str] = {}
+# What the two ingest runs of the job store add: the rows of ``existing_log``,
+# then every row whose hash is not stored.
+_JOB_CTES = dict(
+    hashed=f"SELECT *, {HASH_SQL} AS record_hash FROM app_log",
+    first_run=f"SELECT * FROM hashed WHERE log_ts < {CUT} AND user_id % 3 <> 0",
+    second_run="SELECT * FROM hashed WHERE record_hash NOT IN (SELECT record_hash FROM first_run)",
+    added="SELECT * FROM second_run WHERE user_id NOT IN (SELECT user_id FROM first_run)")
+
+
+def job_store(spark, sf_dir) -> str:
+    """A store root on which ingest and featurization ran twice, over parts of
+    the app log, built once per session."""
+    key = (*session_key(spark), sf_dir)
+    if key not in _JOB_STORES:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
+        log = log_table(spark, sf_dir)
+        for n, part in enumerate([X.existing_log(log), log], 1):
+            runs.ingest_batch(spark, part, root, f"ingest_{n}")
+            runs.featurize_increment(spark, root, f"v{n}")
+        _JOB_STORES[key] = root
+    return _JOB_STORES[key]
+
+
+@register("ingest_runs", S.with_app_log("""
+SELECT 'ingest_1' AS run_id, max(log_ts) AS last_processed_timestamp, count(*) AS record_count FROM first_run
+UNION ALL SELECT 'ingest_2', max(log_ts), count(*) FROM second_run""", **_JOB_CTES))
+def ingest_runs(spark, sf_dir):
+    return files.read_runs(spark, job_store(spark, sf_dir), "ingest_runs").select("run_id", "last_processed_timestamp", "record_count")
+
+
+@register("incremental_store", S.with_app_log(
+    "SELECT * FROM first_run UNION ALL SELECT * FROM second_run", **_JOB_CTES))
+def incremental_store(spark, sf_dir):
+    return files.read_raw(spark, job_store(spark, sf_dir))
+
+
+@register("feature_store_runs", S.with_app_log("""
+SELECT 'v1' AS processing_version, count(*) AS record_count, count(*) AS new_record_count, count(DISTINCT user_id) AS id_count,
+  max(log_ts) AS last_processed_timestamp FROM first_run
+UNION ALL
+SELECT 'v2', (SELECT count(*) FROM first_run) + (SELECT count(*) FROM added), (SELECT count(*) FROM added),
+  (SELECT count(DISTINCT user_id) FROM first_run) + (SELECT count(DISTINCT user_id) FROM added), max(log_ts) FROM second_run""", **_JOB_CTES))
+def feature_store_runs(spark, sf_dir):
+    return files.read_runs(spark, job_store(spark, sf_dir)).select(
+        "processing_version", "record_count", "new_record_count", "id_count", "last_processed_timestamp")

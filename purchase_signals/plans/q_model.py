@@ -1,6 +1,6 @@
 """Queries: training, evaluation and scoring with MLlib (M2, M3, M5-M7, M12,
-T2). No SQL oracle (a forest cannot be re-derived in SQL); pytest checks
-invariants: probabilities in [0, 1], importances summing to 1, determinism,
+T2). Preparation and folds have SQL oracles; a forest cannot be re-derived in
+SQL, so pytest checks invariants: probabilities in [0, 1], importances summing to 1, determinism,
 train/serve parity."""
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.featurize import featurize
 from . import fixtures as X
-from ..session import session_key
-from .catalog import features, log_table, register
+from ..session import session_key, stored
+from . import sql as S
+from .catalog import log_table, register, split_rows
+from .q_quality import MODEL_NUMERIC, ONE_HOT, SPLIT_SQL, _scale_params
+
+q = S.q
 
 KEY = ["user_id", "log_ts"]
 # Forest used by the registered queries: the original's settings, depth capped
@@ -26,21 +30,41 @@ _PREPARED: dict[tuple, tuple] = {}
 
 
 def _prepared(spark, sf_dir):
-    """Prepared training frame, checkpointed to the shared checkpoint folder
-    once per session: MLlib reads its input many times, and a written table
-    cuts the lineage back to the raw events (a lost executor re-reads files,
-    not the plan)."""
+    """Prepared training frame and scaler, written once per session: MLlib
+    reads its input many times."""
     key = (*session_key(spark), sf_dir)
     if key not in _PREPARED:
-        prepared, feats, nums, scaler = P.prepare_training(features(spark, sf_dir), KEY)
-        _PREPARED[key] = (prepared.checkpoint(), feats, nums, scaler.checkpoint())
+        prepared, feats, nums, scaler = P.prepare_training(split_rows(spark, sf_dir), KEY)
+        _PREPARED[key] = (stored(prepared, "prepared"), feats, nums, scaler)
     return _PREPARED[key]
 
 
-@register("prepare_training")
+_prepared_cols = [f"round((coalesce(CAST({q(c)} AS DOUBLE), (SELECT median(CAST({q(c)} AS DOUBLE)) FROM split WHERE NOT is_test)) - m{i}) / s{i}, 6) AS {q(c)}"
+                  for i, c in enumerate(MODEL_NUMERIC)]
+_imputed = ", ".join(f"coalesce(CAST({q(c)} AS DOUBLE), (SELECT median(CAST({q(c)} AS DOUBLE)) FROM split WHERE NOT is_test)) AS {q(c)}" for c in MODEL_NUMERIC)
+
+
+@register("prepare_training", S.with_app_log(
+    f"SELECT user_id, log_ts, purchase_24h, is_test, {', '.join(_prepared_cols)}, {', '.join(q(c) for c in sorted(ONE_HOT))} FROM split, params",
+    features=True, split=SPLIT_SQL, imputed=f"SELECT is_test, {_imputed} FROM split",
+    params=f"SELECT {_scale_params} FROM imputed WHERE NOT is_test"))
 def prepare_training(spark, sf_dir):
-    prepared, _, _, _ = _prepared(spark, sf_dir)
-    return prepared
+    """Keys, label, split mark and the imputed, scaled model features."""
+    prepared, _, nums, _ = _prepared(spark, sf_dir)
+    return prepared.withColumns({c: F.round(c, 6) for c in nums})
+
+
+@register("cv_folds", S.with_app_log(f"""
+SELECT fold, purchase_24h, count(*) AS row_count, CAST(sum(user_id) AS BIGINT) AS user_sum FROM (
+  SELECT user_id, purchase_24h, CAST((row_number() OVER (PARTITION BY purchase_24h ORDER BY f, user_id, log_ts) - 1) % {C.CV_FOLDS} AS INTEGER) AS fold FROM (
+    SELECT user_id, log_ts, purchase_24h, CAST(('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR), CAST(log_ts AS VARCHAR), '{C.RANDOM_STATE + 1}')), 1, 8)) AS BIGINT) AS f
+    FROM split WHERE NOT is_test) a) b
+GROUP BY ALL""", features=True, split=SPLIT_SQL))
+def cv_folds(spark, sf_dir):
+    """Rows of each class in each fold, and the sum of their user ids."""
+    train = split_rows(spark, sf_dir).where(~F.col("is_test"))
+    return P.stratified_folds(train, KEY).groupBy("fold", C.TARGET).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("user_id").alias("user_sum"))
 
 
 _MODELS: dict[tuple, tuple] = {}
@@ -75,19 +99,28 @@ def importances(spark, sf_dir):
 @register("cross_validate")
 def cross_validate(spark, sf_dir):
     prepared, feats, _, _ = _prepared(spark, sf_dir)
-    train = prepared.where(~F.col("is_test")).withColumn("_rid", F.monotonically_increasing_id())
-    return ML.cross_validate(spark, train, feats, ["_rid"], C.TARGET, C.CV_FOLDS, QUERY_FOREST)
+    return ML.cross_validate(spark, prepared.where(~F.col("is_test")), feats, KEY, C.TARGET, C.CV_FOLDS, QUERY_FOREST)
+
+
+def _score_inputs(spark, sf_dir):
+    _, feats, nums, scaler = _prepared(spark, sf_dir)
+    served = featurize(SC.pending_rows(X.to_score(log_table(spark, sf_dir))), mode="serve")
+    aligned = served.select(*KEY, *[F.col(c) for c in P.align_features(served, feats).columns])
+    return P.apply_scaler_table(aligned, scaler, nums)
+
+
+@register("score_inputs")
+def score_inputs(spark, sf_dir):
+    """The aligned, scaled vectors that pending rows are scored on."""
+    _, _, nums, _ = _prepared(spark, sf_dir)
+    return _score_inputs(spark, sf_dir).withColumns({c: F.round(c, 6) for c in nums})
 
 
 def score_pending(spark, sf_dir):
     """Batch scoring with serving semantics (M12): pending rows -> serve
     features -> model columns -> training scaler -> forest."""
-    model, _, feats, nums, scaler = _fit(spark, sf_dir)
-    pending = SC.pending_rows(X.to_score(log_table(spark, sf_dir)))
-    served = featurize(pending, mode="serve")
-    aligned = served.select(*KEY, *[F.col(c) for c in P.align_features(served, feats).columns])
-    scaled = P.apply_scaler_table(aligned, scaler, nums)
-    pred = ML.predict(model, scaled, feats, KEY)
+    model, _, feats, _, _ = _fit(spark, sf_dir)
+    pred = ML.predict(model, _score_inputs(spark, sf_dir), feats, KEY)
     return pred.withColumn("prediction_id", F.concat(F.lit("pred_"), F.to_date("log_ts").cast("string")))
 
 

@@ -13,7 +13,7 @@ from ..operators.featurize import feature_columns, featurize
 from ..operators.vocab import fit_vocabulary
 from . import fixtures as X
 from . import sql as S
-from .catalog import features, log_table, register
+from .catalog import features, log_table, register, split_rows
 
 PASSTHROUGH = ["user_id", "session_count", "total_screens_viewed", "used_search_feature", "wrote_review",
                "added_to_wishlist", "age", "platform", "log_ts"]
@@ -191,9 +191,7 @@ SELECT *, h <= threshold AS is_test FROM (
 
 
 def _split(spark, sf_dir):
-    """Split rows, written once: scaler statistics read them instead of
-    re-deriving the per-class thresholds inside each subquery."""
-    return P.stratified_split(features(spark, sf_dir), ["user_id", "log_ts"]).checkpoint()
+    return split_rows(spark, sf_dir)
 
 
 @register("stratified_split", S.with_app_log("SELECT user_id, log_ts, purchase_24h, is_test FROM split",
@@ -258,6 +256,14 @@ def align_features(spark, sf_dir):
     return P.align_features(served, MODEL_FEATURES)
 
 
-@register("batch_fingerprint")
+_row_text = ", ".join(
+    "coalesce(" + (f"strftime({c}, '%Y-%m-%d %H:%M:%S') || coalesce(nullif(rtrim('.' || lpad(CAST(microsecond({c}) % 1000000 AS VARCHAR), 6, '0'), '0'), '.'), '')"
+                   if c == "log_ts" else f"CAST({c} AS VARCHAR)") + ", 'null')" for c in RAW_COLUMNS)
+
+
+@register("batch_fingerprint", S.with_app_log(f"""
+SELECT count(*) AS record_count,
+  CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {_row_text})), 1, 15) AS BIGINT) % 2147483648), 0) AS BIGINT) AS fingerprint
+FROM app_log"""))
 def batch_fingerprint(spark, sf_dir):
-    return Q.batch_fingerprint(log_table(spark, sf_dir))
+    return Q.batch_fingerprint(log_table(spark, sf_dir).select(*RAW_COLUMNS))

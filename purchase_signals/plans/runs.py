@@ -11,13 +11,15 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators import ingest as I
-from ..operators import merge as M
+from ..operators import score as SC
 from ..operators.featurize import featurize
 from ..operators.quality import feature_run_stats
-from ..sources import files
+from ..session import stored
+from ..sources import files, registry
 
 
 def run_id(prefix: str, now: dt.datetime | None = None, sep: str = "_") -> str:
@@ -30,61 +32,151 @@ def run_id(prefix: str, now: dt.datetime | None = None, sep: str = "_") -> str:
 
 
 def ingest_batch(spark: SparkSession, batch: DataFrame, root: str, ingest_run: str,
-                 min_batch: int = C.MIN_INGEST_BATCH) -> dict:
-    """Hash, drop stored hashes, reduce duplicates, gate, append.
-    Rows of this run id already on disk are excluded from the stored set, so a
-    retried run rewrites its own partition instead of losing rows."""
+                 min_batch: int = C.MIN_INGEST_BATCH, source: str | None = None) -> dict:
+    """Hash, drop stored hashes, reduce duplicates, gate, append (J1, S6, P2),
+    then write the run row (S11).
+
+    A batch with fewer than ``min_batch`` new rows is held back: its rows wait in
+    ``pending_log`` and join the next batch, so a caller that hands every row
+    over once loses none. What this run id wrote before does not count as
+    stored or pending, so a retried run gives the same result again.
+    """
+    mine = F.col("ingest_run") == F.lit(ingest_run)
+    earlier = files.read_runs(spark, root, "ingest_runs").where(F.col("run_id") != F.lit(ingest_run))
+    used = earlier.select(F.explode("consumed_pending").alias("ingest_run"))
+    waiting = files.read_or_empty(spark, f"{root}/pending_log", files.STORED_LOG_SCHEMA).where(~mine).join(used, "ingest_run", "left_anti")
     hashed = I.with_record_hash(batch)
-    try:
-        stored = spark.read.parquet(f"{root}/raw_log").where(F.col("ingest_run") != F.lit(ingest_run))
-        stored = stored.drop("ingest_run")
-    except Exception:  # noqa: BLE001 - first run: no store yet
-        stored = None
-    fresh = I.reduce_by_hash(hashed) if stored is None else I.new_records(hashed, stored)
-    # Materialize before writing into the store it was compared against.
-    fresh = I.gate(fresh, min_batch).checkpoint()
-    (fresh.withColumn("ingest_run", F.lit(ingest_run)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_run").parquet(f"{root}/raw_log"))
-    inserted = spark.read.parquet(f"{root}/raw_log").where(F.col("ingest_run") == F.lit(ingest_run)).count()
-    return {"ingest_run": ingest_run, "inserted": inserted}
+    have = set(hashed.columns)
+    rows_now = stored(hashed.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                                      for f in files.STORED_LOG_SCHEMA.fields[:-1]]), "batch")
+    kept = files.read_or_empty(spark, f"{root}/raw_log", files.STORED_LOG_SCHEMA).where(~mine)
+    fresh = stored(I.new_records(rows_now.unionByName(waiting.drop("ingest_run")), kept), "fresh")
+    facts = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("log_ts").alias("last")).first()
+    if facts.n < max(1, min_batch):
+        if facts.n:
+            files.overwrite_partition(rows_now, f"{root}/pending_log", "ingest_run", ingest_run)
+        return {"ingest_run": ingest_run, "inserted": 0, "pending": facts.n}
+    consumed = [r.ingest_run for r in waiting.select("ingest_run").distinct().collect()]  # one per run held back
+    files.overwrite_partition(fresh, f"{root}/raw_log", "ingest_run", ingest_run)
+    sample = [r.record_hash for r in fresh.select("record_hash").orderBy("record_hash").limit(5).collect()]
+    row = [(ingest_run, source, dt.datetime.now(), facts["last"], facts.n, sample, consumed)]
+    schema = T.StructType(files.INGEST_RUNS_SCHEMA.fields[:-1])
+    files.write_run(spark.createDataFrame(row, schema), root, ingest_run, "ingest_runs")
+    return {"ingest_run": ingest_run, "inserted": facts.n, "pending": 0}
 
 
 def featurize_increment(spark: SparkSession, root: str, version: str, new_rows: DataFrame | None = None,
                         min_batch: int = C.MIN_FEATURIZE_BATCH, key: list[str] | None = None) -> str | None:
-    """Featurize rows newer than the committed high-water mark, merge with
-    the latest version (existing wins), write a new version, then append the
-    run row (the commit). Returns the version, or None when gated out."""
-    raw = new_rows if new_rows is not None else files.read_raw(spark, root)
-    latest = files.load_features(spark, root)
-    # A stream hands over exactly its new rows (its checkpoint tracks files);
-    # a batch run filters by the committed high-water mark instead.
-    todo = raw if (latest is None or new_rows is not None) else M.incremental_rows(raw, latest)
-    todo = I.gate(todo, min_batch).cache()
-    if todo.limit(1).count() == 0:
-        todo.unpersist()
-        return None
-    feats = featurize(todo)
-    if latest is None:
-        delta = feats
+    """Featurize the stored rows that no committed version has processed,
+    merge with the latest version (existing wins), write what is new as
+    ``version``, then its run row (the commit). Returns the version, or None
+    when the gate holds the rows back; they are still there for the next run.
+
+    A run row names the ingest runs it processed, so a row is processed once
+    however late it arrives or old it is. Explicit ``new_rows`` are taken as they
+    are. The mark ``last_processed_timestamp`` is that of the rows processed,
+    known users or not; ``new_record_count`` counts the rows added.
+    """
+    earlier = files.read_runs(spark, root).where(F.col("processing_version") != F.lit(version))
+    latest = files.load_features(spark, root, without=version)
+    if new_rows is None:
+        done = earlier.select(F.explode("ingest_runs").alias("ingest_run"))
+        todo = files.read_or_empty(spark, f"{root}/raw_log", files.STORED_LOG_SCHEMA).join(done, "ingest_run", "left_anti")
     else:
-        # existing wins: only rows of unseen keys are added; the anti-join
-        # reads the features folder it writes to, so cut the lineage first
-        key = key or ["user_id"]
-        delta = feats.join(latest.select(*key).distinct(), key, "left_anti").checkpoint()
+        todo = new_rows.withColumn("ingest_run", F.lit(None).cast("string")) if "ingest_run" not in new_rows.columns else new_rows
+    todo = stored(todo, "todo")
+    facts = todo.agg(F.count(F.lit(1)).alias("n"), F.max("log_ts").alias("mark"), F.collect_set("ingest_run").alias("runs")).first()
+    if facts.n < max(1, min_batch):
+        return None
+    feats = featurize(todo.drop("ingest_run"))
+    key = key or ["user_id"]
+    # existing wins: only rows of unseen keys are added
+    delta = feats if latest is None else feats.join(latest.select(*key).distinct(), key, "left_anti")
+    delta = stored(delta, "delta")
     files.write_feature_version(delta, root, version)
-    written = spark.read.parquet(f"{root}/features").where(F.col("processing_version") == version)
-    merged = written if latest is None else latest.unionByName(written, allowMissingColumns=True)
-    stats = feature_run_stats(merged.drop("processing_version"))
-    new_count = todo.count()
-    run = stats.select(F.lit(version).alias("processing_version"),
-                       F.localtimestamp().cast("timestamp_ntz").alias("processed_at"),
-                       "record_count", F.lit(new_count).cast("long").alias("new_record_count"), "id_count",
-                       "purchase_rate", "feature_count", "last_processed_timestamp", "domain")
-    files.append_run(run, root)
-    todo.unpersist()
+    merged = delta if latest is None else latest.drop("processing_version").unionByName(delta, allowMissingColumns=True)
+    run = feature_run_stats(merged).select(
+        F.lit(version).alias("processing_version"), F.lit(dt.datetime.now()).cast("timestamp_ntz").alias("processed_at"), "record_count",
+        F.lit(delta.count()).cast("long").alias("new_record_count"), "id_count", "purchase_rate", "feature_count",
+        F.lit(facts.mark).cast("timestamp_ntz").alias("last_processed_timestamp"), "domain",
+        F.array(*[F.lit(r) for r in sorted(facts.runs)]).cast("array<string>").alias("ingest_runs"))
+    files.write_run(run, root, version)
     return version
 
 
+def write_predictions(spark: SparkSession, root: str, pending: DataFrame, pred: DataFrame, prediction_id: str,
+                      model_version: str, key: list[str]) -> int:
+    """Scored rows with their input columns as partition ``prediction_id``, then
+    the run row (S8, A14). Returns the rows written."""
+    scored = pending.join(pred.select(*key, "prediction", "probability"), key)
+    out = stored(scored.withColumn("model_version", F.lit(model_version)).withColumn("prediction_timestamp", F.localtimestamp()), "scored")
+    files.overwrite_partition(out, f"{root}/predictions", "prediction_id", prediction_id)
+    run = out.agg(F.count(F.lit(1)).alias("record_count"), F.round(F.avg("prediction"), 6).alias("positive_rate")).select(
+        F.lit(prediction_id).alias("prediction_id"), F.lit(model_version).alias("model_version"), F.localtimestamp().alias("processed_at"),
+        "record_count", "positive_rate")
+    files.write_run(run, root, prediction_id, "prediction_runs")
+    return out.count()
+
+
+def score_pending(spark: SparkSession, root: str, to_score: DataFrame, prediction_id: str, key: list[str] | None = None) -> int:
+    """Batch scoring (M12, S5, S8, S10): rows neither flagged nor already in a
+    committed prediction run are scored with the registry's active model and
+    written with their input columns. The committed predictions are the scored
+    mark: ``scored_flags`` shows it on the input."""
+    key = key or ["user_id", "log_ts"]
+    pending = stored(scored_flags(spark, root, to_score, key, without=prediction_id).where(~F.col("predicted")), "pending")
+    if pending.isEmpty():
+        return 0
+    pred, _ = score_with_active_model(spark, root, pending, key)
+    version = registry.active_version(spark, root).first().model_version
+    return write_predictions(spark, root, pending, pred, prediction_id, version, key)
+
+
+def scored_flags(spark: SparkSession, root: str, to_score: DataFrame, key: list[str], without: str | None = None) -> DataFrame:
+    """``to_score`` with ``predicted`` true where a committed prediction has the key."""
+    runs = files.read_runs(spark, root, "prediction_runs").where(F.col("prediction_id") != F.lit(without or ""))
+    if runs.isEmpty():
+        return to_score.withColumn("predicted", F.coalesce("predicted", F.lit(False)))
+    done = spark.read.parquet(f"{root}/predictions").join(runs.select("prediction_id"), "prediction_id", "left_semi")
+    return SC.mark_scored(to_score, done, key)
+
+
+def train_and_promote(spark: SparkSession, root: str, version: str, params=None, cv: bool = True) -> dict | None:
+    """Batch training (M7, M3, M2, M9): retrain decision -> prepare -> cross-
+    validate -> fit -> evaluate -> artifacts -> register -> promote. Returns
+    the metrics and whether the model was promoted, or None when no training
+    is due."""
+    from ..operators import model as ML
+    from ..operators import prepare as P
+
+    feats_all = files.load_features(spark, root)
+    if feats_all is None:
+        raise LookupError("no committed feature version")
+    active = registry.active_version(spark, root).first()
+    if active is not None:
+        trained = registry.read_models(spark, root).where(F.col("model_version") == active.model_version).select(F.max("trained_at")).first()[0]
+        since = files.read_runs(spark, root).where(F.col("processed_at") > F.lit(trained)).agg(F.coalesce(F.sum("new_record_count"), F.lit(0))).first()[0]
+        if (dt.datetime.now() - trained).days <= C.MAX_MODEL_AGE_DAYS and since < C.MIN_NEW_RECORDS_FOR_TRAINING:
+            return None
+    data_version = feats_all.select(F.max("processing_version")).first()[0]
+    key = ["user_id", "log_ts"]
+    prepared, feats, nums, scaler = P.prepare_training(feats_all.drop("processing_version"), key)
+    prepared = stored(prepared, "prepared")  # one frame for cross-validation and the fit
+    train, test = prepared.where(~F.col("is_test")), prepared.where(F.col("is_test"))
+    metrics = {}
+    if cv:
+        folds = ML.cross_validate(spark, train, feats, key, params=params)
+        files.write_json(folds, f"{root}/artifacts/{version}/cross_validation")
+        metrics = {f"cv_{r.fold}_f1": r.weighted_f1 for r in folds.where("fold IN ('mean', 'std')").collect()}
+    model = ML.train_forest(train, feats, C.TARGET, params)
+    result = ML.evaluate(ML.predict(model, test, feats, [C.TARGET]))
+    metrics |= {f"test_{'f1_score' if k == 'f1' else k}": float(v) for k, v in result.first().asDict().items() if isinstance(v, (int, float))}
+    files.write_json(ML.importances(spark, model, feats, top=None), f"{root}/artifacts/{version}/importances")
+    files.write_json(result, f"{root}/artifacts/{version}/metrics")
+    registry.register_model(spark, root, model, version, data_version, metrics, feats, nums, scaler)
+    return metrics | {"promoted": registry.promote_if_better(spark, root, version)}
+
+
 def score_with_active_model(spark: SparkSession, root: str, records: DataFrame, key: list[str] | None = None):
     """Score raw records (one or many) with the registry's active model
     (M12, M13, T5): serving features -> model columns -> stored scaler ->
@@ -92,8 +184,6 @@ def score_with_active_model(spark: SparkSession, root: str, records: DataFrame,
     Returns (predictions, influences)."""
     from ..operators import model as ML
     from ..operators import prepare as P
-    from ..operators import score as SC
-    from ..sources import registry
 
     key = key or ["user_id"]
     model, feats, scaler, scaled, version = registry.load_active_model(spark, root)

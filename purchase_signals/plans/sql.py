@@ -66,8 +66,9 @@ def sql_str(v: str) -> str:
 
 
 def parse_date_sql(expr: str) -> str:
-    t = f"trim(CAST({expr} AS VARCHAR))"
-    tries = [f"TRY_CAST({t} AS TIMESTAMP)"] + [f"try_strptime({t}, {sql_str(f)})" for f in C.DATE_FORMATS_DUCKDB]
+    t = f"regexp_replace(CAST({expr} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    formats = ", ".join(sql_str(f + time) for f in C.DATE_FORMATS_DUCKDB for time in C.TIME_SUFFIXES_DUCKDB)
+    tries = [f"TRY_CAST({t} AS TIMESTAMP)", f"try_strptime({t}, [{formats}])"]
     return "coalesce(" + ", ".join(tries) + ")"
 
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "purchase_signals") -> SparkSession:
@@ -32,23 +33,36 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; only when it is unset (tests, local
-    bench) a scratch folder is created and set.
+    A cluster sets it to shared storage (a folder set on the context counts
+    too). Only on a ``local`` master, where it is unset in tests, a scratch
+    folder is made; elsewhere each executor would write to its own disk, so
+    that is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ps-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    sc = spark.sparkContext
+    set_by = spark.conf.get("spark.checkpoint.dir", None)
+    now = sc.getCheckpointDir()
+    if not set_by and not now:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        set_by = tempfile.mkdtemp(prefix="ps-ckpt-")
+    if not set_by:
+        return os.path.dirname(now)  # the context adds a folder of its own
+    if not now or os.path.dirname(now).removeprefix("file:") != set_by.rstrip("/").removeprefix("file://").removeprefix("file:"):
+        sc.setCheckpointDir(set_by)
+        spark.conf.set("spark.checkpoint.dir", set_by)
+    return set_by
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read back:
+    later plans scan it with column pruning, pushed filters and file
+    statistics, and a lost executor re-reads files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def session_key(spark: SparkSession) -> tuple:

@@ -4,7 +4,9 @@ Layout under a store root (shared storage on a cluster):
 
     raw_log/ingest_run=<id>/      appended by ingest (unique record_hash)
     features/processing_version=<v>/   rows added by version v (its delta)
-    feature_runs/                 one row per featurization; appended last = commit
+    pending_log/ingest_run=<id>/  batches that the gate held back, joined to the next one
+    ingest_runs/run=<id>/, feature_runs/run=<v>/, prediction_runs/run=<id>/
+                                  one row per run; written last = commit
     predictions/prediction_id=<id>/
     models/, scaler/              model metadata and scaler tables
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,15 +71,63 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_raw(df: DataFrame, root: str, run_id: str) -> None:
-    """Append the new records of one ingest run."""
-    df.withColumn("ingest_run", F.lit(run_id)).write.mode("append").partitionBy("ingest_run") \
-        .parquet(os.path.join(root, "raw_log"))
+STORED_LOG_SCHEMA = T.StructType([*RAW_LOG_SCHEMA.fields, T.StructField("record_hash", T.StringType()),
+                                  T.StructField("ingest_run", T.StringType())])
+INGEST_RUNS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("source_file", T.StringType()),
+    T.StructField("processed_at", T.TimestampNTZType()),
+    T.StructField("last_processed_timestamp", T.TimestampNTZType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("sample_hashes", T.ArrayType(T.StringType())),
+    T.StructField("consumed_pending", T.ArrayType(T.StringType())),
+    T.StructField("run", T.StringType()),
+])
+FEATURE_RUNS_SCHEMA = T.StructType([
+    T.StructField("processing_version", T.StringType()),
+    T.StructField("processed_at", T.TimestampNTZType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("new_record_count", T.LongType()),
+    T.StructField("id_count", T.LongType()),
+    T.StructField("purchase_rate", T.DoubleType()),
+    T.StructField("feature_count", T.LongType()),
+    T.StructField("last_processed_timestamp", T.TimestampNTZType()),
+    T.StructField("domain", T.StringType()),
+    T.StructField("ingest_runs", T.ArrayType(T.StringType())),
+    T.StructField("run", T.StringType()),
+])
+PREDICTION_RUNS_SCHEMA = T.StructType([
+    T.StructField("prediction_id", T.StringType()),
+    T.StructField("model_version", T.StringType()),
+    T.StructField("processed_at", T.TimestampNTZType()),
+    T.StructField("record_count", T.LongType()),
+    T.StructField("positive_rate", T.DoubleType()),
+    T.StructField("run", T.StringType()),
+])
+RUN_SCHEMAS = {"ingest_runs": INGEST_RUNS_SCHEMA, "feature_runs": FEATURE_RUNS_SCHEMA, "prediction_runs": PREDICTION_RUNS_SCHEMA}
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, or no rows if nothing has been written there yet.
+    Any other fault (storage, permission) is raised: taking it for an empty
+    store would ingest everything a second time."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def overwrite_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Write ``df`` as the one partition ``column=value`` of a table: a retry
+    replaces its own files and touches no others."""
+    (df.withColumn(column, F.lit(value)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    path = os.path.join(root, "raw_log")
-    return spark.read.parquet(path).drop("ingest_run")
+    return spark.read.schema(STORED_LOG_SCHEMA).parquet(os.path.join(root, "raw_log")).drop("ingest_run")
 
 
 def write_feature_version(features: DataFrame, root: str, version: str) -> None:
@@ -88,28 +139,30 @@ def write_feature_version(features: DataFrame, root: str, version: str) -> None:
      .partitionBy("processing_version").parquet(os.path.join(root, "features")))
 
 
-def append_run(run: DataFrame, root: str, table: str = "feature_runs") -> None:
-    """Append a run row (S11). Written after the data it describes, so it is
-    the commit point readers rely on."""
-    run.write.mode("append").parquet(os.path.join(root, table))
+def write_run(run: DataFrame, root: str, run_id: str, table: str = "feature_runs") -> None:
+    """The run row of ``run_id`` (S11), written after the data it describes,
+    so it is the commit point readers rely on. A run has one row: a retry
+    replaces it."""
+    overwrite_partition(run, os.path.join(root, table), "run", run_id)
 
 
-def read_runs(spark: SparkSession, root: str, table: str = "feature_runs") -> DataFrame | None:
-    path = os.path.join(root, table)
-    if not os.path.exists(path) and "://" not in path:
-        return None
-    return spark.read.parquet(path)
+def read_runs(spark: SparkSession, root: str, table: str = "feature_runs") -> DataFrame:
+    """Run rows, none before the first run."""
+    return read_or_empty(spark, os.path.join(root, table), RUN_SCHEMAS[table]).drop("run")
 
 
-def load_features(spark: SparkSession, root: str, version: str | None = None) -> DataFrame | None:
+def load_features(spark: SparkSession, root: str, version: str | None = None, without: str | None = None) -> DataFrame | None:
     """The table as of one version, the latest committed one by default
     (S4); None when nothing is committed. Only committed versions are read
     (an uncommitted directory is ignored), every row is stamped with the
-    requested version, and the version filter prunes partitions."""
+    requested version, and the version filter prunes partitions. ``without``
+    leaves out one version: the one a retried run is about to write again."""
     from ..operators.merge import load_version
 
     runs = read_runs(spark, root)
-    if runs is None:
+    if without is not None:
+        runs = runs.where(F.col("processing_version") != F.lit(without))
+    if runs.isEmpty():
         return None
     return load_version(spark.read.parquet(os.path.join(root, "features")), runs, version)
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .files import read_or_empty
 
 MODELS_SCHEMA = T.StructType([
     T.StructField("model_version", T.StringType()),
@@ -28,10 +29,7 @@ MODELS_SCHEMA = T.StructType([
     T.StructField("feature_names", T.ArrayType(T.StringType())),
     T.StructField("scaled_features", T.ArrayType(T.StringType())),
 ])
-
-
-def _exists(path: str) -> bool:
-    return "://" in path or os.path.exists(path)
+PROMOTIONS_SCHEMA = T.StructType([T.StructField("model_version", T.StringType()), T.StructField("promoted_at", T.TimestampNTZType())])
 
 
 def register_model(spark: SparkSession, root: str, model: PipelineModel, version: str, data_version: str,
@@ -49,12 +47,14 @@ def register_model(spark: SparkSession, root: str, model: PipelineModel, version
     spark.createDataFrame(row, MODELS_SCHEMA).write.mode("append").parquet(os.path.join(root, "models"))
 
 
+def read_models(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, os.path.join(root, "models"), MODELS_SCHEMA)
+
+
 def active_version(spark: SparkSession, root: str) -> DataFrame:
     """One row (model_version, promoted_at) or none."""
     path = os.path.join(root, "promotions")
-    if not _exists(path):
-        return spark.createDataFrame([], "model_version string, promoted_at timestamp_ntz")
-    p = spark.read.parquet(path)
+    p = read_or_empty(spark, path, PROMOTIONS_SCHEMA)
     return p.select(F.max_by(F.struct("model_version", "promoted_at"), "promoted_at").alias("a")) \
         .where(F.col("a").isNotNull()).select("a.*")
 

@@ -1,9 +1,9 @@
 """Structured Streaming jobs (R1-R3): file sources, ``availableNow``
 triggers, ``foreachBatch`` sinks keyed by batch id.
 
-The checkpoint replaces the original's file/high-water bookkeeping: a file is
-read once, a batch id is committed once, and a retried batch rewrites only
-its own output partition.
+The checkpoint says which files were read; what of them was stored, featurized
+or scored stands in the run rows, written last. A retried batch rewrites its
+own partition and run row, and rows that a gate holds back wait in the store.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import config as C
 from ..operators import model as ML
 from ..operators import prepare as P
-from ..operators import score as SC
 from ..operators.featurize import featurize
 from ..plans import runs
+from ..session import stored
 from ..sources.files import CSV_TIMESTAMP_FORMAT, RAW_LOG_SCHEMA
 
 
@@ -56,7 +56,9 @@ def featurize_stream(spark: SparkSession, root: str, min_batch: int = C.MIN_FEAT
     src = spark.readStream.schema(schema).parquet(os.path.join(root, "raw_log"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        runs.featurize_increment(spark, root, f"stream_v{batch_id:08d}", batch.drop("ingest_run"), min_batch)
+        # the batch says that rows arrived; what to do is read from the store,
+        # so rows that a gate held back earlier are in it
+        runs.featurize_increment(spark, root, f"stream_v{batch_id:08d}", None, min_batch)
 
     return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "featurize"))
             .trigger(availableNow=True).start())
@@ -64,22 +66,20 @@ def featurize_stream(spark: SparkSession, root: str, min_batch: int = C.MIN_FEAT
 
 def score_stream(spark: SparkSession, inbox_dir: str, root: str, model: PipelineModel, features: list[str],
                  scaler: DataFrame, scaled: list[str], model_version: str) -> StreamingQuery:
-    """Pending rows -> serving features -> forest -> predictions
-    partition ``pred_<batch id>`` (overwritten on retry, so exactly once)."""
+    """Rows without a committed prediction -> serving features -> forest ->
+    partition ``pred_<batch id>`` with the input columns, then its run row.
+    A retried batch replaces both."""
     schema = T.StructType(RAW_LOG_SCHEMA.fields + [T.StructField("predicted", T.BooleanType())])
     src = spark.readStream.schema(schema).parquet(inbox_dir)
     key = ["user_id", "log_ts"]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        pending = SC.pending_rows(batch)
+        run = f"pred_{batch_id:08d}"
+        pending = stored(runs.scored_flags(spark, root, batch, key, without=run).where(~F.col("predicted")), "pending")
         served = featurize(pending, mode="serve")
         aligned = served.select(*key, *[F.col(c) for c in P.align_features(served, features).columns])
         pred = ML.predict(model, P.apply_scaler_table(aligned, scaler, scaled), features, key)
-        (pred.withColumn("model_version", F.lit(model_version))
-         .withColumn("prediction_timestamp", F.localtimestamp().cast("timestamp_ntz"))
-         .withColumn("prediction_id", F.lit(f"pred_{batch_id:08d}"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("prediction_id").parquet(os.path.join(root, "predictions")))
+        runs.write_predictions(spark, root, pending, pred, run, model_version, key)
 
     return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "score"))
             .trigger(availableNow=True).start())

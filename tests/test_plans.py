@@ -66,12 +66,44 @@ def test_featurize_is_fully_codegen(spark, mode):
 
     plan = plan_of(featurize(log_table(spark, SF_SMALL), mode=mode))
     ops = [line.strip(" :+-") for line in plan.splitlines() if line.strip(" :+-")]
-    assert ops and all(op.startswith("*(") for op in ops), plan[:2000]
+    # the sum over a version's parts, however many, is the one lambda
+    rest = [op for op in ops if not op.startswith(("*(", "FileScan")) and "aggregate(transform(split(app_version" not in op]
+    assert ops and not rest, rest[0][:2000]
 
 
-def test_long_versions_are_unparsable(spark):
+def test_every_version_part_counts(spark):
     from purchase_signals.functions import categorical as cat
-    v = ".".join(["1"] * (cat.MAX_VERSION_PARTS + 1))
-    r = spark.createDataFrame([(v,)], "v string").select(
-        cat.version_score("v").alias("s"), cat.version_score("v", serve=True).alias("ss")).first()
-    assert r.s is None and r.ss == 3.0
+
+    parts = ["1"] * 17 + ["4", "x"]
+    rows = [(".".join(parts[:n]),) for n in (1, 16, 17, 18)] + [(".".join(parts),), ("",)]
+    got = [tuple(r) for r in spark.createDataFrame(rows, "v string").select(
+        cat.version_score("v").alias("s"), cat.version_score("v", serve=True).alias("ss")).collect()]
+    want = [sum(float(p) / 10 ** n for n, p in enumerate(parts[:k])) for k in (1, 16, 17, 18)]
+    assert [g[0] for g in got[:4]] == pytest.approx(want)
+    assert got[4:] == [(None, 3.0), (None, 3.0)]
+
+
+def test_stores_are_scanned_by_column(spark):
+    from purchase_signals.plans.catalog import QUERIES, split_rows
+
+    plan = plan_of(QUERIES["hash_keys"](spark, SF_SMALL))
+    assert "FileScan parquet" in plan and "ReadSchema: struct<user_id:bigint,first_visit_date:string>" in plan
+    assert split_rows(spark, SF_SMALL) is split_rows(spark, SF_SMALL)
+
+
+def test_split_and_weights_do_not_shuffle_rows_on_the_label(spark):
+    from purchase_signals.operators import model as ML
+    from purchase_signals.operators import prepare as P
+    from purchase_signals.plans.catalog import features
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        f = features(spark, SF_SMALL)
+        for df in (P.stratified_split(f, ["user_id", "log_ts"]), ML.with_class_weights(f)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            main = plan.split("Subqueries")[0]
+            assert "Exchange" not in main.split("Subquery")[0] and "SortMergeJoin" not in main.split("Subquery")[0], main[:1500]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
