@@ -106,12 +106,17 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets:
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N).
     neg(< s) is a prefix sum over distinct scores, computed in two levels:
     per score-range bucket (a small window over bucket totals) plus a window
-    partitioned by bucket, so no single task sees every distinct score.
+    partitioned by bucket, so no single task sees every distinct score. Buckets
+    part the range that the scores really have, whatever it is; rows without a
+    score or a label rank nowhere and do not count.
     """
+    df = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    span = df.select(F.struct(F.min(score).cast("double").alias("lo"), F.max(score).cast("double").alias("hi"))).scalar()
     y = F.col(label)
     per_score = df.groupBy(F.col(score).alias("s")).agg(
         _cnt(y == 1).cast("double").alias("pos"), _cnt(y == 0).cast("double").alias("neg"))
-    per_score = per_score.withColumn("b", F.floor(F.col("s") * F.lit(float(buckets))))
+    per_score = per_score.withColumn("_span", span).withColumn("b", F.coalesce(F.floor(F.try_divide(
+        (F.col("s") - F.col("_span")["lo"]) * F.lit(float(buckets)), F.col("_span")["hi"] - F.col("_span")["lo"])), F.lit(0))).drop("_span")
     bucket_tot = per_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket_tot.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("off"))
