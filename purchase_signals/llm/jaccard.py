@@ -6,19 +6,24 @@ token-group matrix, as connected components.
    are dealt out by token in compact batches; what comes back to each set are
    its tokens that others have too.  Sets for which those are under 75 % of
    their own have no partner and leave.
-3. Similar sets are partitioned into groups: sets with a common min-hash are
-   compared with one of them, and the components of the links found are the
-   groups.
-4. The matrix: the union of each group's tokens, as rows (group, token).  A set
-   keeps the tokens that another group has; with fewer than 75 % of its own it
-   cannot have a partner outside its group.  For what is left the overlap of
-   each set with each group's union bounds its overlap with any member; only
+3. Similar sets are partitioned into groups: each set is compared with the most
+   central set that has a min-hash in common with it (the one with the greatest
+   share of tokens that others have).  Pairs that share half of the smaller set
+   put both into one group; pairs over the threshold are links.
+4. A set keeps the tokens that a set outside its component of links has too; with
+   fewer than 75 % of its own it has no link left to find and leaves.
+5. The matrix: the union of each group's tokens, as rows (group, token).  The
+   overlap of a set with a group's union bounds its overlap with any member; only
    groups that reach the bound are opened, and their members that share a rare
    token with the set are compared with it.
+6. A set's own group is opened too: overlaps of its remaining members are products
+   of blocks of the token matrix, taken block pair by block pair in tasks, which
+   return only links that join components.
 
 Two sets of one component need no comparison, and a group's union stands for all
-of its members, so a crowd of near copies costs work in proportion to its size.
-Nothing is capped: the bounds are exact.
+of its members.  A crowd of near copies is mostly linked in step 3, with work in
+proportion to its size; of what is left in one group every two blocks of
+``BLOCK`` sets are multiplied.  Nothing is capped: the bounds are exact.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +46,8 @@ PERCENT = 75
 BUCKET_TOKENS = 2_000_000
 #: Min-hashes by which step 3 finds sets to compare.
 KEYS = 8
+#: Sets in a block of a group's matrix, and columns multiplied at a time.
+BLOCK, COLUMNS = 256, 8192
 #: The place of a token that several sets of a batch have.
 MANY = 0xFFFF
 
@@ -195,12 +203,14 @@ def candidates(docs: DataFrame, total: int) -> DataFrame:
     return stage(found.join(first, "sid", "left_semi"), "distinct-sets")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of set ids with their sizes and the size of their overlap."""
     one, two = (sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab")
     both = F.size(F.array_intersect("t_a", "t_b"))
-    return pairs.join(one, "a").join(two, "b").where(
-        both * 100 >= PERCENT * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", both.alias("both"))
+
+
+SIMILAR = f"both * 100 >= {PERCENT} * (n_a + n_b - both)"
 
 
 def min_hashes(tokens, keys: int) -> list:
@@ -229,10 +239,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def stars(sets: DataFrame) -> DataFrame:
-    """Pairs of a set and the first set with the same min-hash."""
-    key = sets.select("sid", F.posexplode(F.array(*min_hashes("tokens", KEYS))).alias("k", "h"))
-    pivot = key.groupBy("k", "h").agg(F.min("sid").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    return key.join(pivot, ["k", "h"]).where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
+    """Pairs of a set and the most central set with the same min-hash."""
+    share = (F.size("tokens") / F.col("n")).alias("share")
+    key = sets.select("sid", share, F.posexplode(F.array(*min_hashes("tokens", KEYS))).alias("k", "h"))
+    pivot = key.groupBy("k", "h").agg(
+        F.max_by("sid", F.struct("share", -F.col("sid"))).alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    return key.join(pivot, ["k", "h"]).where("sid <> b").select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
 
 
 def across(sets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -247,24 +259,69 @@ def across(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def opened(sets: DataFrame) -> DataFrame:
-    """Pairs of sets of different groups that the matrix cannot rule out."""
-    token = sets.select("sid", "g", "n", F.explode("tokens").alias("t"))
-    matrix = stage(token.select("g", "t").distinct(), "matrix")
-    spread = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    """Pairs of sets of different groups ``h`` that the matrix cannot rule out."""
+    token = sets.select("sid", "h", "n", F.explode("tokens").alias("t"))
+    matrix = stage(token.select("h", "t").distinct(), "matrix")
+    spread = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     need = F.ceil(F.col("n") * PERCENT / 100).cast("int")
-    ordered = token.join(spread, "t").groupBy("sid", "g", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
-    rare = stage(ordered.select("sid", "g", "n", F.explode(F.slice("s", F.lit(1), F.size("s") - need + 1)).alias("x"))
-                 .select("sid", "g", "n", F.col("x.t").alias("t")), "rare")
-    meet = rare.join(matrix.withColumnRenamed("g", "other"), "t").where("g <> other").select("sid", "other").distinct()
-    overlap = meet.join(token, "sid").join(matrix.withColumnRenamed("g", "other"), ["other", "t"]).groupBy("sid", "other", "n").agg(
-        F.count(F.lit(1)).alias("bound")).where(F.col("bound") * 100 >= PERCENT * F.col("n"))
+    ordered = token.join(spread, "t").groupBy("sid", "h", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
+    rare = stage(ordered.where(F.size("s") >= need).select("sid", "h", "n", F.explode(F.slice("s", F.lit(1), F.size("s") - need + 1)).alias("x"))
+                 .select("sid", "h", "n", F.col("x.t").alias("t")), "rare")
+    meet = rare.join(matrix.withColumnRenamed("h", "other"), "t").where("h <> other").select("sid", "other").distinct()
+    union = matrix.join(spread, "t", "left_semi").groupBy(F.col("h").alias("other")).agg(F.collect_list("t").alias("union"))
+    bound = F.size(F.array_intersect("tokens", "union"))
+    overlap = meet.join(sets.select("sid", "n", "tokens"), "sid").join(union, "other").where(bound * 100 >= PERCENT * F.col("n"))
     mine = rare.select(F.col("sid").alias("a"), "t", F.col("n").alias("n_a"))
-    theirs = rare.select(F.col("sid").alias("b"), "t", F.col("n").alias("n_b"), F.col("g").alias("other"))
+    theirs = rare.select(F.col("sid").alias("b"), "t", F.col("n").alias("n_b"), F.col("h").alias("other"))
     return (overlap.select(F.col("sid").alias("a"), "other").join(mine, "a").join(theirs, ["other", "t"])
             .where((F.col("n_b") * 100 >= PERCENT * F.col("n_a")) & (F.col("n_a") * 100 >= PERCENT * F.col("n_b")))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def block_links(key: tuple, sets: pd.DataFrame) -> pd.DataFrame:
+    """Links between the sets of two blocks of a group (or inside one), as few as
+    join all components that links join."""
+    _, x, y = key
+    left, right = np.flatnonzero(sets["block"] == x), np.flatnonzero(sets["block"] == y)
+    size, part = sets["n"].to_numpy(), sets["g"].to_numpy()
+    lengths = [len(t) for t in sets["tokens"]]
+    names, column = np.unique(np.concatenate(sets["tokens"].to_list()), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), lengths)
+    both = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    for at in range(0, len(names), COLUMNS):
+        i, j = np.searchsorted(column, (at, at + COLUMNS))
+        matrix = np.zeros((len(sets), min(COLUMNS, len(names) - at)), np.float32)
+        matrix[row[i:j], column[i:j] - at] = 1
+        both += matrix[left] @ matrix[right].T
+    total = size[left][:, None] + size[right][None, :] - both
+    hit = (both * 100 >= PERCENT * total) & (part[left][:, None] != part[right][None, :])
+    top = {g: g for g in part.tolist()}
+
+    def root(g: int) -> int:
+        while top[g] != g:
+            top[g] = g = top[top[g]]
+        return g
+
+    out, ids = [], sets["sid"].to_numpy()
+    for i, j in zip(*np.nonzero(hit), strict=True):
+        a, b = root(int(part[left[i]])), root(int(part[right[j]]))
+        if a != b:
+            top[b] = a
+            out.append((ids[left[i]], ids[right[j]]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def group_links(sets: DataFrame) -> DataFrame:
+    """Links inside groups ``h`` between components ``g``, block pair by block pair."""
+    sized = sets.groupBy("h").agg(F.min("g").alias("x"), F.max("g").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = sets.join(sized.where("x <> y").select("h", "blocks"), "h").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("sid", "g", "n", "tokens", "block", "h", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+    return rows.groupBy("h", "i", "j").applyInPandas(block_links, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -279,11 +336,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     facts = stage(docs.mapInArrow(described, "doc_id long, n_shingles long, set_id binary"), "described")
     total = facts.agg(F.sum("n_shingles")).first()[0] or 0
     sets = candidates(docs, total)
-    star = stage(linked(stars(sets), sets), "star-links")
-    groups = components(star)
-    left = across(sets, groups)
-    more = linked(opened(left), left.select("sid", "n", "tokens"))
-    label = components(star.union(more))
+    star = stage(compared(stars(sets), sets), "compared")
+    links = star.where(SIMILAR).select("a", "b")
+    fields = components(star.where("both * 2 >= least(n_a, n_b)")).withColumnRenamed("label", "h")
+    left = across(sets, components(links)).join(fields, "sid", "left").withColumn("h", F.coalesce("h", "sid"))
+    left = stage(left, "left")
+    far = compared(opened(left), left).where(SIMILAR).select("a", "b")
+    label = components(links.union(group_links(left)).union(far))
     return labelled(facts, sets.select("sid", "set_id"), label)
 
 

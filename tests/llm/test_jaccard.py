@@ -97,6 +97,8 @@ def test_planted_near_copies_equal_brute_force(spark):
 def test_links_that_min_hashes_miss_are_found_by_the_matrix(spark, monkeypatch, keys):
     monkeypatch.setattr(J, "KEYS", keys)
     monkeypatch.setattr(J, "BUCKET_TOKENS", 500)
+    monkeypatch.setattr(J, "BLOCK", 7)
+    monkeypatch.setattr(J, "COLUMNS", 50)
     rng = random.Random(keys)
     texts, k = {}, 0
     for _ in range(25):
