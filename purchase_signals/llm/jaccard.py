@@ -78,6 +78,18 @@ def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([digest(s) if len(s) else None for s in found], pa.binary())], names=["doc_id", "n_shingles", "set_id"])
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Ascending tokens as their differences, byte plane by byte plane: the
+    upper planes are almost all zero and vanish in the shuffle's compression."""
+    return np.ascontiguousarray(np.diff(tokens.astype("<u8"), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(blobs: list[bytes]) -> np.ndarray:
+    """The tokens of packed arrays, one array after the other."""
+    planes = (np.frombuffer(b, np.uint8).reshape(8, -1) for b in blobs)
+    return np.concatenate([shingles.NONE, *(np.cumsum(np.ascontiguousarray(p.T).view("<u8").ravel(), dtype=np.uint64) for p in planes)])
+
+
 def rows(items: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*items, strict=True), _DEALT, strict=True)], schema=_DEALT)
 
@@ -109,12 +121,12 @@ def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         out = [(batch, DIRECTORY, batch, sizes.tobytes(), b"".join(names))]
         if several.any():
-            out.append((batch, KNOWN, batch, places[several].tobytes(), tokens[several].tobytes()))
+            out.append((batch, KNOWN, batch, places[several].tobytes(), packed(tokens[several])))
         places[several] = MANY
         once = np.concatenate([[True], ~same])
         tokens, places = tokens[once], places[once]
         cuts = np.searchsorted(tokens // np.uint64(width), np.arange(buckets + 1, dtype=np.uint64)).tolist()
-        out += [(k, QUESTION, batch, places[i:j].tobytes(), tokens[i:j].tobytes())
+        out += [(k, QUESTION, batch, places[i:j].tobytes(), packed(tokens[i:j]))
                 for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
         yield rows(out)
 
@@ -149,7 +161,7 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows([tuple(r.values()) for r in passed])
             passed = []
         sizes = [len(r["tokens"]) // 8 for r in bucket]
-        tokens = np.frombuffer(b"".join(r["tokens"] for r in bucket), "<u8")
+        tokens = unpacked([r["tokens"] for r in bucket])
         places = np.frombuffer(b"".join(r["places"] for r in bucket), "<u2")
         batch = np.repeat(np.arange(len(bucket)), sizes)
         order = np.argsort(tokens, kind="stable")
@@ -160,7 +172,7 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared &= places != MANY
         ends = np.searchsorted(batch[shared], np.arange(len(bucket) + 1)).tolist()
         kept_places, kept_tokens = places[shared], tokens[shared]
-        out = [(r["batch"], KNOWN, r["batch"], kept_places[i:j].tobytes(), kept_tokens[i:j].tobytes())
+        out = [(r["batch"], KNOWN, r["batch"], kept_places[i:j].tobytes(), packed(kept_tokens[i:j]))
                for r, i, j in zip(bucket, ends[:-1], ends[1:], strict=True) if i < j]
         if out:
             yield rows(out)
@@ -175,7 +187,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.frombuffer(directory["places"], "<u4")
         known = [r for r in batch if r["kind"] == KNOWN]
         places = np.frombuffer(b"".join(r["places"] for r in known), "<u2")
-        tokens = np.frombuffer(b"".join(r["tokens"] for r in known), "<u8").view(np.int64)
+        tokens = unpacked([r["tokens"] for r in known]).view(np.int64)
         count = np.bincount(places, minlength=len(sizes))
         order = np.argsort(places, kind="stable")
         ends = np.cumsum(count)
