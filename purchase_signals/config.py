@@ -62,7 +62,7 @@ DATE_LIKE_PATTERN = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}"
 # Batch gates, thresholds and training parameters.
 # Partitions that a forest's training rows are dealt to, and the greatest number
 # of rows it is fitted to.
-FIT_PARTITIONS = 32
+FIT_PARTITIONS = 16
 MAX_TRAINING_ROWS = 2_000_000
 MIN_INGEST_BATCH = 200
 MIN_FEATURIZE_BATCH = 100
