@@ -33,7 +33,16 @@ OUTSIDE_WORDS = frozenset(
     "navigation breadcrumb breadcrumbs sidebar widget footer comment comments disqus reply replies share sharing social related "
     "recommended newsletter subscribe popup modal login signup toolbar pagination pager masthead banner".split())
 HEADER_WORDS = frozenset({"header"})
+#: Words that may stand beside those in a class or id (``site-footer``); with any other word it is another name (``has-sidebar``).
+PLACE_WORDS = frozenset(
+    "site page global main primary secondary top bottom left right inner outer wrap wrapper container box bar block area section "
+    "list links link item items button buttons icon icons row".split())
+PART_WORDS = PLACE_WORDS | {"post", "entry", "article"}
 MAIN = frozenset({"article", "main"})
+#: Elements of OUTSIDE (and header) that may hold the main text; no other may.
+SPARED = frozenset("nav footer aside form menu head".split())
+# Why an element may be outside: by its kind, or only by its name.
+KIND, NAME = 1, 2
 
 
 @dataclass(slots=True)
@@ -41,6 +50,7 @@ class Node:
     tag: str
     label: str = ""
     outside: bool = False
+    doubt: int = 0  # KIND or NAME: outside, unless ``settle`` finds the main text below
     children: list = field(default_factory=list)  # nodes and runs of text
 
 
@@ -48,21 +58,61 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
+def named(token: str, words: frozenset[str], beside: frozenset[str]) -> bool:
+    """Whether a class or id consists of ``words`` and words that may stand beside them."""
+    parts = {w for w in re.split(r"[^a-z]+", token) if w}
+    return bool(parts & words) and parts <= words | beside
+
+
 def element(tag: str, raw: str, in_main: bool) -> Node:
     """A node labelled by tag and classes; outside the main text by element, role or words."""
-    node = Node(tag, tag, tag in OUTSIDE or (tag == "header" and not in_main))
+    node = Node(tag, tag, tag in OUTSIDE - SPARED)
+    by_kind, by_name = tag in SPARED - {"form"} or (tag == "header" and not in_main), tag == "form"
     if raw and not raw.isspace():
         a = attributes(raw)
-        named = f"{a.get('class', '')} {a.get('id', '')}".lower()
         node.label = f"{tag}.{'.'.join(sorted(set(a.get('class', '').split())))}" if a.get("class") else tag
         if tag not in ("html", "body", *MAIN):
-            words = set(re.split(r"[^a-z]+", named))
-            node.outside |= bool(words & OUTSIDE_WORDS) or (not in_main and bool(words & HEADER_WORDS))
-        node.outside |= a.get("role", "").lower() in OUTSIDE_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+            tokens = f"{a.get('class', '')} {a.get('id', '')}".lower().split()
+            by_name |= any(named(t, OUTSIDE_WORDS, PART_WORDS) or (not in_main and named(t, HEADER_WORDS, PLACE_WORDS)) for t in tokens)
+        by_kind |= a.get("role", "").lower() in OUTSIDE_ROLES
+        node.outside |= "hidden" in a or a.get("aria-hidden", "").lower() == "true"
         node.outside |= "display:none" in a.get("style", "").replace(" ", "").lower()
+    node.doubt = KIND if by_kind else NAME if by_name else 0
     return node
 
 
+def settle(root: Node) -> None:
+    """Decide on the elements in doubt.  One is not outside if it holds an
+    article or main element with text, or, outside only by name, more than half
+    of the text around it; unless an article or main element beside it has text.
+    The text around is that of the next article, main or such element above, or
+    of the page; text in links does not count."""
+    nodes, parents, text, todo = [], [], [], [(root, 0, False)]
+    while todo:
+        node, parent, link = todo.pop()
+        if node.outside:
+            continue
+        link = link or node.tag == "a"
+        at = len(nodes)
+        nodes.append(node)
+        parents.append(parent)
+        text.append(0 if link else sum(len("".join(c.split())) for c in node.children if isinstance(c, str)))
+        todo.extend((c, at, link) for c in reversed(node.children) if not isinstance(c, str))
+    mains, clear = [0] * len(nodes), [0] * len(nodes)  # below; below and not in an element in doubt
+    for i in range(len(nodes) - 1, 0, -1):
+        p, is_main = parents[i], nodes[i].tag in MAIN and text[i] > 0
+        text[p] += text[i]
+        mains[p] += mains[i] + is_main
+        if not nodes[i].doubt:
+            clear[p] += clear[i] + is_main
+    around = [0] * len(nodes)
+    for i in range(1, len(nodes)):
+        node, s = nodes[i], around[parents[i]]
+        if node.doubt:
+            node.outside = clear[s] > 0 or not (mains[i] or (node.doubt == NAME and 2 * text[i] > text[s]))
+        around[i] = i if node.tag in MAIN or (node.doubt and not node.outside) else s
+
+
 def parse(page: str) -> Node:
     """The page's tree.  Start tags close what HTML lets them close, end tags
     without a partner are dropped, and what is open at the end is closed."""
@@ -74,6 +124,7 @@ def parse(page: str) -> Node:
         if text:
             stack[-1].children.append(html.unescape(text) if "&" in text else text)
         if not m:
+            settle(root)
             return root
         at = m.end()
         if m["name"] is None:

@@ -39,6 +39,24 @@ def test_pages_without_main_part_lose_link_lists():
     assert text_of(page) == ["Real text with a link in it."]
 
 
+def test_wrappers_with_boilerplate_words_keep_the_article():
+    for wrap in ('div class="layout has-sidebar"', 'div class="no-sidebar"', 'div class="header-fixed"', 'form id="aspnetForm"', 'div class="widget"',
+                 'div class="sidebar"', "aside", "nav", 'div role="complementary"'):
+        tag = wrap.split()[0]
+        assert text_of(f"<nav>N</nav><{wrap}><article><h1>T</h1><p>Text</p></article></{tag}>") == ["T", "Text"], wrap
+    for wrap in ('div class="elementor-widget-container"', 'div class="widget"', 'section class="notice"', "form"):
+        tag = wrap.split()[0]
+        assert text_of(f"<article><h1>T</h1><{wrap}><p>Text of the page</p></{tag}></article><article>Two</article>") == ["T", "Text of the page", "Two"], wrap
+        assert text_of(f"<footer>F</footer><{wrap}><p>Text of the page</p><p>More</p></{tag}><p>End</p>") == ["Text of the page", "More", "End"], wrap
+
+
+def test_boilerplate_with_articles_of_its_own_stays_outside():
+    page = """<form id="aspnetForm"><main><article><p>Short</p></article><div id="comments"><article>A long comment, longer than all</article></div></main>
+    <div class="sidebar-left"><article>Teaser</article></div><div class="site-footer">F</div></form><div hidden><article>H</article></div>"""
+    assert text_of(page) == ["Short"]
+    assert text_of('<div class="main-nav">N</div><div class="site-header">H</div><p>Text of its own</p><div class="post-comments">C</div>') == ["Text of its own"]
+
+
 def test_broken_pages():
     for page, want in {"": [], "plain": ["plain"], "a < b &lt; c &#x41;&am": ["a < b < c A&am"], "<p>x<p": ["x"], "</div><p>x</p></p>y": ["x", "y"],
                        "<script>never closed <p>x": [], "<!-- open": [], "<p title='>'>q</p>": ["q"], "<div " * 5: []}.items():
