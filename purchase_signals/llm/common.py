@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -13,6 +14,8 @@ from ..session import ensure_checkpoint_dir
 #: a batch by rows and ``ARROW_BYTES`` bounds it by size.
 ARROW_ROWS = 2000
 ARROW_BYTES = 8 << 20
+#: The column by which rows with equal ids are told apart.
+TAG = "__row_tag"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -39,7 +42,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def tag_rows(df: DataFrame) -> DataFrame:
+    """``df`` with a number of its own for every row, staged: read again, a row has the same number."""
+    return stage(df.withColumn(TAG, F.monotonically_increasing_id()), "tagged")
+
+
+def columns(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
     """The two columns an operator reads, under fixed names, so that extra
-    columns of any name stay out of its plan."""
-    return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
+    columns of any name stay out of its plan (and ``others`` as they are)."""
+    return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"), *others)

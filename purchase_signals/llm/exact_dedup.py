@@ -14,24 +14,24 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, prepare, stage
+from .common import TAG, columns, prepare, stage, tag_rows
 
 FAN_IN_BITS = 3
 KEY = ["text_sha256", "n_bytes", "second_hash"]
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, tag: Column | None = None) -> DataFrame:
     """(doc_id, digest key, tag, run) of every row; ``tag`` tells equal rows apart."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return docs.select("doc_id", text.alias("t")).select(
+    return docs.withColumn("t", text).select(
         "doc_id",
         F.sha2("t", 256).alias("text_sha256"),
         F.octet_length("t").cast("long").alias("n_bytes"),
         F.xxhash64("t").alias("second_hash"),
-        F.monotonically_increasing_id().alias("tag"),
+        (F.monotonically_increasing_id() if tag is None else tag).alias("tag"),
         F.spark_partition_id().alias("run"),
     )
 
@@ -48,6 +48,16 @@ def merge_runs(runs: DataFrame, top: int) -> DataFrame:
     return out.drop("run")
 
 
+def decided(rows: DataFrame) -> DataFrame:
+    """The staged rows of ``digests`` with keep_id, keep_tag and group_size of their group."""
+    top = rows.agg(F.max("run")).first()[0] or 0
+    head = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")
+    best = merge_runs(rows.select("run", *KEY, head.alias("head"), F.lit(1).cast("long").alias("n")), top)
+    best = best.select(*KEY, F.col("head.doc_id").alias("keep_id"), F.col("head.tag").alias("keep_tag"),
+                       F.col("n").alias("group_size"))
+    return rows.join(best, KEY)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -57,25 +67,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     prepare(docs.sparkSession)
     rows = stage(digests(columns(docs, id_col, text_col)), "digests")
-    top = rows.agg(F.max("run")).first()[0] or 0
-    head = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")
-    best = merge_runs(rows.select("run", *KEY, head.alias("head"), F.lit(1).cast("long").alias("n")), top)
-    best = best.select(*KEY, F.col("head.doc_id").alias("keep_id"), F.col("head.tag").alias("keep_tag"),
-                       F.col("n").alias("group_size"))
-    return rows.join(best, KEY).select(
+    return decided(rows).select(
         "doc_id", "keep_id", "group_size", (F.col("tag") == F.col("keep_tag")).alias("kept"), "text_sha256")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    A kept row is found by its id and its normalised text's digest; of rows
-    repeated with the same id and text one stays.
+    """The rows of ``docs`` that stay, with all their columns: one row of each
+    group, found by a tag that is written once with the rows, so rows repeated
+    with the same id (or none) and text are told apart.
     """
     prepare(docs.sparkSession)
-    keyed = docs.withColumns({
-        "__sha": F.sha2(F.regexp_replace(F.coalesce(docs[text_col], F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)})
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__keep"))
-    repeated = keyed.join(kept, (F.col("__sha") == F.col("__keep")) & keyed[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    return repeated.drop("__sha")
+    tagged = tag_rows(docs)
+    rows = stage(digests(columns(tagged, id_col, text_col, TAG), F.col(TAG)), "digests")
+    kept = decided(rows).where("tag = keep_tag").select(F.col("tag").alias(TAG))
+    return tagged.join(kept, TAG, "left_semi").select(docs.columns)

@@ -125,6 +125,17 @@ def test_dedup_has_sql_and_edge_rows(spark):
     assert sorted((r.doc_id, r.run) for r in X.deduplicated(df).where("doc_id IS NOT NULL").distinct().collect()) == [(3, 1), (8, 1), (9, 1)]
 
 
+def test_one_row_of_each_group_stays_with_repeated_and_null_ids(spark):
+    from purchase_signals.llm import exact_dedup as X
+
+    rows = [(3, "a\tb"), (3, "a\tb"), (5, "a  b"), (None, "d"), (None, "d"), (None, "d"), (7, "e"), (7, "f"), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, __sha int")
+    out = X.deduplicated(df.repartition(4))
+    got = sorted(((r.doc_id, " ".join((r.text or "").split())) for r in out.collect()), key=str)
+    assert got == sorted([(3, "a b"), (None, "d"), (7, "e"), (7, "f"), (None, "")], key=str)
+    assert out.columns == df.columns and X.deduplicated(df.limit(0)).count() == 0
+
+
 def test_tree_merge_over_many_runs(spark):
     from purchase_signals.llm import exact_dedup as X
 
