@@ -31,8 +31,9 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest doc_id stays."""
-    return jaccard.first_of_each(docs)
+    """Of every group of linked documents the one with the smallest doc_id stays
+    (rows without id last; of repeated rows one)."""
+    return jaccard.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

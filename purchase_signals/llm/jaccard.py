@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import columns, prepare, stage
+from .common import TAG, columns, prepare, stage, tag_rows
 
 #: Similarity of at least this many percent links two sets.
 PERCENT = 75
@@ -70,12 +70,13 @@ def digest(tokens: np.ndarray) -> bytes:
 
 
 def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, bytes) to (doc_id, n_shingles, set_id); no set_id for empty sets."""
+    """(doc_id, bytes, others) to (doc_id, n_shingles, set_id, others); no set_id for empty sets."""
     for b in batches:
         found = text_sets(b, 1)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array([len(s) for s in found], pa.int64()),
-             pa.array([digest(s) if len(s) else None for s in found], pa.binary())], names=["doc_id", "n_shingles", "set_id"])
+             pa.array([digest(s) if len(s) else None for s in found], pa.binary()), *b.columns[2:]],
+            names=["doc_id", "n_shingles", "set_id", *b.schema.names[2:]])
 
 
 def packed(tokens: np.ndarray) -> bytes:
@@ -334,6 +335,19 @@ def group_links(sets: DataFrame) -> DataFrame:
     return rows.groupBy("h", "i", "j").applyInPandas(block_links, "a long, b long")
 
 
+def linked(facts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sid, set_id) of the sets that others may link to, and (sid, label) of those linked."""
+    total = facts.agg(F.sum("n_shingles")).first()[0] or 0
+    sets = candidates(docs, total)
+    star = stage(compared(stars(sets), sets), "compared")
+    links = star.where(SIMILAR).select("a", "b")
+    fields = components(star.where("both * 2 >= least(n_a, n_b)")).withColumnRenamed("label", "h")
+    left = across(sets, components(links)).join(fields, "sid", "left").withColumn("h", F.coalesce("h", "sid"))
+    left = stage(left, "left")
+    far = compared(opened(left), left).where(SIMILAR).select("a", "b")
+    return sets.select("sid", "set_id"), components(links.union(group_links(left)).union(far))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -346,16 +360,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prepare(docs.sparkSession)
     docs = columns(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
     facts = stage(docs.mapInArrow(described, "doc_id long, n_shingles long, set_id binary"), "described")
-    total = facts.agg(F.sum("n_shingles")).first()[0] or 0
-    sets = candidates(docs, total)
-    star = stage(compared(stars(sets), sets), "compared")
-    links = star.where(SIMILAR).select("a", "b")
-    fields = components(star.where("both * 2 >= least(n_a, n_b)")).withColumnRenamed("label", "h")
-    left = across(sets, components(links)).join(fields, "sid", "left").withColumn("h", F.coalesce("h", "sid"))
-    left = stage(left, "left")
-    far = compared(opened(left), left).where(SIMILAR).select("a", "b")
-    label = components(links.union(group_links(left)).union(far))
-    return labelled(facts, sets.select("sid", "set_id"), label)
+    return labelled(facts, *linked(facts, docs))
 
 
 def labelled(facts: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
@@ -373,3 +378,21 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = jaccard_components(docs, id_col, text_col)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest
+    id (rows without id last), of those the first.  Rows are told apart by a tag
+    written with them, so repeated and null ids are rows of their own."""
+    prepare(docs.sparkSession)
+    tagged = tag_rows(docs)
+    rows = columns(tagged, id_col, text_col, TAG).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), TAG)
+    facts = stage(rows.mapInArrow(described, f"doc_id long, n_shingles long, set_id binary, {TAG} long"), "described")
+    sets, label = linked(facts, rows)
+    first = facts.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", TAG)).alias("first"))
+    named = first.join(sets.join(label, "sid").select("set_id", "label"), "set_id", "left")
+    alone = named.where(F.col("label").isNull()).select("first")
+    heads = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("first").alias("first")).select("first")
+    kept = alone.union(heads).select(F.col(f"first.{TAG}").alias(TAG)).union(facts.where(F.col("set_id").isNull()).select(TAG))
+    return tagged.join(kept, TAG, "left_semi").select(docs.columns)

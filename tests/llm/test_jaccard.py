@@ -130,3 +130,16 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert got == sorted([(None, 6, 7), (7, 6, 7), (7, 6, 7), (9, 7, 7), (None, 1, None), (3, 0, 3)], key=str)
     assert J.jaccard_components(df.limit(0)).count() == 0
     assert sorted(str(r.doc_id) for r in J.first_of_each(df).collect()) == ["3", "7", "7", "None", "None"]
+
+
+def test_one_row_of_each_group_stays_with_repeated_and_null_ids(spark):
+    t = "a b c d e f g h i j"
+    rows = [(None, t), (7, t), (7, t), (9, t + " k"), (5, t + " k"), (5, "clean text of its own here"), (None, "solo x y z q"), (None, "solo x y z q"),
+            (3, None), (3, None)]
+    df = spark.createDataFrame([(i, x, k) for k, (i, x) in enumerate(rows)], "doc_id long, text string, first int")
+    out = J.one_of_each(df.repartition(4))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(5, t + " k"), (5, "clean text of its own here"), (None, "solo x y z q"), (3, None), (3, None)], key=str)
+    lost = J.one_of_each(df.where("first IN (1, 4, 5)").unionByName(df.where("first = 3").selectExpr("2L AS doc_id", "text", "first")))
+    assert sorted((r.doc_id, r.text) for r in lost.collect()) == [(2, t + " k"), (5, "clean text of its own here")]
+    assert out.columns == df.columns and J.one_of_each(df.limit(0)).count() == 0
