@@ -19,10 +19,11 @@ from purchase_signals.llm.common import stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null text, no letter) go; the others stay
-    and get the predicted language as their ``lang``."""
-    tagged = langid.annotate(docs, langid.fit(docs))
-    return tagged.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    """Documents without text or without a letter go; the others stay and get the
+    predicted language as their ``lang`` (their own where none was learned)."""
+    profiles = langid.fit(docs)
+    tagged = langid.annotate(docs, profiles).where("lang_pred IS NOT NULL")
+    return (tagged.withColumn("lang", F.col("lang_pred")) if profiles.languages else tagged).select(docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

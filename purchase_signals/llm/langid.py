@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -163,13 +164,16 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 
 
 def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_col: str = "lang_pred") -> DataFrame:
-    """``docs`` with all its columns and one more, the predicted language."""
+    """``docs`` with all its columns and one more, the predicted language: null
+    without a letter, ``und`` where no language was learned."""
     prepare(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.append_column(pred_col, scores(b.column(at), profiles)[0])
+            names = scores(b.column(at), profiles)[0]
+            lettered = pa.array([any(map(str.isalpha, (t.as_py() or "").lower())) for t in b.column(at)], pa.bool_())
+            yield b.append_column(pred_col, pc.if_else(lettered, names, pa.scalar(None, pa.string())))
 
     schema = StructType([*docs.schema.fields, StructField(pred_col, StringType())])
     return docs.mapInArrow(run, schema)

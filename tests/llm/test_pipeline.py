@@ -44,3 +44,11 @@ def test_stages_against_brute_force(spark):
 def test_run_is_all_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id"} <= set(out.columns) and out.count() > 0
+
+
+def test_documents_stay_where_no_language_was_learned(spark):
+    rows = [(1, "the cat", None), (2, "12 .. 3", None), (3, None, None), (4, "", None), (None, "日本語", "ja")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.language_id(spark, df, SF)
+    assert sorted((str(r.doc_id), r.lang) for r in out.collect()) == [("1", None), ("None", "ja")]
+    assert out.columns == df.columns
