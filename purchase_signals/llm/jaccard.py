@@ -12,8 +12,8 @@ token-group matrix, as connected components.
    put both into one group; pairs over the threshold are links.
 4. A set keeps the tokens that a set outside its component of links has too; with
    fewer than 75 % of its own it has no link left to find and leaves.
-5. The matrix: the union of each group's tokens, as rows (group, token).  The
-   overlap of a set with a group's union bounds its overlap with any member; only
+5. The matrix: the union of each group's tokens, as rows (group, token), in
+   parts by token, so that no union is one row.  The overlap of a set with a group's union bounds its overlap with any member; only
    groups that reach the bound are opened, and their members that share a rare
    token with the set are compared with it.
 6. A set's own group is opened too: overlaps of its remaining members are products
@@ -48,6 +48,8 @@ BUCKET_TOKENS = 2_000_000
 KEYS = 8
 #: Sets in a block of a group's matrix, and columns multiplied at a time.
 BLOCK, COLUMNS = 256, 8192
+#: Tokens of a part of a group's union, on average; larger unions are split by token.
+UNION = 100_000
 #: The place of a token that several sets of a batch have.
 MANY = 0xFFFF
 
@@ -271,6 +273,17 @@ def across(sets: DataFrame, labels: DataFrame) -> DataFrame:
     return out
 
 
+def part_of(token, parts):
+    return F.pmod(F.xxhash64(token), parts).cast("int")
+
+
+def unions(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(other, part, union) and (other, parts): each group's tokens in parts of about ``UNION``."""
+    parts = matrix.groupBy(F.col("h").alias("other")).agg(F.ceil(F.count(F.lit(1)) / UNION).cast("int").alias("parts"))
+    split = matrix.withColumnRenamed("h", "other").join(parts, "other").withColumn("part", part_of("t", F.col("parts")))
+    return split.groupBy("other", "part").agg(F.collect_list("t").alias("union")), parts
+
+
 def opened(sets: DataFrame) -> DataFrame:
     """Pairs of sets of different groups ``h`` that the matrix cannot rule out."""
     token = sets.select("sid", "h", "n", F.explode("tokens").alias("t"))
@@ -281,9 +294,15 @@ def opened(sets: DataFrame) -> DataFrame:
     rare = stage(ordered.where(F.size("s") >= need).select("sid", "h", "n", F.explode(F.slice("s", F.lit(1), F.size("s") - need + 1)).alias("x"))
                  .select("sid", "h", "n", F.col("x.t").alias("t")), "rare")
     meet = rare.join(matrix.withColumnRenamed("h", "other"), "t").where("h <> other").select("sid", "other").distinct()
-    union = matrix.join(spread, "t", "left_semi").groupBy(F.col("h").alias("other")).agg(F.collect_list("t").alias("union"))
-    bound = F.size(F.array_intersect("tokens", "union"))
-    overlap = meet.join(sets.select("sid", "n", "tokens"), "sid").join(union, "other").where(bound * 100 >= PERCENT * F.col("n"))
+    union, parts = unions(matrix.join(spread, "t", "left_semi"))
+    of = lambda k: F.when(F.col("parts") == 1, F.col("tokens")).otherwise(
+        F.filter("tokens", lambda t: part_of(t, F.col("parts")) == k))
+    dealt = (meet.join(sets.select("sid", "n", "tokens"), "sid").join(parts, "other")
+             .select("sid", "other", "n", "tokens", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+             .select("sid", "other", "n", "part", of(F.col("part")).alias("tokens")).where(F.size("tokens") > 0))
+    bound = F.sum(F.size(F.array_intersect("tokens", "union")))
+    overlap = (dealt.join(union, ["other", "part"]).groupBy("sid", "other", "n").agg(bound.alias("bound"))
+               .where(F.col("bound") * 100 >= PERCENT * F.col("n")))
     mine = rare.select(F.col("sid").alias("a"), "t", F.col("n").alias("n_a"))
     theirs = rare.select(F.col("sid").alias("b"), "t", F.col("n").alias("n_b"), F.col("h").alias("other"))
     return (overlap.select(F.col("sid").alias("a"), "other").join(mine, "a").join(theirs, ["other", "t"])

@@ -143,3 +143,20 @@ def test_one_row_of_each_group_stays_with_repeated_and_null_ids(spark):
     lost = J.one_of_each(df.where("first IN (1, 4, 5)").unionByName(df.where("first = 3").selectExpr("2L AS doc_id", "text", "first")))
     assert sorted((r.doc_id, r.text) for r in lost.collect()) == [(2, t + " k"), (5, "clean text of its own here")]
     assert out.columns == df.columns and J.one_of_each(df.limit(0)).count() == 0
+
+
+def test_unions_of_groups_are_split(spark, monkeypatch):
+    monkeypatch.setattr(J, "UNION", 50)
+    matrix = spark.range(1000).selectExpr("if(id < 990, 1L, 2L) AS h", "id AS t")
+    union, parts = J.unions(matrix)
+    assert {r.other: r.parts for r in parts.collect()} == {1: 20, 2: 1}
+    got = union.collect()
+    assert sorted(t for r in got for t in r["union"]) == list(range(1000)) and max(len(r["union"]) for r in got) < 150
+    monkeypatch.setattr(J, "UNION", 7)
+    monkeypatch.setattr(J, "KEYS", 1)
+    rng, texts = random.Random(3), {}
+    for k in range(60):
+        if k % 4 == 0:
+            base = [f"b{rng.random()}" for _ in range(40)]
+        texts[k] = near(rng, base, (0, 1, 1, 2)[k % 4])
+    check(spark, texts)
