@@ -167,8 +167,14 @@ class Slot:
     children: list
     id: int = -1
 
-    def plain(self) -> list:
-        return [self.label, self.text, self.size, [c.plain() for c in self.children]]
+    def flat(self) -> list:
+        """The tree in preorder as [label, text, size, count of children]."""
+        out, todo = [], [self]
+        while todo:
+            s = todo.pop()
+            out.append([s.label, s.text, s.size, len(s.children)])
+            todo.extend(reversed(s.children))
+        return out
 
 
 @dataclass(slots=True)
@@ -258,6 +264,21 @@ def tree(plain: list) -> Slot:
     return Slot(label, text, size, [tree(c) for c in children])
 
 
+def unflat(rows: list) -> Slot:
+    """The tree of ``Slot.flat``, numbered in preorder."""
+    top = Slot("", 0, 0, [])
+    todo = [(top, 1)]
+    for i, (label, text, size, n) in enumerate(rows):
+        while not todo[-1][1]:
+            todo.pop()
+        parent, left = todo.pop()
+        todo.append((parent, left - 1))
+        slot = Slot(label, text, size, [], i)
+        parent.children.append(slot)
+        todo.append((slot, n))
+    return top.children[0]
+
+
 def number(slot: Slot) -> int:
     """Give ids in preorder; the count of slots."""
     n, todo = 0, [slot]
@@ -274,20 +295,90 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     pair up with equal labels, parents and order kept, and the pairs."""
     if a.label != b.label:
         return 0, []
-    m, n = len(a.children), len(b.children)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    below: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            below[i, j] = match(a.children[i - 1], b.children[j - 1])
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + below[i, j][0])
-    pairs, i, j = [(a, b)], m, n
-    while i and j:
-        if below[i, j][0] and best[i][j] == best[i - 1][j - 1] + below[i, j][0]:
-            pairs += below[i, j][1]
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
+    counts: dict[tuple[int, int], int] = {}  # of pairs that both have children
+
+    def count(x: Slot, y: Slot) -> int:
+        if x.label != y.label:
+            return 0
+        return counts[id(x), id(y)] if x.children and y.children else 1
+
+    def table(x: Slot, y: Slot) -> list[list[int]]:
+        best = [[0] * (len(y.children) + 1)]
+        for c in x.children:
+            above, row = best[-1], [0]
+            for j, d in enumerate(y.children):
+                row.append(max(above[j + 1], row[j], above[j] + count(c, d)))
+            best.append(row)
+        return best
+
+    todo = [(a, b, False)]
+    while todo:
+        x, y, ready = todo.pop()
+        if ready:
+            counts[id(x), id(y)] = 1 + table(x, y)[-1][-1]
+            continue
+        todo.append((x, y, True))
+        inner = [d for d in y.children if d.children]
+        todo.extend((c, d, False) for c in x.children if c.children for d in inner if c.label == d.label)
+    pairs, later = [], [(a, b)]
+    while later:
+        x, y = later.pop()
+        pairs.append((x, y))
+        if not x.children or not y.children:
+            continue
+        best, i, j = table(x, y), len(x.children), len(y.children)
+        while i and j:
+            c, d = x.children[i - 1], y.children[j - 1]
+            n = count(c, d)
+            if n and best[i][j] == best[i - 1][j - 1] + n:
+                later.append((c, d))
+                i, j = i - 1, j - 1
+            elif best[i][j] == best[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+    return count(a, b), pairs
+
+
+def sizes(slot: Slot) -> dict[int, int]:
+    """The count of slots of every subtree, by the identity of its top."""
+    order, todo, out = [], [slot], {}
+    while todo:
+        s = todo.pop()
+        order.append(s)
+        todo.extend(s.children)
+    for s in reversed(order):
+        out[id(s)] = 1 + sum(out[id(c)] for c in s.children)
+    return out
+
+
+def by_place(x: list[Slot], y: list[Slot]) -> list[tuple[Slot, Slot]]:
+    """Pairs of children in linear time: equal ones at both ends, then the k-th
+    of a label with the k-th of that label."""
+    equal = lambda c, d: (c.label, c.text, c.size) == (d.label, d.text, d.size)
+    least = min(len(x), len(y))
+    i = next((k for k in range(least) if not equal(x[k], y[k])), least)
+    j = next((k for k in range(least - i) if not equal(x[-1 - k], y[-1 - k])), least - i)
+    pairs = [*zip(x[:i], y[:i], strict=True), *zip(x[len(x) - j:], y[len(y) - j:], strict=True)]
+    waiting: dict[str, list[Slot]] = {}
+    for d in reversed(y[i:len(y) - j]):
+        waiting.setdefault(d.label, []).append(d)
+    return pairs + [(c, waiting[c.label].pop()) for c in x[i:len(x) - j] if waiting.get(c.label)]
+
+
+def align(a: Slot, b: Slot, most: int) -> list[tuple[Slot, Slot]]:
+    """Pairs of slots of two trees.  Subtrees with at most ``most`` * ``most``
+    pairs of slots are matched as ``match`` does; the children of larger ones are
+    paired by label and place, level by level."""
+    if a.label != b.label:
+        return []
+    of_a, of_b = sizes(a), sizes(b)
+    pairs, todo = [], [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        if of_a[id(x)] * of_b[id(y)] <= most * most:
+            pairs += match(x, y)[1]
         else:
-            j -= 1
-    return 1 + best[m][n], pairs
+            pairs.append((x, y))
+            todo.extend(by_place(x.children, y.children))
+    return pairs

@@ -1,9 +1,10 @@
 """HTML extraction by wrapper induction.
 
-Each host has a base page, the one with its smallest page_id.  Every page's tree
+Each host has a base page, one of the median size of its pages.  Every page's tree
 is aligned with its host's base by simple tree matching, on trees in which
 neighbours with one label are one slot (a list of paragraphs or links is one
-slot however long).  Over all pages of a host, slots whose text stays the same
+slot however long).  Where trees are so large that matching would take too long,
+their upper levels are paired by label and place, and what hangs below is matched.  Over all pages of a host, slots whose text stays the same
 are template, slots whose text varies are content.  Menus, adverts and the like
 vary too; they are told by element, role and class or id words.  If a page has
 an article or main element, the text is taken from there.
@@ -28,8 +29,10 @@ from .common import prepare, stage
 LEAST_PAGES, SAME = 5, 0.9
 #: Blocks mostly made of links are no text where the page marks no main part.
 LINKED = 0.5
-#: Trees deeper or larger than this are not aligned (their blocks are all kept).
+#: Trees of up to so many slots are matched as a whole; the upper levels of larger ones are paired by label and place.
 MAX_SLOTS = 4000
+#: Classes of page size in one doubling, for the median.
+SIZE_STEPS = 8
 
 BLOCKS = "array<struct<text:string,slot:int,same:boolean>>"
 SLOTS = "array<struct<slot:int,same:boolean,size:int>>"
@@ -37,25 +40,11 @@ _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("slot", pa.int32()), ("sam
 _SLOTS = pa.list_(pa.struct([("slot", pa.int32()), ("same", pa.bool_()), ("size", pa.int32())]))
 
 
-def depth(slot: dom.Slot) -> int:
-    deepest, todo = 0, [(slot, 1)]
-    while todo:
-        s, d = todo.pop()
-        deepest = max(deepest, d)
-        todo.extend((c, d + 1) for c in s.children)
-    return deepest
-
-
-def alignable(slot: dom.Slot) -> bool:
-    return dom.number(slot) <= MAX_SLOTS and depth(slot) <= 100
-
-
 def base_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, html) to (host, collapsed tree as JSON)."""
     for b in batches:
         roots = [dom.read(t.as_py() or "")[0] for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([json.dumps(r.plain()) if alignable(r) else None for r in roots])], names=["host", "base"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([json.dumps(r.flat()) for r in roots], pa.string())], names=["host", "base"])
 
 
 def blocks_of(page: str, base: dom.Slot | None) -> tuple[list[tuple], list[tuple]]:
@@ -64,8 +53,8 @@ def blocks_of(page: str, base: dom.Slot | None) -> tuple[list[tuple], list[tuple
     root, blocks = dom.read(page)
     aligned: dict[int, tuple[int, bool]] = {}
     slots = []
-    if base is not None and alignable(root):
-        for b, s in dom.match(base, root)[1]:
+    if base is not None:
+        for b, s in dom.align(base, root, MAX_SLOTS):
             same = b.text == s.text and b.size == s.size
             aligned[id(s)] = (b.id, same)
             if s.size:
@@ -88,8 +77,7 @@ def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if base and base not in bases:
                 if len(bases) >= 256:
                     bases.clear()
-                bases[base] = dom.tree(json.loads(base))
-                dom.number(bases[base])
+                bases[base] = dom.unflat(json.loads(base))
             got = blocks_of(page.as_py() or "", bases.get(base))
             blocks.append([dict(zip(("text", "slot", "same"), x, strict=True)) for x in got[0]])
             slots.append([dict(zip(("slot", "same", "size"), x, strict=True)) for x in got[1]])
@@ -110,6 +98,17 @@ def templates(aligned: DataFrame) -> DataFrame:
         .where((F.size("template") > 0) & (F.col("varying") > F.col("constant"))).select("host", "template"))
 
 
+def base_pages(rows: DataFrame) -> DataFrame:
+    """(host, html): of each host's pages with an element the first by page_id
+    among those whose size is nearest to the median, sizes told apart by
+    ``SIZE_STEPS`` classes in a doubling."""
+    step = F.floor(F.log2(F.length("html")) * SIZE_STEPS).cast("int")
+    sized = rows.where(F.col("html").rlike("<[A-Za-z]")).select("host", "page_id", "html", step.alias("step"))
+    middle = stage(sized.groupBy("host").agg(F.percentile("step", F.lit(0.5)).alias("middle")), "middles")
+    order = F.struct(F.abs(F.col("step") - F.col("middle")), F.col("page_id").isNull(), "page_id", F.xxhash64("html"))
+    return sized.join(middle, "host").groupBy("host").agg(F.min_by("html", order).alias("html"))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
@@ -122,8 +121,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     prepare(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(pages[url_col], F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), host.alias("host"), pages[html_col].alias("html"))
-    first = rows.where("html IS NOT NULL").groupBy("host").agg(F.min_by("html", F.struct(F.col("page_id").isNull(), "page_id", F.xxhash64("html"))).alias("html"))
-    base = stage(first.mapInArrow(base_trees, "host string, base string"), "bases")
+    base = stage(base_pages(rows).mapInArrow(base_trees, "host string, base string"), "bases")
     aligned = stage(rows.join(base, "host", "left").select("page_id", "url", "host", "html", "base").mapInArrow(
         align, f"page_id long, url string, host string, blocks {BLOCKS}, slots {SLOTS}"), "aligned")
     any_same = F.exists("blocks", lambda b: b["same"])

@@ -102,3 +102,30 @@ def test_constant_slots_are_template(spark):
     assert all(got[100 + i] == "One\n\nand the same" for i in range(9))
     assert (got[200], got[201], got[None]) == ("", "", "q")
     assert W.extract(df.limit(0)).count() == 0
+
+
+def sections(i, n):
+    return "".join(f"<h2>Part {k} of {i}</h2><p>Text {k} of page {i}</p>" for k in range(n))
+
+
+def test_pages_over_the_cap_are_aligned(spark):
+    page = "<body><div class=top>Welcome to H</div><div class=txt>{}</div><p class=end>All rights</p>"
+    rows = [(i, "http://h.example/", page.format(sections(i, 2500 if i % 7 == 3 else 3 + i % 3))) for i in range(20)]
+    rows += [(-2, "http://h.example/", ""), (-1, "http://h.example/", page.format(sections(-1, 2500)))]
+    rows += [(100 + i, "http://deep.example/", page.format("<div>" * 150 + f"Story {i} as told at length")) for i in range(9)]
+    out = W.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4))
+    got = {r.page_id: r.text for r in out.collect()}
+    for i in range(-1, 20):
+        n = 2500 if i % 7 == 3 or i < 0 else 3 + i % 3
+        assert got[i] == "\n\n".join(f"Part {k} of {i}\n\nText {k} of page {i}" for k in range(n)), i
+    assert all(got[100 + i] == f"Story {i} as told at length" for i in range(9)) and got[-2] == ""
+
+
+def test_large_and_deep_trees_are_paired():
+    deep = dom.read("<div>" * 20000 + "x")[0]
+    assert len(dom.align(dom.unflat(deep.flat()), deep, 4000)) == dom.number(deep)
+    assert [r[:3] for r in dom.unflat(deep.flat()).flat()] == [r[:3] for r in deep.flat()]
+    a, b = (dom.read(f"<div>top</div>{sections(i, n)}<div class=x>end</div>")[0] for i, n in ((1, 9), (2, 5)))
+    pairs = dom.align(a, b, 2)
+    assert len(pairs) == 13 and all(x.label == y.label for x, y in pairs)
+    assert sorted(x.label for x, y in pairs if x.text == y.text) == ["div", "div.x"]
