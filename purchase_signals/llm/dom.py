@@ -39,6 +39,7 @@ PLACE_WORDS = frozenset(
     "list links link item items button buttons icon icons row".split())
 PART_WORDS = PLACE_WORDS | {"post", "entry", "article"}
 MAIN = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of OUTSIDE (and header) that may hold the main text; no other may.
 SPARED = frozenset("nav footer aside form menu head".split())
 # Why an element may be outside: by its kind, or only by its name.
@@ -183,6 +184,8 @@ class Block:
     slot: Slot
     main: bool
     linked: int  # characters inside links
+    links: int = 0  # how many have text in the block
+    heading: bool = False
 
 
 def squeeze(text: str) -> str:
@@ -193,36 +196,40 @@ def read(page: str) -> tuple[Slot, list[Block]]:
     """The collapsed tree of the page and its text blocks that are not outside."""
     blocks: list[Block] = []
     parts: list[str] = []
+    links: set[int] = set()
     linked = 0
 
-    def flush(slot: Slot, main: bool) -> None:
+    def flush(slot: Slot, main: bool, tag: str = "") -> None:
         nonlocal linked
         text = squeeze("".join(parts))
         if text:
-            blocks.append(Block(text, slot, main, linked))
+            blocks.append(Block(text, slot, main, linked, len(links), tag in HEADINGS))
         parts.clear()
+        links.clear()
         linked = 0
 
     # depth first, without recursion: pages may nest deeply
     root_slot = Slot("#root", 0, 0, [])
     texts: dict[int, list[str]] = {}
-    todo: list[tuple] = [("open", parse(page), root_slot, False, False, False)]
+    todo: list[tuple] = [("open", parse(page), root_slot, False, False, 0)]  # the last: the link's identity, or 0
     while todo:
         step, node, slot, main, outside, link = todo.pop()
         if step == "text":
             texts.setdefault(id(slot), []).append(node)
             if not outside:
                 parts.append(node)
-                linked += len(node.strip()) * link
+                if link and node.strip():
+                    linked += len(node.strip())
+                    links.add(link)
             continue
         is_block = node.tag in BLOCK
         if step == "shut":
             if is_block:
-                flush(slot, main)
+                flush(slot, main, node.tag)
             continue
         if node.tag in ("br", "hr", "wbr"):
             parts.append("" if node.tag == "wbr" else " ")
-        main, outside, link = main or node.tag in MAIN, outside or node.outside, link or node.tag == "a"
+        main, outside, link = main or node.tag in MAIN, outside or node.outside, link or (id(node) if node.tag == "a" else 0)
         later, last = [], None
         for child in node.children:
             if isinstance(child, str):

@@ -27,7 +27,7 @@ from .common import prepare, stage
 
 #: A slot is template if at least so many pages align with it and this share of them has the base's text.
 LEAST_PAGES, SAME = 5, 0.9
-#: Blocks mostly made of links are no text where the page marks no main part.
+#: Lists of links, in blocks with more than this share of their characters in links, are no text where the page marks no main part.
 LINKED = 0.5
 #: Trees of up to so many slots are matched as a whole; the upper levels of larger ones are paired by label and place.
 MAX_SLOTS = 4000
@@ -47,6 +47,14 @@ def base_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([json.dumps(r.flat()) for r in roots], pa.string())], names=["host", "base"])
 
 
+def without_link_lists(blocks: list[dom.Block]) -> list[dom.Block]:
+    """Blocks mostly in links go if they hold several links or stand beside
+    another such block; headings stay."""
+    mostly = [b.linked > LINKED * len(b.text) and not b.heading for b in blocks]
+    near = [False, *mostly, False]
+    return [b for i, b in enumerate(blocks) if not (mostly[i] and (b.links > 1 or near[i] or near[i + 2]))]
+
+
 def blocks_of(page: str, base: dom.Slot | None) -> tuple[list[tuple], list[tuple]]:
     """(text, base slot, same as base) of the page's text blocks, and (base slot,
     same, size) of the slots aligned."""
@@ -62,7 +70,7 @@ def blocks_of(page: str, base: dom.Slot | None) -> tuple[list[tuple], list[tuple
     if any(b.main for b in blocks):
         blocks = [b for b in blocks if b.main]
     else:
-        blocks = [b for b in blocks if b.linked <= LINKED * len(b.text)]
+        blocks = without_link_lists(blocks)
     out = [(b.text, *aligned.get(id(b.slot), (-1, False))) for b in blocks]
     used = {slot for _, slot, _ in out}
     return out, [s for s in slots if s[0] in used]

@@ -39,6 +39,11 @@ def test_pages_without_main_part_lose_link_lists():
     assert text_of(page) == ["Real text with a link in it."]
 
 
+def test_linked_headings_and_single_links_stay():
+    page = "<h1><a>Title</a></h1><p>Text</p><p><a>One link</a></p><p>More</p><ul><li><a>a</a><li><a>b</a></ul><h2><a>Part</a></h2><p>End</p>"
+    assert text_of(page) == ["Title", "Text", "One link", "More", "Part", "End"]
+
+
 def test_wrappers_with_boilerplate_words_keep_the_article():
     for wrap in ('div class="layout has-sidebar"', 'div class="no-sidebar"', 'div class="header-fixed"', 'form id="aspnetForm"', 'div class="widget"',
                  'div class="sidebar"', "aside", "nav", 'div role="complementary"'):
