@@ -1,16 +1,16 @@
 """Suffix-array dedup: bytes covered by a repeated 400-byte string.
 
-Distributed prefix doubling over sampled positions.  Of every ``LENGTH``-byte
+Not the doubling of position ranks, but minimizers and hash classes at growing
+lengths in its place: no ranks are carried and no pairs sorted.  Of every ``LENGTH``-byte
 string the position of its smallest ``GRAM``-byte substring (by a hash; the
 leftmost of equals) is its anchor.  The anchor depends on the string alone, so
 equal strings have anchors at equal distance, and one position in about 140 is
 an anchor at all.  An anchor p stands for the strings that start at p - d, d in
 a range.
 
-Each round ranks the positions by a pair: their rank so far and the bytes that
-the grown offset adds.  Spark groups equal pairs, classes get new ranks, and
-positions alone in their class leave.  The first round ranks by the gram.  In
-the next rounds the range of d is cut into aligned blocks of ``BLOCKS`` starts;
+Each round names blocks by the MD5 of all their bytes, cut from the text anew;
+Spark groups equal names, and positions alone in their class leave.  The first
+round groups by the gram.  In the next rounds the range of d is cut into aligned blocks of ``BLOCKS`` starts;
 a block's core, the bytes all of its strings share, grows from 128 bytes to 337,
 393 and at last the whole 400.  A block whose core is unique holds no repeat.  A
 block all of whose bytes (core and both margins) occur twice is repeated as a
