@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, jaccard, langid, packing, pii, repeats, toxicity, wrappers
+from . import ann, bpe, exact_dedup, jaccard, langid, packing, pii, repeats, toxicity, trie, warc, whitening, wrappers
 
 QUERIES = {}
 ORACLES = {}
@@ -91,3 +91,23 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest")
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_warc")
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index = warc.archive(pages, warc.new_folder(spark))
+    return warc.pages_records(pages, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation c takes its first crc32(c) % 6 turns from conversation c - c % 100."""
+    own = trie.sequences(table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return trie.prefix_trie(trie.with_shared_heads(own, F.col("conv_id") - F.col("conv_id") % 100, heads, 5))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
