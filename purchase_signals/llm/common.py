@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -14,8 +15,9 @@ from ..session import ensure_checkpoint_dir
 #: a batch by rows and ``ARROW_BYTES`` bounds it by size.
 ARROW_ROWS = 2000
 ARROW_BYTES = 8 << 20
-#: The column by which rows with equal ids are told apart.
+#: The column by which rows with equal ids are told apart, and its type.
 TAG = "__row_tag"
+TAG_TYPE = "struct<file:bigint,row:bigint>"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -42,9 +44,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tag_rows(df: DataFrame) -> DataFrame:
-    """``df`` with a number of its own for every row, staged: read again, a row has the same number."""
-    return stage(df.withColumn(TAG, F.monotonically_increasing_id()), "tagged")
+def tag_rows(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a tag of its own for every row, and the tag's name (one that
+    ``df`` has not).  Of a frame read from Parquet the tag is the row's file and
+    number in it, so nothing is written again; any other frame is staged first."""
+    tag = free_name(df, TAG)
+    try:
+        if not df._jdf.queryExecution().analyzed().children().isEmpty():
+            df = stage(df, "tagged")
+        return df.withColumn(tag, file_and_row()), tag
+    except AnalysisException:  # no file behind it, so no such columns
+        return stage(df, "tagged").withColumn(tag, file_and_row()), tag
+
+
+def file_and_row() -> Column:
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def columns(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:

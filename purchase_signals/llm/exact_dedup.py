@@ -73,11 +73,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one row of each
-    group, found by a tag that is written once with the rows, so rows repeated
-    with the same id (or none) and text are told apart.
+    group, told by its tag, so rows repeated with the same id (or none) and text
+    are rows of their own.  The list of tags that go is written first, so the
+    planner knows its size: it broadcasts a short one and shuffles for a long one.
     """
     prepare(docs.sparkSession)
-    tagged = tag_rows(docs)
-    rows = stage(digests(columns(tagged, id_col, text_col, TAG), F.col(TAG)), "digests")
-    kept = decided(rows).where("tag = keep_tag").select(F.col("tag").alias(TAG))
-    return tagged.join(kept, TAG, "left_semi").select(docs.columns)
+    tagged, tag = tag_rows(docs)
+    rows = columns(tagged, id_col, text_col, F.col(tag).alias(TAG))
+    rows = stage(digests(rows, F.col(TAG)), "digests")
+    gone = stage(decided(rows).where("tag <> keep_tag").select(F.col("tag").alias(tag)), "dropped")
+    return tagged.join(gone, tag, "left_anti").select(docs.columns)

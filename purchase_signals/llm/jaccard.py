@@ -34,11 +34,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import TAG, columns, prepare, stage, tag_rows
+from .common import TAG, TAG_TYPE, columns, prepare, stage, tag_rows
 
 #: Similarity of at least this many percent links two sets.
 PERCENT = 75
@@ -52,6 +53,8 @@ BLOCK, COLUMNS = 256, 8192
 UNION = 100_000
 #: The place of a token that several sets of a batch have.
 MANY = 0xFFFF
+#: Bytes of a token.
+BYTES = shingles.BITS // 8
 
 DEALT = "route long, kind int, batch long, places binary, tokens binary"
 _DEALT = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("batch", pa.int64()), ("places", pa.binary()), ("tokens", pa.binary())])
@@ -82,15 +85,38 @@ def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed(tokens: np.ndarray) -> bytes:
-    """Ascending tokens as their differences, byte plane by byte plane: the
-    upper planes are almost all zero and vanish in the shuffle's compression."""
-    return np.ascontiguousarray(np.diff(tokens.astype("<u8"), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Ascending tokens as their differences, byte plane by byte plane, compressed:
+    the upper planes are almost all zero."""
+    planes = np.diff(tokens.astype("<u8"), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :BYTES].T
+    return squeezed(np.ascontiguousarray(planes))
 
 
-def unpacked(blobs: list[bytes]) -> np.ndarray:
-    """The tokens of packed arrays, one array after the other."""
-    planes = (np.frombuffer(b, np.uint8).reshape(8, -1) for b in blobs)
-    return np.concatenate([shingles.NONE, *(np.cumsum(np.ascontiguousarray(p.T).view("<u8").ravel(), dtype=np.uint64) for p in planes)])
+def squeezed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def loosened(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def unpacked(blobs: list[bytes]) -> list[np.ndarray]:
+    """The tokens of packed arrays."""
+    out = []
+    for b in blobs:
+        planes = np.frombuffer(loosened(b), np.uint8).reshape(BYTES, -1)
+        wide = np.zeros((planes.shape[1], 8), np.uint8)
+        wide[:, :BYTES] = planes.T
+        out.append(np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64))
+    return out
+
+
+def packed_places(places: np.ndarray) -> bytes:
+    return squeezed(np.ascontiguousarray(places.astype("<u2").view(np.uint8).reshape(-1, 2).T))
+
+
+def unpacked_places(blobs: list[bytes]) -> np.ndarray:
+    planes = (np.frombuffer(loosened(b), np.uint8).reshape(2, -1) for b in blobs)
+    return np.concatenate([np.empty(0, "<u2"), *(np.ascontiguousarray(p.T).view("<u2").ravel() for p in planes)])
 
 
 def rows(items: list[tuple]) -> pa.RecordBatch:
@@ -104,7 +130,7 @@ def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
     many documents have costs one entry for each batch."""
     from pyspark import TaskContext
 
-    first, met, width = TaskContext.get().partitionId() << 32, set(), -(-(1 << 64) // buckets)
+    first, met, width = TaskContext.get().partitionId() << 32, set(), -(-(1 << shingles.BITS) // buckets)
     for number, b in enumerate(batches):
         names, found = [], []
         for s in text_sets(b, 0):
@@ -124,12 +150,12 @@ def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         out = [(batch, DIRECTORY, batch, sizes.tobytes(), b"".join(names))]
         if several.any():
-            out.append((batch, KNOWN, batch, places[several].tobytes(), packed(tokens[several])))
+            out.append((batch, KNOWN, batch, packed_places(places[several]), packed(tokens[several])))
         places[several] = MANY
         once = np.concatenate([[True], ~same])
         tokens, places = tokens[once], places[once]
         cuts = np.searchsorted(tokens // np.uint64(width), np.arange(buckets + 1, dtype=np.uint64)).tolist()
-        out += [(k, QUESTION, batch, places[i:j].tobytes(), packed(tokens[i:j]))
+        out += [(k, QUESTION, batch, packed_places(places[i:j]), packed(tokens[i:j]))
                 for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
         yield rows(out)
 
@@ -163,10 +189,9 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if passed:
             yield rows([tuple(r.values()) for r in passed])
             passed = []
-        sizes = [len(r["tokens"]) // 8 for r in bucket]
-        tokens = unpacked([r["tokens"] for r in bucket])
-        places = np.frombuffer(b"".join(r["places"] for r in bucket), "<u2")
-        batch = np.repeat(np.arange(len(bucket)), sizes)
+        each = unpacked([r["tokens"] for r in bucket])
+        tokens, places = np.concatenate(each), unpacked_places([r["places"] for r in bucket])
+        batch = np.repeat(np.arange(len(bucket)), [len(t) for t in each])
         order = np.argsort(tokens, kind="stable")
         ordered = tokens[order]
         same = ordered[1:] == ordered[:-1]
@@ -175,7 +200,7 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared &= places != MANY
         ends = np.searchsorted(batch[shared], np.arange(len(bucket) + 1)).tolist()
         kept_places, kept_tokens = places[shared], tokens[shared]
-        out = [(r["batch"], KNOWN, r["batch"], kept_places[i:j].tobytes(), packed(kept_tokens[i:j]))
+        out = [(r["batch"], KNOWN, r["batch"], packed_places(kept_places[i:j]), packed(kept_tokens[i:j]))
                for r, i, j in zip(bucket, ends[:-1], ends[1:], strict=True) if i < j]
         if out:
             yield rows(out)
@@ -189,8 +214,8 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directory = [r for r in batch if r["kind"] == DIRECTORY][0]
         sizes = np.frombuffer(directory["places"], "<u4")
         known = [r for r in batch if r["kind"] == KNOWN]
-        places = np.frombuffer(b"".join(r["places"] for r in known), "<u2")
-        tokens = unpacked([r["tokens"] for r in known]).view(np.int64)
+        places = unpacked_places([r["places"] for r in known])
+        tokens = np.concatenate([shingles.NONE, *unpacked([r["tokens"] for r in known])]).view(np.int64)
         count = np.bincount(places, minlength=len(sizes))
         order = np.argsort(places, kind="stable")
         ends = np.cumsum(count)
@@ -391,27 +416,20 @@ def labelled(facts: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, with all their columns;
-    rows without id stay, as nothing tells them from others."""
-    found = jaccard_components(docs, id_col, text_col)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
-
-
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest
     id (rows without id last), of those the first.  Rows are told apart by a tag
     written with them, so repeated and null ids are rows of their own."""
     prepare(docs.sparkSession)
-    tagged = tag_rows(docs)
-    rows = columns(tagged, id_col, text_col, TAG).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), TAG)
-    facts = stage(rows.mapInArrow(described, f"doc_id long, n_shingles long, set_id binary, {TAG} long"), "described")
+    tagged, tag = tag_rows(docs)
+    rows = columns(tagged, id_col, text_col, F.col(tag).alias(TAG)).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), TAG)
+    facts = stage(rows.mapInArrow(described, f"doc_id long, n_shingles long, set_id binary, {TAG} {TAG_TYPE}"), "described")
     sets, label = linked(facts, rows)
     first = facts.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", TAG)).alias("first"))
     named = first.join(sets.join(label, "sid").select("set_id", "label"), "set_id", "left")
     alone = named.where(F.col("label").isNull()).select("first")
     heads = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("first").alias("first")).select("first")
-    kept = alone.union(heads).select(F.col(f"first.{TAG}").alias(TAG)).union(facts.where(F.col("set_id").isNull()).select(TAG))
-    return tagged.join(kept, TAG, "left_semi").select(docs.columns)
+    kept = alone.union(heads).select(F.col(f"first.{TAG}").alias(TAG))
+    gone = facts.where(F.col("set_id").isNotNull()).join(kept, TAG, "left_anti").select(F.col(TAG).alias(tag))
+    return tagged.join(stage(gone, "dropped"), tag, "left_anti").select(docs.columns)

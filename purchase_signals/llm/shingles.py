@@ -1,9 +1,10 @@
-"""Word shingles of whole texts as sorted arrays of 64-bit hashes, in numpy.
+"""Word shingles of whole texts as sorted arrays of 48-bit hashes, in numpy.
 
 Words are runs of bytes other than the six blanks, with A-Z in lower case; a
 shingle is five words in a row.  A text of fewer words has its whole sequence as
 one shingle, a text without words none.  Two different shingles share a hash
-with a chance of 2**-64.
+with a chance of 2**-48: of two texts of 500 shingles each, some pair does with
+one of 10**-9, and 10**13 shingles still find 96 of 100 hashes free.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 SIZE = 5
+#: Bits of a shingle's hash.
+BITS = 48
 #: Bytes hashed at a time; a longer text is hashed alone.
 SLICE = 1 << 20
 
@@ -38,11 +41,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def chain(words: list[np.ndarray]) -> np.ndarray:
-    """Hash of word hashes in a row, position by position."""
+    """Hash of word hashes in a row, position by position, of ``BITS`` bits."""
     h = np.full(len(words[0]), len(words), np.uint64)
     for w in words:
         h = mix((h ^ w) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
-    return h
+    return h >> np.uint64(64 - BITS)
 
 
 def word_hashes(flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
