@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def lean(fn):
+    """``fn`` (for ``mapInArrow``) that gives freed memory back to the system when
+    its task ends.  Python workers live on from stage to stage beside the JVM, so
+    what one stage has freed but kept would count against the next."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def columns(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
     """The two columns an operator reads, under fixed names, so that extra
     columns of any name stay out of its plan (and ``others`` as they are)."""

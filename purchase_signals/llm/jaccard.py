@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import TAG, TAG_TYPE, columns, prepare, stage, tag_rows
+from .common import TAG, TAG_TYPE, columns, lean, prepare, stage, tag_rows
 
 #: Similarity of at least this many percent links two sets.
 PERCENT = 75
@@ -234,10 +234,10 @@ def candidates(docs: DataFrame, total: int) -> DataFrame:
     spark = docs.sparkSession
     buckets = max(2, -(-total // BUCKET_TOKENS))
     parts = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.select("bytes").mapInArrow(lambda b: deal(b, buckets), DEALT)
-    answered = dealt.repartition(parts, "route").sortWithinPartitions("route").mapInArrow(answer, DEALT)
+    dealt = docs.select("bytes").mapInArrow(lean(lambda b: deal(b, buckets)), DEALT)
+    answered = dealt.repartition(parts, "route").sortWithinPartitions("route").mapInArrow(lean(answer), DEALT)
     found = answered.repartition(parts, "batch").sortWithinPartitions("batch").mapInArrow(
-        gather, "set_id binary, n long, tokens array<long>")
+        lean(gather), "set_id binary, n long, tokens array<long>")
     found = stage(found.withColumn("sid", F.monotonically_increasing_id()), "sets")
     first = found.groupBy("set_id").agg(F.min("sid").alias("sid")).select("sid")
     return stage(found.join(first, "sid", "left_semi"), "distinct-sets")
@@ -403,7 +403,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     prepare(docs.sparkSession)
     docs = columns(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
-    facts = stage(docs.mapInArrow(described, "doc_id long, n_shingles long, set_id binary"), "described")
+    facts = stage(docs.mapInArrow(lean(described), "doc_id long, n_shingles long, set_id binary"), "described")
     return labelled(facts, *linked(facts, docs))
 
 
@@ -423,7 +423,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prepare(docs.sparkSession)
     tagged, tag = tag_rows(docs)
     rows = columns(tagged, id_col, text_col, F.col(tag).alias(TAG)).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), TAG)
-    facts = stage(rows.mapInArrow(described, f"doc_id long, n_shingles long, set_id binary, {TAG} {TAG_TYPE}"), "described")
+    facts = stage(rows.mapInArrow(lean(described), f"doc_id long, n_shingles long, set_id binary, {TAG} {TAG_TYPE}"), "described")
     sets, label = linked(facts, rows)
     first = facts.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", TAG)).alias("first"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import columns, prepare
+from .common import columns, lean, prepare
 from .toxicity import held_out
 
 DIMS = 512
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * DIMS), pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(by[lang])], names=["lang", "i", "v"])
 
-    got = rows.select("lang", "text").mapInArrow(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")).collect()
+    got = rows.select("lang", "text").mapInArrow(lean(sums), "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")).collect()
     names = sorted({r.lang for r in got})
     out = np.zeros((len(names), DIMS))
     for r in got:
@@ -160,12 +160,13 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), *scores(b.column(1), profiles)], names=["doc_id", "lang_pred", "score"])
 
-    return columns(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return columns(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, lang_pred string, score double")
 
 
 def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_col: str = "lang_pred") -> DataFrame:
-    """``docs`` with all its columns and one more, the predicted language: null
-    without a letter, ``und`` where no language was learned."""
+    """``docs`` with all its columns and one more, ``pred_col`` (a name it has not
+    yet), the predicted language: null without a letter, ``und`` where no language
+    was learned."""
     prepare(docs.sparkSession)
     at = docs.columns.index(text_col)
 
@@ -176,4 +177,4 @@ def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_c
             yield b.append_column(pred_col, pc.if_else(lettered, names, pa.scalar(None, pa.string())))
 
     schema = StructType([*docs.schema.fields, StructField(pred_col, StringType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import columns, prepare
+from .common import columns, lean, prepare
 
 WIDTH = 4096
 STRIDE = 64
@@ -283,4 +283,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     the input split's number times 2**40 plus a count.
     """
     prepare(docs.sparkSession)
-    return columns(docs, id_col, text_col).mapInArrow(lambda batches: pack_split(batches, tokenizer), SCHEMA)
+    return columns(docs, id_col, text_col).mapInArrow(lean(lambda batches: pack_split(batches, tokenizer)), SCHEMA)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, prepare
+from .common import columns, lean, prepare
 from .tagger import DIGIT, KINDS, MARKS, Tagger, class_table, train
 
 STEP, MARGIN = 64, 16
@@ -249,7 +249,7 @@ def tag(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_col
             rows = [[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in row] for row in spans]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, _SPANS)], names=["doc_id", "spans"])
 
-    return columns(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return columns(docs, id_col, text_col).mapInArrow(lean(run), SCHEMA)
 
 
 def masked(text: str | None, spans: list[tuple[str, int, int, bool]]) -> str | None:
@@ -276,4 +276,4 @@ def mask(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Data
             clean = [masked(t, s) for t, s in zip(texts, find([t or "" for t in texts], tagger), strict=True)]
             yield b.set_column(at, b.schema.field(at).name, pa.array(clean, b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

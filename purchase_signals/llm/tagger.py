@@ -74,16 +74,17 @@ class Tagger:
         w["move"] = np.zeros((TAGS + 1, TAGS))
         return Tagger({k: v.astype(np.float32) for k, v in w.items()})
 
-    def emissions(self, x: np.ndarray) -> tuple[np.ndarray, dict]:
+    def emissions(self, x: np.ndarray, keep: bool = True) -> tuple[np.ndarray, dict]:
+        """Scores of the tags, and what the gradient needs if ``keep``."""
         w = self.weights
-        hf, kept_f = lstm(w["xf"][x], w["hf"])
-        hb, kept_b = lstm(w["xb"][x[::-1]], w["hb"])
+        hf, kept_f = lstm(w["xf"], x, w["hf"], keep)
+        hb, kept_b = lstm(w["xb"], x[::-1], w["hb"], keep)
         h = np.concatenate([hf, hb[::-1]], axis=2)
         return h @ w["out"] + w["bias"], {"h": h, "f": kept_f, "b": kept_b}
 
     def decode(self, x: np.ndarray) -> np.ndarray:
         """Best tags (time, window) of character classes (time, window)."""
-        e, _ = self.emissions(x)
+        e, _ = self.emissions(x, keep=False)
         move = self.weights["move"] + allowed()
         steps, best = len(x), e[0] + move[TAGS]
         back = np.empty((steps, *best.shape), np.int8)
@@ -99,20 +100,24 @@ class Tagger:
         return tags
 
 
-def lstm(x: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Hidden states for input sums ``x`` (time, window, 4 * HIDDEN), and what the gradient needs."""
-    n = HIDDEN
-    h = np.zeros((x.shape[1], n), np.float32)
+def lstm(table: np.ndarray, x: np.ndarray, u: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple | None]:
+    """Hidden states for character classes ``x`` (time, window) with the input
+    weights ``table``, and what the gradient needs if ``keep``."""
+    n, dtype = HIDDEN, u.dtype
+    h = np.zeros((x.shape[1], n), dtype)
     c = np.zeros_like(h)
-    hs, cs, gates = np.empty((len(x), *h.shape), np.float32), np.empty((len(x), *h.shape), np.float32), np.empty_like(x)
+    hs = np.empty((len(x), *h.shape), dtype)
+    cs, gates = (np.empty_like(hs), np.empty((*x.shape, 4 * n), dtype)) if keep else (None, None)
     for t in range(len(x)):
-        z = x[t] + h @ u
+        z = table[x[t]] + h @ u
         z[:, :3 * n] = sigmoid(z[:, :3 * n])
         z[:, 3 * n:] = np.tanh(z[:, 3 * n:])
         c = z[:, n:2 * n] * c + z[:, :n] * z[:, 3 * n:]
         h = z[:, 2 * n:3 * n] * np.tanh(c)
-        hs[t], cs[t], gates[t] = h, c, z
-    return hs, (hs, cs, gates)
+        hs[t] = h
+        if keep:
+            cs[t], gates[t] = c, z
+    return hs, (hs, cs, gates) if keep else None
 
 
 def lstm_gradient(dh_out: np.ndarray, u: np.ndarray, kept: tuple) -> tuple[np.ndarray, np.ndarray]:

@@ -52,3 +52,21 @@ def test_documents_stay_where_no_language_was_learned(spark):
     out = corpus_pipeline.language_id(spark, df, SF)
     assert sorted((str(r.doc_id), r.lang) for r in out.collect()) == [("1", None), ("None", "ja")]
     assert out.columns == df.columns
+
+
+def test_stages_on_clashing_names_repeated_rows_and_nulls(spark):
+    """Extra columns named like a stage's own come through as they were."""
+    t = "the cat sat on the mat with a dog and the bird"
+    rows = [(1, t), (1, t), (2, t + " again"), (None, t), (None, None), (3, ""), (4, "a letter"), (4, None)]
+    names = ["lang_pred", "__row_tag", "text_sha256", "set_id", "tag", "spans", "score", "_metadata_"]
+    base = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = base.selectExpr("*", *[f"concat('{n}', coalesce(doc_id, -1)) AS `{n}`" for n in names])
+    kept = {"language_id": 5, "exact_dedup": 4, "ngram_jaccard": 5, "pii": 8}
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        for given in (docs, stage(docs, "test")):
+            out = fn(spark, given, SF)
+            assert out.columns == docs.columns and fn(spark, given.where("false"), SF).count() == 0
+            got = out.collect()
+            assert all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in got for n in names)
+            assert len(got) == kept[name], name
+    assert {r.doc_id for r in corpus_pipeline.pack(spark, docs, SF).collect()} == {1, 2, 3, 4, None}
