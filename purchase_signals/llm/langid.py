@@ -44,14 +44,18 @@ class Letters:
         self.vectors = (rng.integers(0, 2, (LETTERS, DIMS), np.int8) * 2 - 1).astype(np.int8)
         points = np.arange(0x110000)
         letter = np.fromiter((chr(i).isalpha() for i in points), bool, len(points))
-        self.code = np.where(letter, points % (LETTERS - 1) + 1, 0).astype(np.int64)
+        self.code = np.where(letter, points % (LETTERS - 1) + 1, 0).astype(np.int16)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the n-gram vectors held; they are made again when met."""
         self.known: np.ndarray = np.empty(0, np.int64)
         self.rows = np.empty((0, DIMS), np.float32)
 
     def ngrams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-gram codes of the whole text and their counts; none without letters."""
         points = np.frombuffer((text or "").lower().encode("utf-32-le"), "<u4")
-        code = np.concatenate([[0], self.code[points], [0]])
+        code = np.concatenate([[0], self.code[points], [0]]).astype(np.int64)
         code = code[np.concatenate([[True], (code[1:] != 0) | (code[:-1] != 0)])]  # one blank for each run
         if not code.any():
             return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -119,6 +123,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 v = h.bundle(text.as_py())
                 if v is not None:
                     by[lang] = by.get(lang, 0) + v / max(float(np.linalg.norm(v)), 1e-12)
+        h.forget()
         for lang in sorted(by):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * DIMS), pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(by[lang])], names=["lang", "i", "v"])
@@ -159,6 +164,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), *scores(b.column(1), profiles)], names=["doc_id", "lang_pred", "score"])
+        letters().forget()
 
     return columns(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, lang_pred string, score double")
 
@@ -175,6 +181,7 @@ def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_c
             names = scores(b.column(at), profiles)[0]
             lettered = pa.array([any(map(str.isalpha, (t.as_py() or "").lower())) for t in b.column(at)], pa.bool_())
             yield b.append_column(pred_col, pc.if_else(lettered, names, pa.scalar(None, pa.string())))
+        letters().forget()
 
     schema = StructType([*docs.schema.fields, StructField(pred_col, StringType())])
     return docs.mapInArrow(lean(run), schema)

@@ -270,6 +270,7 @@ def pack_split(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
                 yield from place(False)
     if held:
         yield from place(True)
+    words.clear()  # a worker goes on to other stages
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
