@@ -64,6 +64,8 @@ DATE_LIKE_PATTERN = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}"
 # of rows it is fitted to.
 FIT_PARTITIONS = 16
 MAX_TRAINING_ROWS = 2_000_000
+# Categories that a feature table may have one-hot columns for, in all.
+MAX_CATEGORIES = 10_000
 MIN_INGEST_BATCH = 200
 MIN_FEATURIZE_BATCH = 100
 MAX_MISSING_SHARE = 0.3

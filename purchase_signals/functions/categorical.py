@@ -45,13 +45,19 @@ def user_type(segment, serve: bool = False) -> Column:
 
 
 def one_hot_name(prefix: str, value: str) -> str:
-    return f"{prefix}_{value}".lower()
+    """Lower-case column name; dots and backticks, which a name cannot be
+    addressed with, become underscores."""
+    return f"{prefix}_{value}".lower().replace(".", "_").replace("`", "_")
 
 
 def one_hot(c, prefix: str, values: list[str]) -> dict[str, Column]:
-    """One boolean column per vocabulary value; null or unseen -> all false."""
+    """One boolean column per vocabulary value; null or unseen -> all false.
+    Values of one name (they differ in case only) share a column."""
     x = _col(c)
-    return {one_hot_name(prefix, v): F.coalesce(x == F.lit(v), F.lit(False)) for v in values}
+    by_name: dict[str, list[str]] = {}
+    for v in values:
+        by_name.setdefault(one_hot_name(prefix, v), []).append(v)
+    return {name: F.coalesce(x.isin(vs) if len(vs) > 1 else x == F.lit(vs[0]), F.lit(False)) for name, vs in by_name.items()}
 
 
 def _version_parts(v) -> Column:

@@ -3,8 +3,9 @@
 ``mode="train"`` keeps the training semantics (nulls stay null, label
 computed); ``mode="serve"`` applies the serving defaults (missing time -> noon
 on Monday, unknown platform -> 0, bad version -> 3 / 3.0, numeric nulls -> 0).
-Both modes use the same fixed vocabulary, so the feature columns never depend
-on the batch.
+Both modes take the vocabulary behind the one-hot columns from outside (the
+stored one of a feature version, see ``sources.vocabulary``), so the feature
+columns never depend on the batch.
 """
 
 from __future__ import annotations
@@ -33,16 +34,16 @@ def feature_columns(vocab: dict[str, list[str]]) -> list[str]:
 
 
 def one_hot_columns(vocab: dict[str, list[str]]) -> list[str]:
-    return [cat.one_hot_name(C.ONE_HOT_PREFIX[src], v)
-            for src in C.ONE_HOT_PREFIX for v in vocab.get(src, [])]
+    return list(dict.fromkeys(cat.one_hot_name(C.ONE_HOT_PREFIX[src], v)
+                              for src in C.ONE_HOT_PREFIX for v in vocab.get(src, [])))
 
 
-def featurize(df: DataFrame, vocab: dict[str, list[str]] | None = None, mode: str = "train",
+def featurize(df: DataFrame, vocab: dict[str, list[str]], mode: str = "train",
               keep_hash: bool = False, processing_version: str | None = None) -> DataFrame:
+    """Features of raw rows; ``vocab`` has the categories of each one-hot source."""
     if mode not in ("train", "serve"):
         raise ValueError(mode)
     serve = mode == "serve"
-    vocab = vocab if vocab is not None else C.FIXTURE_VOCABULARY
 
     # Stage 1: parse, flag and split (narrow expressions on the raw row).
     fv = dates.parse_date("first_visit_date") if _has(df, "first_visit_date") else F.lit(None).cast("timestamp_ntz")

@@ -24,10 +24,10 @@ def validated_key_fields(df: DataFrame, key_fields: list[str] | None = None) ->
 
 
 def with_default_timestamp(df: DataFrame, run_ts, column: str = "log_ts") -> DataFrame:
-    """Add the run time as ``column`` when the source has none."""
-    if column in df.columns:
-        return df
-    return df.withColumn(column, F.lit(run_ts).cast("timestamp_ntz"))
+    """The run time as ``column`` where the source has none (P4): no such
+    column, or a row without a value in it."""
+    run_ts = F.lit(run_ts).cast("timestamp_ntz")
+    return df.withColumn(column, F.coalesce(F.col(column).cast("timestamp_ntz"), run_ts) if column in df.columns else run_ts)
 
 
 def with_record_hash(df: DataFrame, key_fields: list[str] | None = None) -> DataFrame:

@@ -164,10 +164,10 @@ def apply_scaler_table(df: DataFrame, scaler: DataFrame, cols: list[str]) -> Dat
     return df.withColumns({c: (F.col(c).cast("double") - p[c]["mean"]) / p[c]["scale"] for c in cols}).drop("_scaler")
 
 
-def align_features(df: DataFrame, feature_names: list[str]) -> DataFrame:
-    """Model column order; missing -> 0, extra dropped."""
+def align_features(df: DataFrame, feature_names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Model column order; missing -> 0, extra dropped (P11) but for ``keep``."""
     have = set(df.columns)
-    return df.select(*[F.col(f) if f in have else F.lit(0).alias(f) for f in feature_names])
+    return df.select(*keep, *[F.col(f) if f in have else F.lit(0).alias(f) for f in feature_names])
 
 
 def prepare_training(features: DataFrame, key_cols: list[str] | None = None, fit_on: str = "train"):

@@ -1,9 +1,9 @@
-"""Scoring side: pending rows, scored marks, run stats, influence (S5, S10,
-J3, A14, J5, T5, F23)."""
+"""Scoring side: pending rows, scored marks, row identity, run stats, influence
+(S5, S10, J3, A14, J5, T5, F23)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -18,11 +18,68 @@ def mark_scored(to_score: DataFrame, predictions: DataFrame, key: list[str], fla
     """Recompute the scored flag (S10, J3): true when already true or when
     the key has a prediction. A left join against the distinct predicted keys
     (map-side distinct, then one shuffle on the key) instead of in-place
-    updates."""
-    done = predictions.select(*key).distinct().withColumn("_scored", F.lit(True))
-    j = to_score.join(done, key, "left")
+    updates; a null in a key equals a null."""
+    done = predictions.select(*[F.col(k).alias(f"_done_{k}") for k in key]).distinct().withColumn("_scored", F.lit(True))
+    same = [to_score[k].eqNullSafe(done[f"_done_{k}"]) for k in key]
+    j = to_score.join(done, same, "left")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)) | F.coalesce(F.col("_scored"), F.lit(False))) \
-        .drop("_scored").select(*to_score.columns)
+        .select(*to_score.columns)
+
+
+def row_id(cols: list[str]) -> Column:
+    """Identity of a row by all its values, nulls included: 32 hex digits."""
+    text = [F.coalesce(F.concat(F.char_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+            for c in sorted(cols)]
+    return F.md5(F.concat_ws("|", *text))
+
+
+def _copies(to_score: DataFrame, done: DataFrame, flag: str) -> DataFrame:
+    """(row_id, marked, open, n_done): copies of each row in ``to_score`` with and
+    without the flag, and its stored predictions. Counts are combined map-side."""
+    marked = F.col(flag).eqNullSafe(F.lit(True))
+    counts = to_score.groupBy("row_id").agg(F.count_if(marked).alias("marked"), F.count_if(~marked).alias("open"))
+    scored = done.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_done"))
+    # predictions beyond the marked copies belong to copies that are not marked yet
+    return counts.join(scored, "row_id", "left").withColumn("n_done", F.coalesce("n_done", F.lit(0))).withColumn(
+        "late", F.least("open", F.greatest(F.lit(0), F.col("n_done") - F.col("marked"))))
+
+
+def pending_copies(to_score: DataFrame, done: DataFrame, flag: str = "predicted") -> DataFrame:
+    """Rows still to score (S5, S10), one for each distinct row, with ``row_id``,
+    ``copies`` (how many of its copies are open) and ``first_occurrence`` (the
+    number the first of them gets).
+
+    A row is identified by all its values and the number of its occurrence, so
+    rows with equal or null keys are rows of their own. ``done`` has the
+    ``row_id`` of every stored prediction."""
+    cols = [c for c in to_score.columns if c != flag]
+    rows = to_score.withColumn("row_id", row_id(cols))
+    left = _copies(rows, done, flag).where("open > late")
+    one = rows.groupBy("row_id").agg(F.any_value(F.struct(*cols)).alias("r"))
+    return one.join(left, "row_id").select(
+        *[F.col(f"r.`{c}`").alias(c) for c in cols], "row_id", (F.col("open") - F.col("late")).alias("copies"),
+        (F.greatest("marked", "n_done") + 1).alias("first_occurrence"))
+
+
+def occurrences(scored: DataFrame) -> DataFrame:
+    """One row for each pending copy, with its ``occurrence``."""
+    last = F.col("first_occurrence") + F.col("copies") - 1
+    return scored.withColumn("occurrence", F.explode(F.sequence("first_occurrence", last))).drop("copies", "first_occurrence")
+
+
+def mark_rows(to_score: DataFrame, done: DataFrame, flag: str = "predicted") -> DataFrame:
+    """``to_score`` with the flag recomputed by row identity: as many copies of a
+    row are true as it has predictions (marked ones first). Only rows of which
+    some copies are scored and some are not need a number among their copies."""
+    cols = [c for c in to_score.columns if c != flag]
+    rows = to_score.withColumn("row_id", row_id(cols))
+    j = rows.join(_copies(rows, done, flag).select("row_id", "open", "late"), "row_id")
+    marked = F.coalesce(F.col(flag), F.lit(False))
+    part = (F.col("late") > 0) & (F.col("late") < F.col("open"))
+    whole = j.where(~part | marked).withColumn(flag, marked | (F.col("late") > 0))
+    number = F.row_number().over(Window.partitionBy("row_id").orderBy("late"))
+    some = j.where(part & ~marked).withColumn(flag, number <= F.col("late"))
+    return whole.unionByName(some).select(*to_score.columns)
 
 
 def scoring_run_stats(predictions: DataFrame, run_col: str = "prediction_id", pred: str = "prediction") -> DataFrame:

@@ -49,9 +49,14 @@ def register(name: str, oracle: str | None = None):
 _STORES: dict[tuple, DataFrame] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of a session and of the files that the app log is derived from."""
     files = tuple(sorted(f for t in ("events", "customer") for f in spark.read.parquet(f"{sf_dir}/{t}.parquet").inputFiles()))
-    key = (*session_key(spark), sf_dir, name, files)
+    return (*session_key(spark), sf_dir, files)
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (*input_key(spark, sf_dir), name)
     df = _STORES.get(key)
     if df is None:
         df = _STORES[key] = stored(build(), name)
@@ -70,7 +75,7 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written feature table (featurized once per session)."""
-    return _stored(spark, sf_dir, "features", lambda: featurize(log_table(spark, sf_dir)))
+    return _stored(spark, sf_dir, "features", lambda: featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY))
 
 
 KEY = ["user_id", "log_ts"]
@@ -83,7 +88,7 @@ def _feature_subset(name: str, cols: list[str]) -> None:
 
     @register(name, S.with_app_log(f"SELECT {sel_sql} FROM feat", features=True))
     def _q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return featurize(log_table(spark, sf_dir)).select(*KEY, *cols)
+        return featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY).select(*KEY, *cols)
 
 
 # --- 2.1 scans ---------------------------------------------------------------
@@ -194,7 +199,7 @@ def segment_parts_q(spark, sf_dir):
 
 @register("features", S.with_app_log("SELECT * FROM feat", features=True))
 def features_q(spark, sf_dir):
-    return featurize(log_table(spark, sf_dir))
+    return featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY)
 
 
 # Register the remaining query groups (they import ``register`` from here).

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators.featurize import featurize
 from ..operators.ingest import with_record_hash
 
@@ -39,7 +40,7 @@ def stored_log(log: DataFrame) -> DataFrame:
 def scored(log: DataFrame) -> DataFrame:
     """Rule-scored feature rows: score = round(intent / 4, 6), predicted
     class = score >= 0.3, label = purchase_24h."""
-    f = featurize(log)
+    f = featurize(log, C.FIXTURE_VOCABULARY)
     score = F.round(F.col("purchase_intent") / F.lit(SCORE_DIVISOR), 6)
     return f.select(
         "user_id", "log_ts", F.col("purchase_24h").alias("label"), score.alias("score"),
@@ -53,7 +54,7 @@ def feature_runs(log: DataFrame) -> DataFrame:
     The running total is a window over the per-day aggregate (one row per
     day, not per record).
     """
-    f = featurize(log).withColumn("day", F.to_date("log_ts"))
+    f = featurize(log, C.FIXTURE_VOCABULARY).withColumn("day", F.to_date("log_ts"))
     per_day = f.groupBy("day").agg(
         F.max("log_ts").alias("processed_at"),
         F.count(F.lit(1)).alias("new_record_count"),
@@ -106,7 +107,7 @@ def to_score(log: DataFrame) -> DataFrame:
 
 def rule_predictions(pending: DataFrame) -> DataFrame:
     """Rule-scored pending rows, one scoring run per arrival day."""
-    f = featurize(pending, mode="serve")
+    f = featurize(pending, C.FIXTURE_VOCABULARY, mode="serve")
     score = F.round(F.col("purchase_intent") / F.lit(SCORE_DIVISOR), 6)
     return f.select("user_id", "log_ts",
                     F.concat(F.lit("pred_"), F.to_date("log_ts").cast("string")).alias("prediction_id"),

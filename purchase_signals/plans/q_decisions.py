@@ -144,6 +144,13 @@ def model_history(spark, sf_dir):
     return D.model_history(models, X.feature_runs(log_table(spark, sf_dir))).orderBy(F.col("trained_at").desc())
 
 
+@register("metric_trend", S.with_app_log(f"SELECT model_version, trained_at, test_f1_score FROM ({HISTORY_SQL}) h WHERE test_f1_score IS NOT NULL",
+                                          features=True, recursive=True, **_hist_ctes(runs=RUNS_SQL)))
+def metric_trend(spark, sf_dir):
+    """The metric of every model that has it, oldest first."""
+    return D.metric_trend(model_history(spark, sf_dir)).select("model_version", "trained_at", "test_f1_score")
+
+
 # --- scoring -----------------------------------------------------------------------
 
 TO_SCORE_SQL = f"""
@@ -176,6 +183,42 @@ def scoring_run_stats(spark, sf_dir):
     return SC.scoring_run_stats(X.rule_predictions(SC.pending_rows(_to_score(spark, sf_dir))))
 
 
+# The inbox with rows that share a key: every fifth user's rows twice, every
+# seventh user's without a timestamp.
+_INBOX_SQL = """SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN NULL ELSE log_ts END AS log_ts) FROM to_score
+UNION ALL SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN NULL ELSE log_ts END AS log_ts) FROM to_score WHERE user_id % 5 = 0"""
+
+
+def _copies(spark, sf_dir):
+    ts = _to_score(spark, sf_dir).withColumn("log_ts", F.when(F.col("user_id") % 7 != 0, F.col("log_ts")))
+    inbox = ts.unionByName(ts.where("user_id % 5 = 0"))
+    cols = [c for c in inbox.columns if c != "predicted"]
+    open_ = inbox.where(~F.col("predicted").eqNullSafe(F.lit(True)) & (F.col("user_id") % 10 == 0))
+    return inbox, open_.select(SC.row_id(cols).alias("row_id")).distinct()
+
+
+@register("pending_copies", S.with_app_log("""
+SELECT user_id, first_visit_date, log_ts, CAST(open_copies - n_done AS BIGINT) AS copies, CAST(n_done + 1 AS BIGINT) AS first_occurrence FROM (
+  SELECT user_id, first_visit_date, log_ts, count(*) AS open_copies, CASE WHEN user_id % 10 = 0 THEN 1 ELSE 0 END AS n_done
+  FROM inbox WHERE predicted IS DISTINCT FROM true GROUP BY ALL) t
+WHERE open_copies > n_done""", features=True, **_score_ctes(inbox=_INBOX_SQL)))
+def pending_copies(spark, sf_dir):
+    """Distinct rows still to score and how many of their copies are open, where
+    one copy of every tenth user's open rows has been scored."""
+    inbox, done = _copies(spark, sf_dir)
+    return SC.pending_copies(inbox, done).select("user_id", "first_visit_date", "log_ts", "copies", F.col("first_occurrence").cast("long").alias("first_occurrence"))
+
+
+@register("mark_rows", S.with_app_log("""
+SELECT user_id, first_visit_date, log_ts, predicted IS NOT DISTINCT FROM true OR (user_id % 10 = 0 AND k = 1) AS predicted FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, first_visit_date, log_ts, predicted) AS k FROM inbox) t""",
+    features=True, **_score_ctes(inbox=_INBOX_SQL)))
+def mark_rows(spark, sf_dir):
+    """The same inbox with one of the copies of those rows marked."""
+    inbox, done = _copies(spark, sf_dir)
+    return SC.mark_rows(inbox, done).select("user_id", "first_visit_date", "log_ts", "predicted")
+
+
 @register("mark_scored", S.with_app_log("""
 SELECT t.* EXCLUDE (predicted),
        coalesce(t.predicted, false) OR EXISTS (SELECT 1 FROM preds p WHERE p.user_id = t.user_id AND p.log_ts = t.log_ts) AS predicted

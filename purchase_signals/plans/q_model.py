@@ -13,9 +13,9 @@ from ..operators import prepare as P
 from ..operators import score as SC
 from ..operators.featurize import featurize
 from . import fixtures as X
-from ..session import session_key, stored
+from ..session import stored
 from . import sql as S
-from .catalog import log_table, register, split_rows
+from .catalog import input_key, log_table, register, split_rows
 from .q_quality import MODEL_NUMERIC, ONE_HOT, SPLIT_SQL, _scale_params
 
 q = S.q
@@ -32,7 +32,7 @@ _PREPARED: dict[tuple, tuple] = {}
 def _prepared(spark, sf_dir):
     """Prepared training frame and scaler, written once per session: MLlib
     reads its input many times."""
-    key = (*session_key(spark), sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _PREPARED:
         prepared, feats, nums, scaler = P.prepare_training(split_rows(spark, sf_dir), KEY)
         _PREPARED[key] = (stored(prepared, "prepared"), feats, nums, scaler)
@@ -74,7 +74,7 @@ def _fit(spark, sf_dir, params=QUERY_FOREST):
     """Fit once per session and input; later queries (importances, scoring)
     use this model as the active one, like the original's scorer loads the
     production model instead of retraining."""
-    key = (*session_key(spark), sf_dir, repr(params))
+    key = (*input_key(spark, sf_dir), repr(params))
     if key not in _MODELS:
         prepared, feats, nums, scaler = _prepared(spark, sf_dir)
         model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, params)
@@ -104,9 +104,8 @@ def cross_validate(spark, sf_dir):
 
 def _score_inputs(spark, sf_dir):
     _, feats, nums, scaler = _prepared(spark, sf_dir)
-    served = featurize(SC.pending_rows(X.to_score(log_table(spark, sf_dir))), mode="serve")
-    aligned = served.select(*KEY, *[F.col(c) for c in P.align_features(served, feats).columns])
-    return P.apply_scaler_table(aligned, scaler, nums)
+    served = featurize(SC.pending_rows(X.to_score(log_table(spark, sf_dir))), C.FIXTURE_VOCABULARY, mode="serve")
+    return P.apply_scaler_table(P.align_features(served, feats, tuple(KEY)), scaler, nums)
 
 
 @register("score_inputs")

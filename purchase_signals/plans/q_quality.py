@@ -252,7 +252,7 @@ MODEL_FEATURES = [c for c in FEATURE_TABLE if c not in ("user_id", "log_ts", C.T
     "SELECT " + ", ".join("coalesce(platform, 0) AS platform" if c == "platform" else q(c) for c in MODEL_FEATURES)
     + " FROM feat", features=True))
 def align_features(spark, sf_dir):
-    served = featurize(log_table(spark, sf_dir), mode="serve")
+    served = featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY, mode="serve")
     return P.align_features(served, MODEL_FEATURES)
 
 

@@ -5,7 +5,9 @@ Layout under a store root (shared storage on a cluster):
     raw_log/ingest_run=<id>/      appended by ingest (unique record_hash)
     features/processing_version=<v>/   rows added by version v (its delta)
     pending_log/ingest_run=<id>/  batches that the gate held back, joined to the next one
-    ingest_runs/run=<id>/, feature_runs/run=<v>/, prediction_runs/run=<id>/
+    log_keys/, feature_keys/      key indexes by run and hash prefix (keyindex)
+    vocabulary/processing_version=<v>/  categories first seen by version v
+    ingest_runs/run=<id>/, pending_runs/run=<id>/, feature_runs/run=<v>/, prediction_runs/run=<id>/
                                   one row per run; written last = commit
     predictions/prediction_id=<id>/
     models/, scaler/              model metadata and scaler tables
@@ -19,6 +21,7 @@ its new rows instead of rewriting the whole table.
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.errors import AnalysisException
@@ -94,6 +97,14 @@ FEATURE_RUNS_SCHEMA = T.StructType([
     T.StructField("last_processed_timestamp", T.TimestampNTZType()),
     T.StructField("domain", T.StringType()),
     T.StructField("ingest_runs", T.ArrayType(T.StringType())),
+    T.StructField("label_sum", T.LongType()),
+    T.StructField("label_count", T.LongType()),
+    T.StructField("columns_json", T.StringType()),
+    T.StructField("run", T.StringType()),
+])
+PENDING_RUNS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("record_count", T.LongType()),
     T.StructField("run", T.StringType()),
 ])
 PREDICTION_RUNS_SCHEMA = T.StructType([
@@ -104,7 +115,8 @@ PREDICTION_RUNS_SCHEMA = T.StructType([
     T.StructField("positive_rate", T.DoubleType()),
     T.StructField("run", T.StringType()),
 ])
-RUN_SCHEMAS = {"ingest_runs": INGEST_RUNS_SCHEMA, "feature_runs": FEATURE_RUNS_SCHEMA, "prediction_runs": PREDICTION_RUNS_SCHEMA}
+RUN_SCHEMAS = {"ingest_runs": INGEST_RUNS_SCHEMA, "feature_runs": FEATURE_RUNS_SCHEMA, "pending_runs": PENDING_RUNS_SCHEMA,
+               "prediction_runs": PREDICTION_RUNS_SCHEMA}
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -151,20 +163,39 @@ def read_runs(spark: SparkSession, root: str, table: str = "feature_runs") -> Da
     return read_or_empty(spark, os.path.join(root, table), RUN_SCHEMAS[table]).drop("run")
 
 
+def feature_schema(runs: DataFrame) -> T.StructType | None:
+    """Columns of all versions of a run table, in order of appearance (versions
+    gain one-hot columns as categories appear). Read from the run rows, one
+    entry for each change of columns, so no file footers are merged."""
+    kinds = runs.where(F.col("columns_json").isNotNull()).groupBy("columns_json").agg(F.min("processed_at").alias("at")).orderBy("at", "columns_json").collect()
+    out: dict[str, T.StructField] = {}
+    for r in kinds:
+        for f in T.StructType.fromJson(json.loads(r.columns_json)).fields:
+            out.setdefault(f.name, f)
+    return T.StructType(list(out.values())) if out else None
+
+
 def load_features(spark: SparkSession, root: str, version: str | None = None, without: str | None = None) -> DataFrame | None:
     """The table as of one version, the latest committed one by default
     (S4); None when nothing is committed. Only committed versions are read
     (an uncommitted directory is ignored), every row is stamped with the
-    requested version, and the version filter prunes partitions. ``without``
-    leaves out one version: the one a retried run is about to write again."""
-    from ..operators.merge import load_version
+    requested version, and the version filter prunes partitions. One-hot columns
+    that a later version brought are false in older rows. ``without`` leaves out
+    one version: the one a retried run is about to write again."""
+    from ..operators.merge import load_version, versions_up_to
 
     runs = read_runs(spark, root)
     if without is not None:
         runs = runs.where(F.col("processing_version") != F.lit(without))
     if runs.isEmpty():
         return None
-    return load_version(spark.read.parquet(os.path.join(root, "features")), runs, version)
+    schema = feature_schema(runs.join(versions_up_to(runs, version).select("processing_version"), "processing_version", "left_semi"))
+    path = os.path.join(root, "features")
+    if schema is None:
+        return load_version(spark.read.parquet(path), runs, version)
+    flags = {f.name: F.coalesce(F.col(f"`{f.name}`"), F.lit(False)) for f in schema.fields if isinstance(f.dataType, T.BooleanType)}
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("processing_version", T.StringType())])).parquet(path)
+    return load_version(rows.withColumns(flags), runs, version)
 
 
 def append_predictions(pred: DataFrame, root: str, source: str | None = None) -> None:

@@ -5,6 +5,7 @@ root, models saved with MLlib's writer.
     promotions/      one row per promotion; the active model is the latest one
     model_store/<v>/ PipelineModel files
     scaler/model_version=<v>/  scaler table of that model
+    model_vocabulary/model_version=<v>/  categories behind its one-hot columns
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from .files import read_or_empty
+from .vocabulary import write_model_vocabulary
 
 MODELS_SCHEMA = T.StructType([
     T.StructField("model_version", T.StringType()),
@@ -34,14 +36,16 @@ PROMOTIONS_SCHEMA = T.StructType([T.StructField("model_version", T.StringType())
 
 def register_model(spark: SparkSession, root: str, model: PipelineModel, version: str, data_version: str,
                    metrics: dict[str, float], features: list[str], scaled: list[str], scaler: DataFrame,
-                   trained_at: dt.datetime | None = None) -> None:
-    """Save the model and its scaler, then append its metadata row (the row
-    is written last, so a registered model always has its files)."""
+                   trained_at: dt.datetime | None = None, vocab: DataFrame | None = None) -> None:
+    """Save the model, its scaler and its vocabulary, then append its metadata row
+    (the row is written last, so a registered model always has its files)."""
     path = os.path.join(root, "model_store", version)
     model.write().overwrite().save(path)
     scaler.withColumn("model_version", F.lit(version)).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("model_version") \
         .parquet(os.path.join(root, "scaler"))
+    if vocab is not None:
+        write_model_vocabulary(vocab, root, version)
     row = [(version, trained_at or dt.datetime.now(), data_version, {k: float(v) for k, v in metrics.items()},
             path, list(features), list(scaled))]
     spark.createDataFrame(row, MODELS_SCHEMA).write.mode("append").parquet(os.path.join(root, "models"))

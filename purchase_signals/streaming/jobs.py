@@ -12,16 +12,14 @@ import os
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
-from ..operators import model as ML
-from ..operators import prepare as P
-from ..operators.featurize import featurize
+from ..operators import score as SC
 from ..plans import runs
 from ..session import stored
+from ..sources import vocabulary
 from ..sources.files import CSV_TIMESTAMP_FORMAT, RAW_LOG_SCHEMA
 
 
@@ -31,6 +29,12 @@ def _checkpoint(root: str, name: str) -> str:
     return os.path.join(root, "_streams", name)
 
 
+def _stream_id(spark: SparkSession, root: str, name: str) -> str:
+    """Identity of a stream, from its checkpoint: a stream begun anew counts its
+    batches from 0 again and must not replace what the former one wrote."""
+    return spark.read.json(os.path.join(_checkpoint(root, name), "metadata")).first().id[:8]
+
+
 def ingest_stream(spark: SparkSession, landing_dir: str, root: str, fmt: str = "csv",
                   min_batch: int = C.MIN_INGEST_BATCH, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """New landing files -> hash, anti-join against the store, append."""
@@ -42,7 +46,7 @@ def ingest_stream(spark: SparkSession, landing_dir: str, root: str, fmt: str = "
     src = reader.format(fmt).load(landing_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        runs.ingest_batch(spark, batch, root, f"stream_{batch_id:08d}", min_batch)
+        runs.ingest_batch(spark, batch, root, f"stream_{_stream_id(spark, root, 'ingest')}_{batch_id:08d}", min_batch)
 
     return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "ingest"))
             .trigger(availableNow=True).start())
@@ -58,28 +62,27 @@ def featurize_stream(spark: SparkSession, root: str, min_batch: int = C.MIN_FEAT
     def sink(batch: DataFrame, batch_id: int) -> None:
         # the batch says that rows arrived; what to do is read from the store,
         # so rows that a gate held back earlier are in it
-        runs.featurize_increment(spark, root, f"stream_v{batch_id:08d}", None, min_batch)
+        runs.featurize_increment(spark, root, f"stream_v{_stream_id(spark, root, 'featurize')}_{batch_id:08d}", None, min_batch)
 
     return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "featurize"))
             .trigger(availableNow=True).start())
 
 
 def score_stream(spark: SparkSession, inbox_dir: str, root: str, model: PipelineModel, features: list[str],
-                 scaler: DataFrame, scaled: list[str], model_version: str) -> StreamingQuery:
-    """Rows without a committed prediction -> serving features -> forest ->
-    partition ``pred_<batch id>`` with the input columns, then its run row.
-    A retried batch replaces both."""
+                 scaler: DataFrame, scaled: list[str], model_version: str, vocab: dict[str, list[str]] | None = None) -> StreamingQuery:
+    """Rows without a committed prediction -> serving features by the model's
+    vocabulary (by default the one stored with ``model_version``) -> forest ->
+    partition ``pred_<stream>_<batch id>`` with the input columns, then its run
+    row. A retried batch replaces both."""
     schema = T.StructType(RAW_LOG_SCHEMA.fields + [T.StructField("predicted", T.BooleanType())])
     src = spark.readStream.schema(schema).parquet(inbox_dir)
-    key = ["user_id", "log_ts"]
+    vocab = vocabulary.model_vocabulary(spark, root, model_version) if vocab is None else vocab
+    active = runs.ActiveModel(model_version, model, features, scaler, scaled, vocab)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        run = f"pred_{batch_id:08d}"
-        pending = stored(runs.scored_flags(spark, root, batch, key, without=run).where(~F.col("predicted")), "pending")
-        served = featurize(pending, mode="serve")
-        aligned = served.select(*key, *[F.col(c) for c in P.align_features(served, features).columns])
-        pred = ML.predict(model, P.apply_scaler_table(aligned, scaler, scaled), features, key)
-        runs.write_predictions(spark, root, pending, pred, run, model_version, key)
+        run = f"pred_{_stream_id(spark, root, 'score')}_{batch_id:08d}"
+        pending = stored(SC.pending_copies(batch, runs.committed_predictions(spark, root, run)), "pending")
+        runs.write_predictions(spark, root, active.scored(pending), run, model_version)
 
     return (src.writeStream.foreachBatch(sink).option("checkpointLocation", _checkpoint(root, "score"))
             .trigger(availableNow=True).start())

@@ -95,7 +95,7 @@ def test_unseen_category_is_all_false(spark):
               "total_screens_viewed long, used_search_feature int, wrote_review int, added_to_wishlist int, age int, "
               "platform string, region string, acquisition_channel string, user_segment string, app_version string, "
               "made_purchase int, log_ts timestamp_ntz")
-    f = featurize(one(spark, rows, schema)).first().asDict()
+    f = featurize(one(spark, rows, schema), C.FIXTURE_VOCABULARY).first().asDict()
     assert not any(v for k, v in f.items() if k.startswith("region_"))
     assert f["channel_email"] is True and f["age_group_young"] is True and f["user_type_buyer"] is True
 
@@ -104,5 +104,5 @@ def test_featurize_never_uses_python_udfs(spark):
     from conftest import SF_SMALL
     from purchase_signals.sources.tables import app_log
 
-    plan = featurize(app_log(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    plan = featurize(app_log(spark, SF_SMALL), C.FIXTURE_VOCABULARY)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

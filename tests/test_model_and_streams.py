@@ -24,7 +24,7 @@ KEY = ["user_id", "log_ts"]
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    f = featurize(app_log(spark, SF_SMALL))
+    f = featurize(app_log(spark, SF_SMALL), C.FIXTURE_VOCABULARY)
     prepared, feats, nums, scaler = P.prepare_training(f, KEY)
     prepared = prepared.checkpoint()
     model = ML.train_forest(prepared.where(~F.col("is_test")), feats, C.TARGET, SMALL_FOREST)
@@ -66,8 +66,8 @@ def test_prepared_frame(trained):
 def test_train_serve_parity_on_clean_rows(spark, trained):
     """Rows without missing values give the same features in both modes."""
     log = app_log(spark, SF_SMALL).where(F.col("platform").isNotNull() & F.col("screen_list").isNotNull())
-    a = featurize(log).drop(C.TARGET)
-    b = featurize(log, mode="serve")
+    a = featurize(log, C.FIXTURE_VOCABULARY).drop(C.TARGET)
+    b = featurize(log, C.FIXTURE_VOCABULARY, mode="serve")
     assert sorted(a.columns) == sorted(b.columns)
     assert a.exceptAll(b.select(*a.columns)).count() == 0
 
@@ -111,7 +111,7 @@ def test_csv_roundtrip_and_export(spark):
     # CSV cannot tell an empty list from a missing one; features treat both alike
     norm = {"screen_list": F.coalesce("screen_list", F.lit(""))}
     assert back.withColumns(norm).exceptAll(log.withColumns(norm)).count() == 0
-    assert featurize(back).exceptAll(featurize(log)).count() == 0
+    assert featurize(back, C.FIXTURE_VOCABULARY).exceptAll(featurize(log, C.FIXTURE_VOCABULARY)).count() == 0
 
 
 def test_ingest_stream_second_run_adds_nothing(spark):
@@ -148,7 +148,7 @@ def test_featurize_and_score_streams(spark, trained):
     assert latest.count() == log.count()
     inbox = tempfile.mkdtemp(prefix="ps-inbox-")
     X.to_score(log).write.mode("overwrite").parquet(inbox)
-    q = jobs.score_stream(spark, inbox, root, model, feats, scaler, nums, "m1")
+    q = jobs.score_stream(spark, inbox, root, model, feats, scaler, nums, "m1", C.FIXTURE_VOCABULARY)
     q.awaitTermination()
     preds = spark.read.parquet(os.path.join(root, "predictions"))
     pending = X.to_score(log).where(~F.col("predicted").eqNullSafe(True)).count()
@@ -179,7 +179,7 @@ def test_registry_promotion_and_load(spark, trained):
 def test_training_guard_and_artifacts(spark, trained):
     log = app_log(spark, SF_SMALL).limit(50)
     with pytest.raises(ValueError, match="insufficient"):
-        P.prepare_training(featurize(log), KEY)
+        P.prepare_training(featurize(log, C.FIXTURE_VOCABULARY), KEY)
     model, prepared, feats, _, _ = trained
     d = tempfile.mkdtemp(prefix="ps-art-")
     files.write_json(ML.importances(spark, model, feats, top=None), os.path.join(d, "importances"))
@@ -207,8 +207,8 @@ def test_key_fields_default_timestamp_and_keep_hash(spark):
     stamped = I.with_default_timestamp(df, "2024-02-01 00:00:00")
     assert stamped.first()["log_ts"].year == 2024
     hashed = I.with_record_hash(app_log(spark, SF_SMALL))
-    assert "record_hash" in featurize(hashed, keep_hash=True).columns
-    assert "record_hash" not in featurize(hashed).columns
+    assert "record_hash" in featurize(hashed, C.FIXTURE_VOCABULARY, keep_hash=True).columns
+    assert "record_hash" not in featurize(hashed, C.FIXTURE_VOCABULARY).columns
 
 
 def test_single_record_scoring_with_active_model(spark, trained):

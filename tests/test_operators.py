@@ -112,7 +112,7 @@ def test_metrics_zero_division_and_auc_ties(spark):
 
 def test_stratified_split_is_deterministic_and_balanced(spark, log):
     from purchase_signals.operators.featurize import featurize
-    f = featurize(log)
+    f = featurize(log, C.FIXTURE_VOCABULARY)
     s1 = P.stratified_split(f, ["user_id", "log_ts"]).select("user_id", "log_ts", "purchase_24h", "is_test")
     s2 = P.stratified_split(f, ["user_id", "log_ts"]).select("user_id", "log_ts", "purchase_24h", "is_test")
     assert sorted(s1.collect()) == sorted(s2.collect())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from purchase_signals import config as C
 from purchase_signals.operators import ingest as I
 from purchase_signals.operators import merge as M
 from purchase_signals.sources.tables import app_log
@@ -64,7 +65,7 @@ def test_featurize_is_fully_codegen(spark, mode):
     from purchase_signals.operators.featurize import featurize
     from purchase_signals.plans.catalog import log_table
 
-    plan = plan_of(featurize(log_table(spark, SF_SMALL), mode=mode))
+    plan = plan_of(featurize(log_table(spark, SF_SMALL), C.FIXTURE_VOCABULARY, mode=mode))
     ops = [line.strip(" :+-") for line in plan.splitlines() if line.strip(" :+-")]
     # the sum over a version's parts, however many, is a lambda: its projection is
     # generated code too, but on its own

@@ -124,7 +124,7 @@ def test_train_score_and_mark(spark, log):
     assert runs.score_pending(spark, root, inbox, "p2") == 0
     stored = spark.read.parquet(f"{root}/predictions")
     assert stored.count() == pending and {"screen_list", "app_version", "prediction", "probability"} <= set(stored.columns)
-    assert runs.scored_flags(spark, root, inbox, key).where(~F.col("predicted")).count() == 0
+    assert runs.scored_flags(spark, root, inbox).where(~F.col("predicted")).count() == 0
     row = files.read_runs(spark, root, "prediction_runs").collect()
     assert [(r.prediction_id, r.model_version, r.record_count) for r in row] == [("p1", "m1", pending)]
     assert registry.active_version(spark, root).first().model_version == "m1"
@@ -133,7 +133,7 @@ def test_train_score_and_mark(spark, log):
 def test_folds_are_stratified_and_stable(spark, log):
     from purchase_signals.operators.featurize import featurize
 
-    f = featurize(log).select("user_id", "log_ts", C.TARGET)
+    f = featurize(log, C.FIXTURE_VOCABULARY).select("user_id", "log_ts", C.TARGET)
     a = P.stratified_folds(f, ["user_id", "log_ts"])
     sizes = {}
     for r in a.groupBy(C.TARGET, "fold").count().collect():
