@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def _cnt(cond) -> F.Column:
     return F.count_if(cond)
@@ -100,30 +102,27 @@ def weighted_f1(df: DataFrame, label: str = "label", pred: str = "prediction") -
     return class_report(df, label, pred).where(F.col("class") == "weighted avg").select(F.col("f1").alias("weighted_f1"))
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact ROC AUC with ties counted one half (the rank-sum statistic).
 
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N).
-    neg(< s) is a prefix sum over distinct scores, computed in two levels:
-    per score-range bucket (a small window over bucket totals) plus a window
-    partitioned by bucket, so no single task sees every distinct score. Buckets
-    part the range that the scores really have, whatever it is; rows without a
-    score or a label rank nowhere and do not count.
+    neg(< s) is a distributed prefix sum over distinct scores: they are dealt to
+    range partitions by sampled splitters, so an outlier or a crowded part of the
+    range fills no partition beyond its share; each partition sums its own scores
+    in order, and the partitions' totals (one row each) give their offsets. The
+    partitions are written once, as a second sample would split elsewhere. Rows
+    without a score or a label rank nowhere and do not count; NaN ranks above
+    every other score.
     """
     df = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    span = df.select(F.struct(F.min(score).cast("double").alias("lo"), F.max(score).cast("double").alias("hi"))).scalar()
     y = F.col(label)
-    per_score = df.groupBy(F.col(score).alias("s")).agg(
+    per_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         _cnt(y == 1).cast("double").alias("pos"), _cnt(y == 0).cast("double").alias("neg"))
-    per_score = per_score.withColumn("_span", span).withColumn("b", F.coalesce(F.floor(F.try_divide(
-        (F.col("s") - F.col("_span")["lo"]) * F.lit(float(buckets)), F.col("_span")["hi"] - F.col("_span")["lo"])), F.lit(0))).drop("_span")
-    bucket_tot = per_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
+    placed = stored(per_score.repartitionByRange("s").withColumn("b", F.spark_partition_id()), "scores")
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucket_tot.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("off"))
+    offsets = placed.groupBy("b").agg(F.sum("neg").alias("bneg")).select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("off"))
     within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    local = per_score.withColumn("local_below", F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
-    j = local.join(offsets, "b")
-    terms = j.select((F.col("pos") * (F.col("off") + F.col("local_below") + F.col("neg") / 2)).alias("t"),
-                     "pos", "neg")
+    local = placed.withColumn("local_below", F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
+    terms = local.join(offsets, "b").select((F.col("pos") * (F.col("off") + F.col("local_below") + F.col("neg") / 2)).alias("t"), "pos", "neg")
     agg = terms.agg(F.sum("t").alias("t"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return agg.select(F.round(F.try_divide(F.col("t"), F.col("p") * F.col("n")), 6).alias("roc_auc"))

@@ -6,7 +6,10 @@ turns the one-row result into long form with ``stack``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,50 +105,88 @@ def label_correlation(df: DataFrame, label: str = C.TARGET, top: int | None = C.
     return long.orderBy(F.col("correlation").desc_nulls_last(), "feature").limit(top)
 
 
-#: Rank error of the bracket around a median, as a share of the rows.
-BRACKET = 1 / 10000
-
-
-def median_rows(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, median): exact medians without gathering a column's values.
-
-    A mergeable sketch first brackets each column's middle ranks; then, in one
-    pass over (feature, value) pairs, the rows below the bracket are counted
-    and only the distinct values inside it (about 4 / 10,000 of the ranks) are
-    grouped, spread over all tasks, and ranked.
-    """
-    low, high = 0.5 - 2 * BRACKET, 0.5 + 2 * BRACKET
-    edges = df.select(F.struct(*[F.percentile_approx(F.col(c).cast("double"), [low, high], int(1 / BRACKET)).alias(c) for c in cols])).scalar()
-    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"), F.col("_edges")[c][0].alias("lo"),
-                      F.col("_edges")[c][1].alias("hi")) for c in cols]
-    long = df.withColumn("_edges", edges).select(F.explode(F.array(*items)).alias("x")).select("x.*").where(F.col("v").isNotNull())
-    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-    grouped = long.groupBy("feature", F.when(inside, F.col("v")).alias("v")).agg(
-        F.count(F.lit(1)).alias("cnt"), F.count_if(F.col("v") < F.col("lo")).alias("below"))
-    facts = grouped.groupBy("feature").agg(F.sum("cnt").alias("n"), F.sum("below").alias("below"))
-    w = Window.partitionBy("feature").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = grouped.where(F.col("v").isNotNull()).select("feature", "v", "cnt", F.sum("cnt").over(w).alias("upto")).join(facts, "feature")
-    upto, first, last = F.col("below") + F.col("upto"), F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    holds = lambda k: (k < upto) & (k >= upto - F.col("cnt"))
-    return ranked.groupBy("feature").agg(
-        ((F.max(F.when(holds(first), F.col("v"))) + F.max(F.when(holds(last), F.col("v")))) / 2).alias("median"))
+#: Values of the grid that a selection pass takes from inside a bracket, and the
+#: sketch's accuracy behind it.
+GRID, ACCURACY = 500, 10_000
+
+
+@dataclass
+class Sought:
+    """A rank that is looked for in a column: the value lies in [low, high];
+    ``outer`` is a bracket around it that holds the value for sure."""
+    column: str
+    rank: int
+    low: float
+    high: float
+    outer: tuple[float, float]
+    value: float | None = None
+
+    def narrow(self, lt_low: int, le_low: int, lt_high: int, le_high: int, grid: list[float] | None) -> None:
+        """Use the counts of values below and up to both ends, and a grid of
+        quantiles of the values between them."""
+        if self.rank < lt_low or self.rank >= le_high:  # the sketch was off: look beside the bracket
+            below = self.rank < lt_low
+            self.low, self.high = (self.outer[0], self.low) if below else (self.high, self.outer[1])
+        elif self.rank < le_low:
+            self.value = self.low
+        elif self.rank >= lt_high:
+            self.value = self.high
+        else:
+            at = (self.rank - le_low) / (lt_high - le_low) * GRID
+            self.outer = (self.low, self.high)
+            self.low, self.high = grid[max(0, int(at) - 1)], grid[min(GRID, int(at) + 2)]
+
+
+def order_statistics(df: DataFrame, cols: list[str], share: float) -> dict[str, tuple[float, float] | None]:
+    """Exact values at the ranks floor and ceil of ``share`` * (n - 1) of each
+    column, nulls and NaN left out; None for a column without values.
+
+    Selection by narrowing brackets: every pass is one aggregate over all columns
+    at once, which counts the values around each bracket and takes a mergeable
+    sketch of those inside it, so a bracket loses all but about 1 / ``GRID`` of
+    its values. There is no shuffle of rows, no sort and no list of values; the
+    driver holds a few numbers for each column. Ten billion values take about six
+    passes."""
+    if not cols:
+        return {}
+    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    first = df.agg(*[e for i, c in enumerate(cols) for e in (F.count(x[c]).alias(f"n{i}"), F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"))]).first()
+    out: dict[str, list[Sought]] = {}
+    for i, c in enumerate(cols):
+        n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
+        out[c] = [Sought(c, k, lo, hi, (lo, hi)) for k in sorted({math.floor(share * (n - 1)), math.ceil(share * (n - 1))})] if n else []
+    grid = [k / GRID for k in range(GRID + 1)]
+    while left := [s for ss in out.values() for s in ss if s.value is None]:
+        aggs = []
+        for i, s in enumerate(left):
+            v = x[s.column]
+            low, high = F.lit(s.low), F.lit(s.high)
+            aggs += [F.count_if(v < low).alias(f"a{i}"), F.count_if(v <= low).alias(f"b{i}"), F.count_if(v < high).alias(f"c{i}"),
+                     F.count_if(v <= high).alias(f"d{i}"), F.percentile_approx(F.when((v > low) & (v < high), v), grid, ACCURACY).alias(f"g{i}")]
+        row = df.agg(*aggs).first()
+        for i, s in enumerate(left):
+            s.narrow(*[row[f"{k}{i}"] for k in "abcd"], row[f"g{i}"])
+    return {c: (ss[0].value, ss[-1].value) if ss else None for c, ss in out.items()}
+
+
+def medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, float | None]:
+    """Median of each column, None without values; ``exact=False`` stops at the
+    mergeable ``percentile_approx`` sketch."""
+    if exact:
+        return {c: None if v is None else (v[0] + v[1]) / 2 for c, v in order_statistics(df, cols, 0.5).items()}
+    row = df.agg(*[F.percentile_approx(F.col(c), 0.5, ACCURACY).cast("double").alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"m{i}"] for i, c in enumerate(cols)}
 
 
 def column_medians(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Median per numeric column (A8), null for a column without values.
-    ``exact=False`` stops at the mergeable ``percentile_approx`` sketch."""
+    """(feature, median) of each numeric column (A8), null for a column without values."""
     cols = cols or numeric_columns(df, exclude=tuple(C.ID_COLUMNS) + (C.TARGET,))
-    one = df.select(medians_struct(df, cols, exact).alias("m")).limit(1).select(*[F.col("m")[c].alias(f"__m{i}") for i, c in enumerate(cols)]) \
-        if not exact else median_rows(df, cols).agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"__m{i}") for i, c in enumerate(cols)])
-    return _long_form(one, cols, [[f"__m{i}"] for i in range(len(cols))], ["feature", "median"])
+    return df.sparkSession.createDataFrame(list(medians(df, cols, exact).items()), "feature string, median double")
 
 
 def medians_struct(df: DataFrame, cols: list[str], exact: bool = True) -> Column:
-    """Scalar subquery returning one struct of medians (computed once)."""
-    if exact:
-        return median_rows(df, cols).select(
-            F.struct(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in cols])).scalar()
-    return df.select(F.struct(*[F.percentile_approx(F.col(c), 0.5, 10000).cast("double").alias(c) for c in cols]).alias("m")).scalar()
+    """The medians as one struct of literals."""
+    return F.struct(*[F.lit(v).cast("double").alias(c) for c, v in medians(df, cols, exact).items()])
 
 
 def feature_run_stats(features: DataFrame, raw_columns: list[str] | None = None) -> DataFrame:

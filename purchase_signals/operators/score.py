@@ -94,21 +94,18 @@ def feature_influence(values: DataFrame, importances: Column, features: list[str
     of them for ``top=None``.
 
     ``importances`` is a struct column (one field per feature), e.g. a
-    scalar subquery over a one-row table. The ranking is a per-row
-    ``sort_array`` over structs keyed by (-|influence|, feature): no shuffle,
-    no window over rows, no lambda. Null influences rank last."""
+    scalar subquery over a one-row table. The ranking is a per-row sort of
+    (-|influence|, place of the name) pairs, numbers only; name, importance and
+    value are looked up for the few that are kept: no shuffle, no window over
+    rows, no lambda. Null influences rank last, ties go by name."""
+    names = sorted(features)
     values = values.withColumn("_imp", importances)
-    items = []
-    for f in features:
-        imp = F.coalesce(F.col("_imp")[f], F.lit(0.0))
-        val = F.col(f).cast("double")
-        infl = imp * val
-        # ascending sort key: larger |influence| first, nulls last, then name
-        key_ = F.coalesce(-F.round(F.abs(infl), 9), F.lit(1.0))
-        items.append(F.struct(key_.alias("k"), F.lit(f).alias("feature"), imp.alias("importance"),
-                              val.alias("value"), infl.alias("influence")))
-    topk = F.slice(F.sort_array(F.array(*items)), 1, top or len(features))
-    return values.select(*key, F.posexplode(topk).alias("pos", "x")).select(
-        *key, (F.col("pos") + 1).alias("rank"), F.col("x.feature").alias("feature"),
-        F.round("x.importance", 6).alias("importance"), F.round("x.value", 6).alias("value"),
-        F.round("x.influence", 6).alias("influence"))
+    values = values.select(*key, F.array(*[F.coalesce(F.col("_imp")[f], F.lit(0.0)) for f in names]).alias("_w"),
+                           F.array(*[F.col(f"`{f}`").cast("double") for f in names]).alias("_v"))
+    ranks = F.array(*[F.struct(F.coalesce(-F.round(F.abs(F.col("_w")[i] * F.col("_v")[i]), 9), F.lit(1.0)).alias("k"), F.lit(i).alias("i"))
+                      for i in range(len(names))])
+    topk = F.slice(F.sort_array(ranks), 1, top or len(names))
+    rows = values.select(*key, "_w", "_v", F.posexplode(topk.getField("i")).alias("pos", "i"))
+    w, v = F.col("_w")[F.col("i")], F.col("_v")[F.col("i")]
+    return rows.select(*key, (F.col("pos") + 1).alias("rank"), F.element_at(F.lit(names), F.col("i") + 1).alias("feature"),
+                       F.round(w, 6).alias("importance"), F.round(v, 6).alias("value"), F.round(w * v, 6).alias("influence"))

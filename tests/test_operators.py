@@ -1,8 +1,10 @@
 """Ingest, merge, quality, metrics and decision operators on hand-made and
 fixture inputs."""
 
+import bisect
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +185,48 @@ def test_run_ids():
         assert re.fullmatch(rf"{prefix}_20240501_123005_[0-9a-f]{{8}}", rid)
     assert re.fullmatch(r"retail_v20240501_123005_[0-9a-f]{8}", run_id("retail_v", now, sep=""))
     assert run_id("rf", now) == run_id("rf", now)
+
+
+def test_exact_selection(spark, monkeypatch):
+    """Ranks of constant, tied, two-mode, tiny and extreme columns equal a sort's."""
+    from purchase_signals.operators import quality as Q
+
+    n = 20011
+    df = spark.range(n).selectExpr(
+        "cast(5 as int) AS constant", "cast(id % 3 as double) AS tied", "if(id % 2 = 0, id * 1e-300, 1e300 + id) AS modes",
+        "if(id % 5 = 0, cast('NaN' as double), if(id % 7 = 0, null, pmod(id * 7919, 20011) - 10000.5)) AS holes",
+        "if(id < 2, cast(id as double), null) AS two", "cast(null as double) AS none", "if(id = 0, 1e308, id / 1e6) AS outlier")
+    rows = df.collect()
+    for share in (0.0, 0.25, 0.5, 0.999, 1.0):
+        got = Q.order_statistics(df, df.columns, share)
+        for c in df.columns:
+            v = sorted(float(r[c]) for r in rows if r[c] is not None and r[c] == r[c])
+            want = (v[int(np.floor(share * (len(v) - 1)))], v[int(np.ceil(share * (len(v) - 1)))]) if v else None
+            assert got[c] == want, (c, share)
+    # an end of a bracket that the sketch set wrongly is found out by the counts
+    s = Q.Sought("c", 10, 50.0, 60.0, (0.0, 100.0))
+    s.narrow(40, 41, 50, 51, None)
+    assert (s.low, s.high, s.value) == (0.0, 50.0, None)
+    s = Q.Sought("c", 90, 50.0, 60.0, (0.0, 100.0))
+    s.narrow(40, 41, 50, 51, None)
+    assert (s.low, s.high) == (60.0, 100.0)
+    monkeypatch.setattr(Q, "GRID", 20)
+    assert Q.medians(df, ["holes", "modes"]) == {c: float(np.median([r[c] for r in rows if r[c] is not None and r[c] == r[c]])) for c in ("holes", "modes")}
+
+
+def test_auc_with_an_outlier_and_nan(spark):
+    """One far score leaves the partitions even; NaN ranks first."""
+    from purchase_signals.operators.metrics import roc_auc
+
+    df = spark.range(4000).selectExpr("if(id = 7, 1e12, cast(pmod(id * 37, 4000) as double)) AS score", "cast(pmod(id * 31, 5) = 0 as int) AS label")
+    rows = [(r.score, r.label) for r in df.collect()]
+
+    def brute(rows):
+        rank = lambda s: (s != s, 0 if s != s else s)
+        pos, neg = sorted(rank(s) for s, y in rows if y == 1), sorted(rank(s) for s, y in rows if y == 0)
+        return sum(bisect.bisect_left(neg, p) + (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p)) / 2 for p in pos) / (len(pos) * len(neg))
+
+    assert roc_auc(df).first().roc_auc == pytest.approx(brute(rows), abs=1e-6)
+    odd = [(float("nan"), 1), (float("nan"), 0), (3.0, 1), (None, 1), (1.0, 0), (2.0, None)]
+    got = roc_auc(spark.createDataFrame(odd, "score double, label int")).first().roc_auc
+    assert got == pytest.approx(brute([(s, y) for s, y in odd if s is not None and y is not None]), abs=1e-6)
