@@ -45,12 +45,8 @@ class Letters:
         points = np.arange(0x110000)
         letter = np.fromiter((chr(i).isalpha() for i in points), bool, len(points))
         self.code = np.where(letter, points % (LETTERS - 1) + 1, 0).astype(np.int16)
-        self.forget()
-
-    def forget(self) -> None:
-        """Drop the n-gram vectors held; they are made again when met."""
         self.known: np.ndarray = np.empty(0, np.int64)
-        self.rows = np.empty((0, DIMS), np.float32)
+        self.rows = np.empty((0, DIMS), np.int8)
 
     def ngrams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-gram codes of the whole text and their counts; none without letters."""
@@ -64,7 +60,7 @@ class Letters:
     def bind(self, grams: np.ndarray) -> np.ndarray:
         v = self.vectors
         first, second, third = v[grams // (LETTERS * LETTERS)], v[grams // LETTERS % LETTERS], v[grams % LETTERS]
-        return (np.roll(first, 2, axis=1) * np.roll(second, 1, axis=1) * third).astype(np.float32)
+        return np.roll(first, 2, axis=1) * np.roll(second, 1, axis=1) * third
 
     def bundle(self, text: str | None) -> np.ndarray | None:
         """The text's vector, or None if it has no letter."""
@@ -77,10 +73,10 @@ class Letters:
             at = np.searchsorted(self.known, g)
             at[at == len(self.known)] = 0
             hit = self.known[at] == g if len(self.known) else np.zeros(len(g), bool)
-            total += c[hit] @ self.rows[at[hit]]
+            total += c[hit] @ self.rows[at[hit]].astype(np.float32)
             if not hit.all():
                 fresh = self.bind(g[~hit])
-                total += c[~hit] @ fresh
+                total += c[~hit] @ fresh.astype(np.float32)
                 if len(self.known) < CACHE_NGRAMS:
                     keys = np.concatenate([self.known, g[~hit]])
                     order = np.argsort(keys)
@@ -123,7 +119,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 v = h.bundle(text.as_py())
                 if v is not None:
                     by[lang] = by.get(lang, 0) + v / max(float(np.linalg.norm(v)), 1e-12)
-        h.forget()
         for lang in sorted(by):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * DIMS), pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(by[lang])], names=["lang", "i", "v"])
@@ -164,7 +159,6 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), *scores(b.column(1), profiles)], names=["doc_id", "lang_pred", "score"])
-        letters().forget()
 
     return columns(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, lang_pred string, score double")
 
@@ -181,7 +175,6 @@ def annotate(docs: DataFrame, profiles: Profiles, text_col: str = "text", pred_c
             names = scores(b.column(at), profiles)[0]
             lettered = pa.array([any(map(str.isalpha, (t.as_py() or "").lower())) for t in b.column(at)], pa.bool_())
             yield b.append_column(pred_col, pc.if_else(lettered, names, pa.scalar(None, pa.string())))
-        letters().forget()
 
     schema = StructType([*docs.schema.fields, StructField(pred_col, StringType())])
     return docs.mapInArrow(lean(run), schema)
