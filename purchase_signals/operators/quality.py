@@ -107,7 +107,7 @@ def label_correlation(df: DataFrame, label: str = C.TARGET, top: int | None = C.
 
 #: Values of the grid that a selection pass takes from inside a bracket, and the
 #: sketch's accuracy behind it.
-GRID, ACCURACY = 500, 10_000
+GRID, ACCURACY = 100, 10_000
 
 
 @dataclass
@@ -145,7 +145,7 @@ def order_statistics(df: DataFrame, cols: list[str], share: float) -> dict[str,
     at once, which counts the values around each bracket and takes a mergeable
     sketch of those inside it, so a bracket loses all but about 1 / ``GRID`` of
     its values. There is no shuffle of rows, no sort and no list of values; the
-    driver holds a few numbers for each column. Ten billion values take about six
+    driver holds a few numbers for each column. Ten billion values take about eight
     passes."""
     if not cols:
         return {}
