@@ -50,7 +50,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, root: str, ingest_run: s
     # one entry for each earlier run and each batch held back
     earlier = files.read_runs(spark, root, "ingest_runs").where(F.col("run_id") != F.lit(ingest_run)).select("run_id", "consumed_pending").collect()
     used = {p for r in earlier for p in r.consumed_pending or []}
-    held = [r.run_id for r in files.read_runs(spark, root, "pending_runs").select("run_id").collect() if r.run_id not in used | {ingest_run}]
+    held = sorted(r.run_id for r in files.read_runs(spark, root, "pending_runs").select("run_id").collect() if r.run_id not in used | {ingest_run})
     waiting = files.read_or_empty(spark, f"{root}/pending_log", files.STORED_LOG_SCHEMA).where(F.col("ingest_run").isin(held))
     hashed = I.with_record_hash(I.with_default_timestamp(batch, now))
     have = set(hashed.columns)

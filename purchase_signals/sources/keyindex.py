@@ -1,4 +1,5 @@
 """Index of stored keys: folders by run and hash prefix, with a Bloom filter each.
+The more keys a run has, the longer its prefixes: a small run is one folder.
 
     <table>/run=<id>/prefix=<p..>/     keys (32 hex digits), sorted
     <table>_blooms/run=<id>/           prefix, number of keys, filter
@@ -14,6 +15,7 @@ and a run writes only its own folders, so a retry replaces them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,8 @@ from pyspark.sql import types as T
 from ..session import stored
 from .files import read_or_empty
 
-#: Hex digits of a prefix: 256 folders for a run.
-PREFIX_DIGITS = 2
+#: A run's prefixes get one more hex digit while its folders would hold more keys than this.
+KEYS_PER_FOLDER, MAX_DIGITS = 500_000, 4
 #: Bits of a filter for each key, and bits that a key sets: one in a hundred other keys passes.
 KEY_BITS, PROBES = 12, 3
 #: Keys of a batch that meet a filter in one row.
@@ -44,8 +46,13 @@ def key_hash(cols: list[str]) -> Column:
         F.md5(F.concat_ws("|", *[F.concat(F.char_length(t).cast("string"), F.lit(":"), t) for t in texts])))
 
 
-def prefix_of(key: str) -> Column:
-    return F.concat(F.lit("p"), F.substring(key, 1, PREFIX_DIGITS))
+def digits_of(n: int) -> int:
+    """Hex digits of the prefixes of a run with ``n`` keys."""
+    return next((d for d in range(MAX_DIGITS) if n <= KEYS_PER_FOLDER * 16 ** d), MAX_DIGITS)
+
+
+def prefix_of(key: str, digits: int) -> Column:
+    return F.concat(F.lit("p"), F.substring(key, 1, digits))
 
 
 def positions(keys: list[str], size: int) -> np.ndarray:
@@ -88,11 +95,12 @@ def bloom_writer(counts: dict[str, int]):
 def add_keys(keys: DataFrame, root: str, table: str, run: str) -> None:
     """Index the distinct non-null values of column ``key`` under ``run``."""
     spark = keys.sparkSession
-    rows = keys.select("key").where(F.col("key").isNotNull()).distinct().withColumn("prefix", prefix_of("key"))
+    rows = stored(keys.select("key").where(F.col("key").isNotNull()).distinct(), "keys")
+    rows = rows.withColumn("prefix", prefix_of("key", digits_of(rows.count())))
     path = f"{root}/{table}/run={run}"
     rows.repartition("prefix").sortWithinPartitions("prefix", "key").write.mode("overwrite").partitionBy("prefix").parquet(path)
     written = read_or_empty(spark, path, T.StructType([KEYS_SCHEMA["key"], KEYS_SCHEMA["prefix"]]))
-    counts = {r.prefix: r["count"] for r in written.groupBy("prefix").count().collect()}  # at most 16 ** PREFIX_DIGITS
+    counts = {r.prefix: r["count"] for r in written.groupBy("prefix").count().collect()}  # at most 16 ** MAX_DIGITS
     blooms = written.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(bloom_writer(counts), "prefix string, n long, bits binary")
     blooms.write.mode("overwrite").parquet(f"{root}/{table}_blooms/run={run}")
 
@@ -118,11 +126,17 @@ def folders(keys: DataFrame, root: str, table: str, runs: list[str]) -> list[str
     if not runs:
         return []
     spark = keys.sparkSession
-    chunks = max(1, -(-keys.count() // (CHUNK * 16 ** PREFIX_DIGITS)))
-    asked = keys.withColumn("prefix", prefix_of("key")).withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)))
-    asked = asked.groupBy("prefix", "chunk").agg(F.collect_list("key").alias("keys"))
     blooms = read_or_empty(spark, f"{root}/{table}_blooms", BLOOM_SCHEMA).where(F.col("run").isin(runs))
-    hit = blooms.join(asked, "prefix").select("run", "prefix", "bits", "keys").mapInArrow(passes, "run string, prefix string").distinct()
+    used = [r[0] for r in blooms.select(F.char_length("prefix") - 1).distinct().collect()]  # at most MAX_DIGITS + 1
+    if not used:
+        return []
+    n = keys.count()
+    asked = []
+    for digits in sorted(used):
+        chunks = max(1, -(-n // (CHUNK * 16 ** digits)))
+        part = keys.withColumn("prefix", prefix_of("key", digits)).withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)))
+        asked.append(part.groupBy("prefix", "chunk").agg(F.collect_list("key").alias("keys")))
+    hit = blooms.join(reduce(DataFrame.unionByName, asked), "prefix").select("run", "prefix", "bits", "keys").mapInArrow(passes, "run string, prefix string").distinct()
     return sorted(f"{r.run}/{r.prefix}" for r in hit.collect())
 
 

@@ -155,8 +155,27 @@ def test_held_back_batches_are_read_once(spark, log):
     assert runs.ingest_batch(spark, few, root, "d") == {"ingest_run": "d", "inserted": 0, "pending": 0}
 
 
-def test_key_index_gives_the_rows_of_an_anti_join(spark):
+def test_prefixes_grow_with_a_run():
+    most = keyindex.KEYS_PER_FOLDER
+    assert [keyindex.digits_of(n) for n in (0, most, most + 1, 16 * most, 16 * most + 1, 16 ** 9 * most)] == [0, 0, 1, 1, 2, keyindex.MAX_DIGITS]
+
+
+def test_runs_with_prefixes_of_other_lengths(spark, monkeypatch):
+    root = root_of()
+    monkeypatch.setattr(keyindex, "KEYS_PER_FOLDER", 10)
+    keys = [spark.range(a, b).select(F.md5(F.col("id").cast("string")).alias("key")) for a, b in ((0, 5), (5, 105), (105, 1105))]
+    for i, k in enumerate(keys):
+        keyindex.add_keys(k, root, "k", f"r{i}")
+    runs_of = ["r0", "r1", "r2"]
+    lengths = {n.split("/p")[0]: len(n.split("/p")[1]) for n in keyindex.folders(keys[0].unionByName(keys[1]).unionByName(keys[2]), root, "k", runs_of)}
+    assert lengths == {"r0": 0, "r1": 1, "r2": 2}
+    batch = spark.range(0, 1200).select("id", F.md5(F.col("id").cast("string")).alias("h"))
+    assert sorted(r.id for r in keyindex.unseen(batch, F.col("h"), root, "k", runs_of).collect()) == list(range(1105, 1200))
+
+
+def test_key_index_gives_the_rows_of_an_anti_join(spark, monkeypatch):
     root = root_of()
+    monkeypatch.setattr(keyindex, "KEYS_PER_FOLDER", 100)  # prefixes of two digits for the 20,000 keys
     old = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("key"))
     keyindex.add_keys(old.where("hex(substring(key, 1, 1)) < '38'"), root, "k", "r1")
     keyindex.add_keys(old.where("hex(substring(key, 1, 1)) >= '38'"), root, "k", "r2")
