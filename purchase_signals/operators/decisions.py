@@ -6,11 +6,15 @@ one-row DataFrames built from aggregates over those tables.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import whole_days_between
+from ..session import stored
 
 
 def latest_run(runs: DataFrame, order_col: str = "processed_at") -> DataFrame:
@@ -18,33 +22,63 @@ def latest_run(runs: DataFrame, order_col: str = "processed_at") -> DataFrame:
     return runs.select(F.max_by(F.struct(*runs.columns), F.col(order_col)).alias("r")).select("r.*")
 
 
-def promotion_history(candidates: DataFrame, min_gain: float = C.MIN_F1_IMPROVEMENT) -> DataFrame:
-    """Replay promotions in training order (M8, M9).
+@dataclass(frozen=True)
+class Production:
+    """The model in production and the score it was promoted with; the baseline
+    is 0 before the first promotion."""
+    score: float = 0.0
+    model_version: str | None = None
+    trained_at: dt.datetime | None = None
 
-    A candidate is promoted when its F1 exceeds the production F1 by more
-    than ``min_gain`` (strict); with no production model the baseline is 0.
-    Production changes only on promotion, so the decision is a left fold over
-    the candidates in time order. The fold runs over the model table (one
-    row per training run, not per record).
-    """
-    item = F.struct("trained_at", "model_version", "test_f1")
-    ordered = candidates.select(F.sort_array(F.collect_list(item)).alias("xs"))
-    init = F.struct(F.lit(0.0).alias("prod"), F.lit(None).cast("string").alias("prod_version"),
-                    F.array().cast("array<struct<model_version:string,trained_at:timestamp_ntz,test_f1:double,"
-                                   "production_f1:double,production_version:string,promoted:boolean>>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        promote = (x["test_f1"] - acc["prod"]) > F.lit(min_gain)
-        rec = F.struct(x["model_version"].alias("model_version"), x["trained_at"].alias("trained_at"),
-                       x["test_f1"].alias("test_f1"), acc["prod"].alias("production_f1"),
-                       acc["prod_version"].alias("production_version"), promote.alias("promoted"))
-        return F.struct(F.when(promote, x["test_f1"]).otherwise(acc["prod"]).alias("prod"),
-                        F.when(promote, x["model_version"]).otherwise(acc["prod_version"]).alias("prod_version"),
-                        F.array_append(acc["out"], rec).alias("out"))
+def promotions(candidates: DataFrame, min_gain: float = C.MIN_F1_IMPROVEMENT, since: Production | None = None) -> list[Production]:
+    """The promotions among the candidates behind ``since``, in order (M8, M9).
 
-    folded = ordered.select(F.aggregate("xs", init, step).alias("f"))
-    return folded.select(F.explode("f.out").alias("r")).select("r.*").withColumn(
-        "status", F.when(F.col("promoted"), F.lit("promoted")).otherwise(F.lit("rejected")))
+    Production changes only on promotion, so the next one is the earliest
+    candidate behind the last whose F1 exceeds its score by more than
+    ``min_gain`` (strict): one aggregate, combined map-side. An F1 is at most 1
+    and every promotion adds more than ``min_gain``, so there are fewer than
+    1 / min_gain + 1 of them, however many candidates. A null or NaN F1 promotes
+    nothing. Repeated rows count once."""
+    state, found = since or Production(), []
+    item = F.struct("trained_at", "model_version", "test_f1")
+    fair = candidates.where(~F.isnan("test_f1"))
+    while True:
+        better = fair.where(F.col("test_f1") - F.lit(state.score) > F.lit(min_gain))
+        if state.model_version is not None:
+            better = better.where(_behind(state))
+        best = better.agg(F.min(item).alias("r")).first().r
+        if best is None:
+            return found
+        state = Production(best.test_f1, best.model_version, best.trained_at)
+        found.append(state)
+
+
+def _behind(p: Production) -> Column:
+    """Candidates in order behind the one that was promoted as ``p``."""
+    at = F.lit(p.trained_at).cast("timestamp_ntz")
+    return (F.col("trained_at") > at) | ((F.col("trained_at") == at) & (F.struct("model_version", "test_f1") > F.struct(
+        F.lit(p.model_version).alias("model_version"), F.lit(p.score).alias("test_f1"))))
+
+
+def promotion_history(candidates: DataFrame, min_gain: float = C.MIN_F1_IMPROVEMENT, since: Production | None = None) -> DataFrame:
+    """Every candidate with the production model that it met and the decision
+    (M8, M9); with ``since``, of the candidates behind that promotion alone.
+
+    The promotions are found first (a pass each, a bounded number); what was in
+    production before a candidate is then a projection over them. No candidate is
+    gathered or sorted. Candidates without ``trained_at`` are left out."""
+    candidates = stored(candidates.where(F.col("trained_at").isNotNull()), "candidates")
+    if since is not None and since.model_version is not None:
+        candidates = candidates.where(_behind(since))
+    start = since or Production()
+    met = [(F.lit(True), start)] + [(_behind(p), p) for p in promotions(candidates, min_gain, since)]
+    score, version = (F.coalesce(*[F.when(c, F.lit(v(p))) for c, p in reversed(met) if v(p) is not None], F.lit(None).cast(kind))
+                      for v, kind in ((lambda p: p.score, "double"), (lambda p: p.model_version, "string")))
+    better = (F.col("test_f1") - F.col("production_f1") > F.lit(min_gain)) & ~F.isnan("test_f1")
+    return candidates.select("model_version", "trained_at", "test_f1", score.alias("production_f1"), version.alias("production_version")) \
+        .withColumn("promoted", better) \
+        .withColumn("status", F.when(F.col("promoted"), F.lit("promoted")).otherwise(F.lit("rejected")))
 
 
 def active_model(history: DataFrame) -> DataFrame:
@@ -107,17 +141,28 @@ def reprocess_decision(current: DataFrame, runs: DataFrame, columns: list[str],
     ).withColumn("should_process", F.col("reason") != F.lit("not required"))
 
 
+def previous(df: DataFrame, order: str, value: str) -> tuple[DataFrame, Column]:
+    """The rows, range-partitioned by ``order`` and written once, and a column for
+    ``value`` of the row before (null for the first). A partition's first row takes
+    the last of the partition before; only those ends, one row for each partition,
+    meet in one task."""
+    placed = stored(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ordered")
+    one = F.struct(F.col(value).alias("v"))
+    ends = placed.groupBy("_part").agg(F.max_by(one, F.struct(order)).alias("end"))
+    carried = ends.select("_part", F.lag("end").over(Window.orderBy("_part")).alias("_carried"))
+    rows = placed.join(carried, "_part")
+    return rows, F.coalesce(F.lag(one).over(Window.partitionBy("_part").orderBy(order)), F.col("_carried"))["v"]
+
+
 def model_history(models: DataFrame, runs: DataFrame) -> DataFrame:
     """Model rows with their data run (J4), F1 read from the metrics map
-    (F24, null if absent) and the change against the previous model (T4).
-    The lag window runs over the model table (one row per training)."""
+    (F24, null if absent) and the change against the previous model (T4)."""
     j = models.join(runs.select(F.col("processing_version").alias("data_version"), "record_count", "purchase_rate"),
                     "data_version", "left")
     f1 = F.try_element_at(F.col("metrics"), F.lit("test_f1_score"))
-    w = Window.orderBy("trained_at")
-    return j.select("model_version", "trained_at", "data_version", "status", f1.alias("test_f1_score"),
-                    "record_count", "purchase_rate").withColumn(
-        "f1_change", F.col("test_f1_score") - F.lag("test_f1_score").over(w))
+    rows, before = previous(j.withColumn("test_f1_score", f1), "trained_at", "test_f1_score")
+    return rows.select("model_version", "trained_at", "data_version", "status", "test_f1_score", "record_count", "purchase_rate",
+                       (F.col("test_f1_score") - before).alias("f1_change"))
 
 
 def metric_trend(history: DataFrame, metric: str = "test_f1_score") -> DataFrame:
