@@ -231,3 +231,32 @@ def test_single_record_scoring_with_active_model(spark, trained):
     assert all(r.feature in feats for r in rows)
     mags = [abs(r.influence) for r in rows]
     assert mags == sorted(mags, reverse=True)
+
+
+def test_node_table_scores_like_the_forest(spark, trained):
+    """Scores and importances over the node table: MLlib's, and those of DuckDB's walk over the same table."""
+    import duckdb
+
+    from purchase_signals.operators import forest
+    model, prepared, feats, _, _ = trained
+    nodes = forest.node_table(spark, model)
+    test = prepared.where(F.col("is_test")).select(*KEY, *feats)
+    got = {(r.user_id, r.log_ts): r for r in forest.score(nodes, test, feats, KEY).collect()}
+    want = {(r.user_id, r.log_ts): r for r in ML.predict(model, test, feats, KEY).collect()}
+    assert got.keys() == want.keys() and len(got) == test.count()
+    assert all(got[k].probability == pytest.approx(want[k].probability) for k in got)
+    assert all(got[k].prediction == want[k].prediction for k in got if abs(want[k].probability - 0.5) > 1e-9)
+    imp = {r.feature: r.importance for r in forest.importances(nodes, feats).collect()}
+    assert imp == pytest.approx(dict(zip(feats, model.stages[-1].featureImportances.toArray().tolist())))
+    table = nodes.toPandas()
+    rows = test.select(*KEY, F.array(*[F.col(f"`{f}`").cast("double") for f in feats]).alias("x")).toPandas()
+    assert len(table) and len(rows)
+    walked = duckdb.sql("""
+        WITH RECURSIVE walk AS (
+          SELECT r.user_id, r.log_ts, r.x, n.tree, n.node FROM rows r JOIN "table" n ON n.node = 0
+          UNION ALL
+          SELECT w.user_id, w.log_ts, w.x, w.tree, CAST(CASE WHEN w.x[CAST(n.feature AS BIGINT) + 1] <= n.threshold THEN n.left_child ELSE n.right_child END AS INTEGER)
+          FROM walk w JOIN "table" n ON n.tree = w.tree AND n.node = w.node WHERE n.gain IS NOT NULL AND NOT isnan(n.gain))
+        SELECT w.user_id, w.log_ts, avg(n.weights[2] / (n.weights[1] + n.weights[2])) AS probability
+        FROM walk w JOIN "table" n ON n.tree = w.tree AND n.node = w.node WHERE n.gain IS NULL OR isnan(n.gain) GROUP BY 1, 2""").fetchall()
+    assert {(u, t): p for u, t, p in walked} == pytest.approx({k: r.probability for k, r in got.items()})
