@@ -40,7 +40,8 @@ def one_hot_columns(vocab: dict[str, list[str]]) -> list[str]:
 
 def featurize(df: DataFrame, vocab: dict[str, list[str]], mode: str = "train",
               keep_hash: bool = False, processing_version: str | None = None) -> DataFrame:
-    """Features of raw rows; ``vocab`` has the categories of each one-hot source."""
+    """Features of raw rows; ``vocab`` has the categories of each one-hot source.
+    Rows carry their screens as a list or, without one, as merged state."""
     if mode not in ("train", "serve"):
         raise ValueError(mode)
     serve = mode == "serve"
@@ -50,9 +51,13 @@ def featurize(df: DataFrame, vocab: dict[str, list[str]], mode: str = "train",
     first: dict[str, Column] = {"_fv": fv}
     if not serve and _has(df, "purchase_date"):
         first["purchase_24h"] = dates.purchase_label(fv, dates.parse_date("purchase_date"))
-    sl = F.col("screen_list") if _has(df, "screen_list") else F.lit(None).cast("string")
-    first.update(screens.screen_flags(sl))
-    first["other_screens"] = screens.other_screens(sl, serve=serve)
+    if not _has(df, "screen_list") and all(_has(df, c) for c in screens.STATE):
+        first.update(screens.flags_of_state())
+        first["other_screens"] = screens.others_of_state(serve=serve)
+    else:
+        sl = F.col("screen_list") if _has(df, "screen_list") else F.lit(None).cast("string")
+        first.update(screens.screen_flags(sl))
+        first["other_screens"] = screens.other_screens(sl, serve=serve)
     if serve:
         for c in ("session_count", "used_search_feature", "wrote_review", "added_to_wishlist", "total_screens_viewed"):
             if _has(df, c):
@@ -68,7 +73,7 @@ def featurize(df: DataFrame, vocab: dict[str, list[str]], mode: str = "train",
     for src in ("region", "acquisition_channel"):
         first[f"_{src}"] = F.col(src) if _has(df, src) else F.lit(None).cast("string")
 
-    drop = set(C.RAW_DROP_COLUMNS)
+    drop = {*C.RAW_DROP_COLUMNS, *screens.STATE}
     if not keep_hash:
         drop.add("record_hash")
     # Raw columns keep their position (redefined ones are replaced in place).

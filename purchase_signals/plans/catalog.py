@@ -74,8 +74,9 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written feature table (featurized once per session)."""
-    return _stored(spark, sf_dir, "features", lambda: featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY))
+    """The written feature table (featurized once per session), from the
+    mergeable state of the screens: no list of events is gathered or joined."""
+    return _stored(spark, sf_dir, "features", lambda: featurize(app_log(spark, sf_dir, lists=False), C.FIXTURE_VOCABULARY))
 
 
 KEY = ["user_id", "log_ts"]
@@ -108,7 +109,7 @@ FROM (SELECT region, user_id,
       FROM app_log) t
 GROUP BY region"""))
 def purchase_rate_by_region(spark, sf_dir):
-    log = app_log(spark, sf_dir)
+    log = app_log(spark, sf_dir, lists=False)
     lab = log.select(
         "region", "user_id",
         dates.purchase_label(dates.parse_date("first_visit_date"), dates.parse_date("purchase_date")).alias("purchase_24h"))
@@ -199,7 +200,7 @@ def segment_parts_q(spark, sf_dir):
 
 @register("features", S.with_app_log("SELECT * FROM feat", features=True))
 def features_q(spark, sf_dir):
-    return featurize(log_table(spark, sf_dir), C.FIXTURE_VOCABULARY)
+    return featurize(app_log(spark, sf_dir, lists=False), C.FIXTURE_VOCABULARY)
 
 
 # Register the remaining query groups (they import ``register`` from here).

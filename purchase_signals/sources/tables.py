@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import screens
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -50,48 +51,59 @@ def _ordered_join(items: F.Column, value: str) -> F.Column:
     return F.array_join(F.sort_array(items).getField(value), ",")
 
 
-def visits_from_events(events: DataFrame) -> DataFrame:
-    """Per (user, day): first visit, ordered screen list and counters.
-
-    Two aggregation levels: (user, day, hour) first, so a hot user-day is
-    sorted and concatenated by up to 24 tasks, then at most 24 ordered pieces
-    per (user, day). Counters are combined map-side at both levels.
-    """
-    ev = events.select(
-        "event_id", "ts", "user_id", "event_type",
-        F.to_date("ts").alias("d"), F.hour("ts").alias("hr"), _screen_expr().alias("screen"),
-    )
+def _counters(screen_state: bool) -> dict[str, tuple[F.Column, str]]:
+    """Per event, what a visit's counters are made of, and how parts are merged."""
     is_purchase = F.col("event_type") == "purchase"
-    hourly = ev.groupBy("user_id", "d", "hr").agg(
-        _ordered_join(
-            F.collect_list(F.when(F.col("screen").isNotNull(), F.struct("ts", "event_id", "screen"))),
-            "screen").alias("part"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(is_purchase, 0).otherwise(1)).alias("n_screens"),
-        F.max(F.when(F.col("screen") == "Search", 1).otherwise(0)).alias("search"),
-        F.max(F.when(F.col("screen") == "Reviews", 1).otherwise(0)).alias("review"),
-        F.max(F.when(F.col("screen") == "WishList", 1).otherwise(0)).alias("wish"),
-        F.min("ts").alias("first_ts"),
-        F.min(F.when(is_purchase, F.col("ts"))).alias("purchase_ts"),
-    )
-    daily = hourly.groupBy("user_id", "d").agg(
-        _ordered_join(
-            F.collect_list(F.when(F.col("part") != "", F.struct("hr", "part"))), "part").alias("screen_list"),
-        F.sum("n").alias("session_count"),
-        F.sum("n_screens").cast("long").alias("total_screens_viewed"),
-        F.max("search").cast("int").alias("used_search_feature"),
-        F.max("review").cast("int").alias("wrote_review"),
-        F.max("wish").cast("int").alias("added_to_wishlist"),
-        F.min("first_ts").alias("first_visit_ts"),
-        F.min("purchase_ts").alias("day_purchase_ts"),
-    )
+    out = {
+        "session_count": (F.lit(1).cast("long"), "sum"),
+        "total_screens_viewed": (F.when(is_purchase, 0).otherwise(1).cast("long"), "sum"),
+        "used_search_feature": (F.when(F.col("screen") == "Search", 1).otherwise(0), "max"),
+        "wrote_review": (F.when(F.col("screen") == "Reviews", 1).otherwise(0), "max"),
+        "added_to_wishlist": (F.when(F.col("screen") == "WishList", 1).otherwise(0), "max"),
+        "first_visit_ts": (F.col("ts"), "min"),
+        "day_purchase_ts": (F.when(is_purchase, F.col("ts")), "min"),
+    }
+    if screen_state:
+        out |= {c: (e, "bit_or" if c == screens.SEEN else "sum") for c, e in screens.screen_state("screen").items()}
+    return out
+
+
+def _merge(df: DataFrame, keys: list[str], how: dict[str, str], *more: F.Column) -> DataFrame:
+    return df.groupBy(*keys).agg(*more, *[getattr(F, fn)(c).alias(c) for c, fn in how.items()])
+
+
+def visits_from_events(events: DataFrame, lists: bool = True) -> DataFrame:
+    """Per (user, day): first visit, counters, and the screens.
+
+    Without ``lists`` the screens are mergeable state (a bit set and two
+    counts): one aggregation, all of it combined map-side, so a user-hour with
+    any number of events is one row per task and nothing is gathered.  With
+    ``lists`` they are the ordered screen list, joined in pieces by minute, hour
+    and day, so a hot hour is sorted and joined by up to 60 tasks.
+    """
+    ev = events.select("event_id", "ts", "user_id", "event_type", F.to_date("ts").alias("d"), _screen_expr().alias("screen"))
+    made = _counters(screen_state=not lists)
+    how = {c: fn for c, (_, fn) in made.items()}
+    ev = ev.withColumns({c: e for c, (e, _) in made.items()})
+    if lists:
+        ev = ev.withColumns({"hr": F.hour("ts"), "mi": F.minute("ts")})
+        piece = F.when(F.col("screen").isNotNull(), F.struct("ts", "event_id", "screen"))
+        daily = _merge(ev, ["user_id", "d", "hr", "mi"], how, _ordered_join(F.collect_list(piece), "screen").alias("part"))
+        for keys, at, name in ((["user_id", "d", "hr"], "mi", "part"), (["user_id", "d"], "hr", "screen_list")):
+            piece = F.when(F.col("part") != "", F.struct(at, "part"))
+            daily = _merge(daily, keys, how, _ordered_join(F.collect_list(piece), "part").alias(name))
+    else:
+        daily = _merge(ev, ["user_id", "d"], how)
     # Rows per user are bounded by the number of days, whatever the skew.
     later = Window.partitionBy("user_id").orderBy("d").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     return daily.withColumn("purchase_ts", F.min("day_purchase_ts").over(later))
 
 
-def app_log_from(events: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    v = visits_from_events(events)
+def app_log_from(events: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame, lists: bool = True) -> DataFrame:
+    """The app log; without ``lists`` its screens as mergeable state in place of ``screen_list``."""
+    v = visits_from_events(events, lists)
+    shown = [F.when((F.col("user_id") % 17 == 0) & (F.col("total_screens_viewed") == 0), F.lit(None).cast("string"))
+             .otherwise(F.coalesce("screen_list", F.lit(""))).alias("screen_list")] if lists else [F.col(c) for c in screens.STATE]
     # nation (25 rows) and region (5 rows) are scans whose size the planner
     # knows from file statistics; it broadcasts them under
     # spark.sql.autoBroadcastJoinThreshold without a hint or an extra job.
@@ -107,8 +119,7 @@ def app_log_from(events: DataFrame, customer: DataFrame, nation: DataFrame, regi
         uid,
         F.col("first_visit_ts").cast("string").alias("first_visit_date"),
         F.col("purchase_ts").cast("string").alias("purchase_date"),
-        F.when((uid % 17 == 0) & (F.col("total_screens_viewed") == 0), F.lit(None).cast("string"))
-         .otherwise(F.coalesce("screen_list", F.lit(""))).alias("screen_list"),
+        *shown,
         "session_count", "total_screens_viewed", "used_search_feature", "wrote_review", "added_to_wishlist",
         (F.lit(18) + (uid % 60).cast("int")).alias("age"),
         F.when(uid % 20 == 19, F.lit(None).cast("string")).when(uid % 2 == 0, "iOS").otherwise("Android").alias("platform"),
@@ -126,5 +137,5 @@ def app_log_from(events: DataFrame, customer: DataFrame, nation: DataFrame, regi
     )
 
 
-def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return app_log_from(*(read_table(spark, sf_dir, t) for t in ("events", "customer", "nation", "region")))
+def app_log(spark: SparkSession, sf_dir: str, lists: bool = True) -> DataFrame:
+    return app_log_from(*(read_table(spark, sf_dir, t) for t in ("events", "customer", "nation", "region")), lists=lists)

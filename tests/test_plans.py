@@ -10,7 +10,9 @@ from conftest import SF_SMALL
 from purchase_signals import config as C
 from purchase_signals.operators import ingest as I
 from purchase_signals.operators import merge as M
-from purchase_signals.sources.tables import app_log
+from purchase_signals.functions import screens
+from purchase_signals.operators.featurize import featurize
+from purchase_signals.sources.tables import _screen_expr, app_log, visits_from_events
 
 ORACLE_QUERIES = sorted(E.oracle_sql())
 
@@ -38,6 +40,42 @@ def test_app_log_aggregations_are_partial(spark):
     assert "partial_collect_list" in plan and "partial_sum" in plan and "partial_min" in plan
 
 
+def test_features_gather_no_lists(spark):
+    for name in ("features", "purchase_rate_by_region"):
+        assert "collect_list" not in plan_of(E.queries()[name](spark, SF_SMALL))
+
+
+def test_hot_user_hour_is_combined_before_the_shuffle(spark):
+    """A third of the events lie in one user's hour: the list is whole and in
+    order, and the state gives the same features."""
+    t0 = dt.datetime(2024, 1, 1, 10)
+    kinds = ["view", "click", "signup", "error", "purchase", None]
+    rows = [(i, t0 + dt.timedelta(milliseconds=700 * (i % 5000)), 1, kinds[i % 6]) for i in range(6000)]
+    rows += [(10_000 + i, t0 + dt.timedelta(minutes=37 * i), 2 + i % 40, kinds[i % 5]) for i in range(12000)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string").repartition(16)
+    lists, state = visits_from_events(ev), visits_from_events(ev, lists=False)
+    hot = lists.where("user_id = 1").first()
+    named = {r.event_id: r.screen for r in ev.withColumn("screen", _screen_expr()).where("user_id = 1").collect()}
+    order = sorted((r for r in rows if r[2] == 1 and named[r[0]]), key=lambda r: (r[1], r[0]))
+    assert hot.screen_list == ",".join(named[r[0]] for r in order) and hot.session_count == 6000
+    for mode in ("train", "serve"):
+        a, b = (featurize(v, C.FIXTURE_VOCABULARY, mode).drop("d", "day_purchase_ts", "purchase_ts") for v in (lists, state))
+        assert sorted(a.columns) == sorted(b.columns) and a.count() == b.count() > 40
+        assert a.exceptAll(b.select(a.columns)).isEmpty()
+
+
+def test_screen_state_equals_the_list(spark):
+    names = [[], [""], [" "], ["SearchResults", "Home", "Home"], ["xCheckoutx", " ", "Search"], [None, "Account"], ["a,Checkout", "b"]]
+    rows = [(i, s) for i, group in enumerate(names) for s in group]
+    merged = spark.createDataFrame(rows, "i long, s string").select("i", *[e.alias(c) for c, e in screens.screen_state("s").items()])
+    merged = merged.groupBy("i").agg(F.bit_or(screens.SEEN).alias(screens.SEEN), *[F.sum(c).alias(c) for c in screens.STATE[1:]])
+    lists = spark.createDataFrame([(i, ",".join(s for s in g if s is not None)) for i, g in enumerate(names)], "i long, screen_list string")
+    for serve in (False, True):
+        state = lists.join(merged, "i", "left").select("i", screens.others_of_state(serve).alias("n"), *[e.alias(c) for c, e in screens.flags_of_state().items()])
+        want = lists.select("i", screens.other_screens("screen_list", serve).alias("n"), *[e.alias(c) for c, e in screens.screen_flags("screen_list").items()])
+        assert sorted(state.collect()) == sorted(want.collect())
+
+
 def test_hot_hash_reduction(spark):
     """A third of the rows share one hash: one row survives, the latest."""
     t0 = dt.datetime(2024, 1, 1)
