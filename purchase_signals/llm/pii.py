@@ -2,18 +2,23 @@
 
 The base spans are the leftmost non-overlapping matches of four patterns that
 pass their checks.  The tagger (a character-level bidirectional LSTM with CRF
-transitions, see ``tagger``) is trained on windows labelled with base spans and
-reads the whole text in overlapping windows.  Every character takes its tag
+transitions, see ``tagger``) finds what the patterns cannot: spans written with
+brackets, spaces, line ends or other separators.  It is trained on windows of
+texts as they are, labelled with their base spans, and on windows of altered
+copies, in which every base span is rewritten in one of these forms (``altered``)
+and keeps its label.  It reads the whole text in overlapping windows.  Every character takes its tag
 from the window it is most central in, so the tags of a text are one sequence
 and spans may run across windows; spans that touch a base span give way to it.
 
-Every kind needs a digit or an @ within the reach of its characters, so windows
-without either are all outside and are not decoded.
+Every kind needs a digit, an @ or a bracket within the reach of its characters,
+so windows without any are all outside and are not decoded.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, lean, prepare
+from .common import columns, lean, prepare, stage
 from .tagger import DIGIT, KINDS, MARKS, Tagger, class_table, train
 
 STEP, MARGIN = 64, 16
 WINDOW = STEP + 2 * MARGIN
-#: Bound on the training rows and windows the tagger is fitted to.
-MAX_DOCS, MAX_WINDOWS = 4000, 3000
+#: Bound on the labelled rows the tagger is fitted to: windows, of at most about so many documents.
+MAX_DOCS, MAX_WINDOWS = 4000, 4500
 BATCH = 1024
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,7 +42,19 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = re.compile("[0-9@]")
+TRIGGER = re.compile(r"[0-9@\[({]")
+TRIGGER_CLASSES = np.array([DIGIT, *(MARKS.index(c) + 1 for c in "@[({")], np.uint8)
+# An @ and a dot as altered spans write them.
+AT = re.compile(r"\s*(?:[\[({]\s*(?:at|@)\s*[\])}]|@)\s*", re.IGNORECASE)
+DOT = re.compile(r"\s*(?:[\[({]\s*(?:dot|\.)\s*[\])}]|\.)\s*", re.IGNORECASE)
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: How the training rewrites the @ and dots of emails, the dots of addresses and the gaps of numbers.
+AT_FORMS = (" (at) ", "(at)", "[at]", " [at] ", "{at}", " @ ", "@\n")
+DOT_FORMS = (".", ".", " (dot) ", "[dot]", " [dot] ", " . ", "[.]")
+IP_FORMS = ("[.]", " . ", "(.)", "[dot]", ".\n", " .")
+CARD_FORMS = (".", "/", "\n", " - ", "_", "\u00a0", "  ", ":")
+PHONE_FORMS = ("/", "\u00a0", "\n", " / ", ":", "_", " ", "-")
+PHONE_STARTS = ("+", "00", "+ ", "(+", "")
 
 Span = tuple[str, int, int]
 SCHEMA = "doc_id long, spans array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -103,25 +120,66 @@ def classes(text: str) -> np.ndarray:
 
 def windows(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first position of each window's middle, classes of each window) where a
-    digit or an @ is in the window.  Positions outside the text are class 0."""
+    digit, an @ or an opening bracket is in the window.  Positions outside the text are class 0."""
     blocks = -(-len(c) // STEP)
     padded = np.zeros(blocks * STEP + 2 * MARGIN, np.uint8)
     padded[MARGIN:MARGIN + len(c)] = c
     view = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
-    hit = ((view == DIGIT) | (view == MARKS.index("@") + 1)).any(1)
+    hit = np.isin(view, TRIGGER_CLASSES).any(1)
     return np.flatnonzero(hit) * STEP, view[hit]
 
 
 def plausible(kind: str, text: str) -> bool:
-    """What a span must have to count as its kind at all."""
-    d = digits_of(text)
+    """What a span must have to count as its kind at all, however it is written."""
     if kind == "email":
-        return "@" in text[1:-1] and "." in text and not re.search(r"\s", text)
+        return bool(EMAIL.fullmatch(DOT.sub(".", AT.sub("@", text))))
     if kind == "ip":
-        return bool(IP.fullmatch(text)) and all(len(p) <= 3 and int(p) <= 255 for p in text.split("."))
+        plain = DOT.sub(".", text)
+        return bool(IP.fullmatch(plain)) and all(len(p) <= 3 and int(p) <= 255 for p in plain.split("."))
+    d = digits_of(text)
+    if any(c.isalpha() for c in text):
+        return False
     return 13 <= len(d) <= 19 and luhn(d) if kind == "card" else 9 <= len(d) <= 15
 
 
+def whole(text: str, s: int, e: int) -> bool:
+    """The span cuts through no word or number."""
+    return not (s and text[s - 1].isalnum() and text[s].isalnum()) and not (e < len(text) and text[e].isalnum() and text[e - 1].isalnum())
+
+
+def altered(kind: str, span: str, rng: np.random.Generator) -> str:
+    """A base span rewritten in one of the forms that the base patterns miss."""
+    pick = lambda forms: forms[int(rng.integers(len(forms)))]
+    if kind == "email":
+        local, domain = span.split("@")
+        return local + pick(AT_FORMS) + domain.replace(".", pick(DOT_FORMS))
+    if kind == "ip":
+        return span.replace(".", pick(IP_FORMS))
+    d = digits_of(span)
+    if kind == "card":
+        return pick(CARD_FORMS).join(d[i:i + 4] for i in range(0, len(d), 4))
+    start, gap = pick(PHONE_STARTS), pick(PHONE_FORMS)
+    cut = len(d) - 10 if len(d) > 10 else 0
+    parts = [p for p in (d[:cut], d[cut:cut + 3], d[cut + 3:cut + 6], d[cut + 6:]) if p]
+    return start + gap.join(parts) + (")" if start == "(+" else "")
+
+
+def altered_copy(text: str, seed: int = 0) -> tuple[str, list[Span]]:
+    """The text with every base span that overlaps no other one altered, and
+    where the altered ones are.  The forms depend on the text and ``seed``."""
+    rng = np.random.default_rng([seed, zlib.crc32(text.encode())])
+    out, at, spans, size = [], 0, [], 0
+    for kind, s, e in sorted(base_spans(text), key=lambda x: (x[1], -x[2])):
+        if s < at:
+            continue
+        new = altered(kind, text[s:e], rng)
+        out += [text[at:s], new]
+        size += s - at
+        spans.append((kind, size, size + len(new)))
+        size, at = size + len(new), e
+    return "".join(out) + text[at:], spans
+
+
 def tag_spans(tags: np.ndarray) -> list[Span]:
     """Spans of a text's tag sequence: a kind's first tag or a change of kind begins one."""
     on = np.flatnonzero(tags)
@@ -136,7 +194,7 @@ def tag_spans(tags: np.ndarray) -> list[Span]:
 
 
 def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
-    """The tagger's spans, trimmed, that are plausible and touch no base span."""
+    """The tagger's spans, trimmed, that are plausible, cut no word and touch no base span."""
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
     ends = np.maximum.accumulate([e for _, e in taken]) if taken else np.empty(0)
@@ -145,7 +203,7 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
         raw = text[s:e]
         s, e = s + len(raw) - len(raw.lstrip()), e - (len(raw) - len(raw.rstrip()))
         k = int(np.searchsorted(starts, e))
-        if s < e and (k == 0 or ends[k - 1] <= s) and plausible(kind, text[s:e]):
+        if s < e and (k == 0 or ends[k - 1] <= s) and whole(text, s, e) and plausible(kind, text[s:e]):
             out.append((kind, s, e))
     return out
 
@@ -192,45 +250,59 @@ def find(texts: list[str], tagger: Tagger | None) -> list[list[tuple[str, int, i
     return out
 
 
-def labelled(text: str, limit: int) -> list[tuple[bytes, bytes]]:
-    """At most ``limit`` evenly spread windows of a text as (classes, tags)."""
+def labelled(text: str, spans: list[Span]) -> Iterator[tuple[bytes, bytes]]:
+    """All windows of a text that are decoded, as (classes, tags)."""
     if not TRIGGER.search(text):
-        return []
+        return
     tags = np.zeros(len(text) + WINDOW + STEP, np.uint8)
-    for kind, s, e in reversed(base_spans(text)):
+    for kind, s, e in reversed(spans):
         k = KINDS.index(kind)
         tags[MARGIN + s] = 2 * k + 1
         tags[MARGIN + s + 1:MARGIN + e] = 2 * k + 2
     first, views = windows(classes(text))
-    pick = range(len(first)) if len(first) <= limit else [j * len(first) // limit for j in range(limit)]
-    out = []
-    for j in pick:
-        t = tags[first[j]:first[j] + WINDOW].copy()
-        out.append((views[j].tobytes(), t.tobytes()))
-    return out
+    for f, v in zip(first.tolist(), views, strict=True):
+        yield v.tobytes(), tags[f:f + WINDOW].tobytes()
+
+
+#: What a training window is of: a text as it is, without or with a span, or an altered copy, with one.
+PLAIN, SPAN, ALTERED = 0, 1, 2
+
+
+def training_windows(text: str) -> Iterator[tuple[bytes, bytes, int]]:
+    """(classes, tags, kind of window) of a text and its altered copy."""
+    base = base_spans(text) if TRIGGER.search(text) else []
+    for x, y in labelled(text, base):
+        yield x, y, SPAN if any(y) else PLAIN
+    if base:
+        for x, y in labelled(*altered_copy(text)):
+            if any(y):
+                yield x, y, ALTERED
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS,
         max_windows: int = MAX_WINDOWS) -> Tagger | None:
-    """Train on windows labelled with base spans, from at most ``max_docs``
-    rows chosen by a hash of the text; None if no window has a span."""
+    """Train on all windows of at most about ``max_docs`` texts chosen by a hash
+    of the text, or, beyond ``max_windows``, on a third of that of each kind of
+    window, chosen by a hash; None if no window has a span."""
     prepare(docs.sparkSession)
     docs = columns(docs, id_col, text_col)
-    each = max(4, max_windows // max(1, max_docs) * 4)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [w for t in b.column(1) for w in labelled(t.as_py() or "", each)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["x", "y"])
+            for t in b.column(1):
+                rows = training_windows(t.as_py() or "")
+                while part := list(itertools.islice(rows, 4 * BATCH)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[k] for r in part], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.int32()))], names=["x", "y", "of"])
 
     total = docs.select("doc_id").count()
     parts = 1 << 30
     drawn = docs.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < int(parts * min(1.0, max_docs / max(1, total))))
-    # windows of evenly many kinds: half with a span, half without
-    rows = drawn.mapInArrow(cut, "x binary, y binary").withColumn("full", F.col("y") != F.lit(bytes(WINDOW)))
-    got = [r for full in (True, False) for r in rows.where(F.col("full") == full).distinct()
-           .orderBy(F.xxhash64("x", "y"), "x", "y").limit(max_windows // 2).collect()]
-    if not any(r.full for r in got):
+    rows = drawn.mapInArrow(cut, "x binary, y binary, of int").distinct()
+    rows = stage(rows, "pii-windows")
+    got = [r for of in (PLAIN, SPAN, ALTERED) for r in rows.where(F.col("of") == of)
+           .orderBy(F.xxhash64("x", "y"), "x", "y").limit(max_windows // 3).collect()]
+    if not any(r.of for r in got):
         return None
     x = np.stack([np.frombuffer(bytes(r.x), np.uint8) for r in got])
     y = np.stack([np.frombuffer(bytes(r.y), np.uint8) for r in got]).astype(np.int64)

@@ -14,11 +14,13 @@ import numpy as np
 KINDS = ("email", "ip", "card", "phone")
 #: Tag 0 is outside; kind k begins with tag 2k + 1 and goes on with 2k + 2.
 TAGS = 2 * len(KINDS) + 1
-HIDDEN = 16
+HIDDEN = 24
 #: Character classes: 0 padding, then the marks that matter one by one, then
-#: digits, small and capital letters, white space and the rest.
-MARKS = "@.+-()_%,:/"
-CLASSES = len(MARKS) + 6
+#: digits, small and capital letters, white space, line ends, the letters of
+#: "at" and "dot", and the rest.
+MARKS = "@.+-()_%,:/[]{}"
+LETTERS = "atdo"
+CLASSES = len(MARKS) + len(LETTERS) + 7
 
 
 def class_table() -> np.ndarray:
@@ -30,6 +32,10 @@ def class_table() -> np.ndarray:
             out[i] = MARKS.index(c) + 1
         elif "0" <= c <= "9":
             out[i] = len(MARKS) + 1
+        elif c in LETTERS:
+            out[i] = len(MARKS) + 6 + LETTERS.index(c)
+        elif c in "\r\n":
+            out[i] = len(MARKS) + 5
         elif c.islower():
             out[i] = len(MARKS) + 2
         elif c.isupper():
@@ -185,7 +191,7 @@ def gradients(tagger: Tagger, x: np.ndarray, tags: np.ndarray) -> tuple[float, d
     return loss, out
 
 
-def train(x: np.ndarray, tags: np.ndarray, steps: int = 160, batch: int = 64, rate: float = 0.02, seed: int = 5) -> Tagger:
+def train(x: np.ndarray, tags: np.ndarray, steps: int = 360, batch: int = 64, rate: float = 0.02, seed: int = 5) -> Tagger:
     """Fit to windows: ``x`` and ``tags`` are (window, time)."""
     tagger, rng = Tagger.fresh(), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in tagger.weights.items()}
