@@ -8,7 +8,7 @@ the fitted forest is broadcast to score. Nothing here collects rows.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import stored
+from . import subtrees
 from .metrics import binary_metrics, roc_auc
 from .prepare import stratified_folds
 
@@ -89,10 +90,19 @@ def bounded_sample(df: DataFrame, label: str = C.TARGET, max_rows: int = C.MAX_T
 
 def train_forest(train: DataFrame, features: list[str], label: str = C.TARGET,
                  params: ForestParams | None = None) -> PipelineModel:
-    """Fit the forest with balanced class weights (M2)."""
+    """Fit the forest with balanced class weights (M2): MLlib grows the top of
+    each tree, ``subtrees`` what lies deeper."""
+    p = params or ForestParams()
     data = bounded_sample(prepare_for_fit(train, features, label).select(*features, label), label)
     data = spread(with_class_weights(data, label))
-    return forest_pipeline(features, label, "class_weight", params).fit(data)
+    if p.max_depth <= subtrees.TOP_DEPTH:
+        return forest_pipeline(features, label, "class_weight", p).fit(data)
+    # rows get their numbers in the order of the spread, which depends on their values alone
+    rows = stored(data.withColumn(subtrees.ROW, F.monotonically_increasing_id()), "fit")
+    pipeline = forest_pipeline(features, label, "class_weight", replace(p, max_depth=subtrees.TOP_DEPTH))
+    pipeline.getStages()[-1].setLeafCol(subtrees.LEAVES)
+    top = pipeline.fit(spread(rows.drop(subtrees.ROW)))
+    return subtrees.finished(top, rows, features, label, "class_weight", p)
 
 
 def predict(model: PipelineModel, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
