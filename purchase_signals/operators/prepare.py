@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..session import stored
-from .quality import medians_struct, numeric_columns, string_columns
+from .quality import medians_struct, numeric_columns, string_columns, wide_agg
 
 
 def drop_present(df: DataFrame, names: list[str]) -> DataFrame:
@@ -140,12 +140,12 @@ def scaler_fit(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def scale_struct(df: DataFrame, cols: list[str]) -> Column:
     """Scalar subquery: struct of (mean, scale) per column."""
-    parts = []
+    parts = {}
     for c in cols:
         x = F.col(c).cast("double")
         std = F.stddev_pop(x)
-        parts.append(F.struct(F.avg(x).alias("mean"), F.when(std == 0, F.lit(1.0)).otherwise(std).alias("scale")).alias(c))
-    return df.select(F.struct(*parts).alias("s")).scalar()
+        parts[c] = F.struct(F.avg(x).alias("mean"), F.when(std == 0, F.lit(1.0)).otherwise(std).alias("scale"))
+    return wide_agg(df, parts).select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("s")).scalar()
 
 
 def apply_scaler(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -> DataFrame:

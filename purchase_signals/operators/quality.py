@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import stored
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -92,12 +94,27 @@ def _corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
+#: Aggregates that one pass computes: the generated code of many at once is too
+#: long for the JVM to compile, and runs many times slower than their sum.
+WIDTH = 8
+
+
+def wide_agg(df: DataFrame, aggs: dict[str, Column], width: int = WIDTH) -> DataFrame:
+    """One row of many aggregates by name, ``width`` of them in a pass that reads
+    only their columns."""
+    names = list(aggs)
+    groups = [names[i:i + width] for i in range(0, len(names), width)]
+    # written, as the planner would put the passes together again
+    parts = [stored(df.agg(*[aggs[n].alias(n) for n in g]), "wide") for g in groups]
+    return reduce(DataFrame.crossJoin, parts)
+
+
 def label_correlation(df: DataFrame, label: str = C.TARGET, top: int | None = C.TOP_CORRELATIONS) -> DataFrame:
     """Correlation of every numeric column with the label, highest first
     (A7, T1). Only the label's column of the matrix: O(k) aggregates."""
     cols = numeric_columns(df)
     y = F.col(label).cast("double")
-    one = df.agg(*[_corr(F.col(c).cast("double"), y).alias(f"__c{i}") for i, c in enumerate(cols)])
+    one = wide_agg(df, {f"__c{i}": _corr(F.col(c).cast("double"), y) for i, c in enumerate(cols)})
     long = _long_form(one, cols, [[f"__c{i}"] for i in range(len(cols))], ["feature", "correlation"])
     long = long.select("feature", F.round("correlation", 6).alias("correlation"))
     if top is None:

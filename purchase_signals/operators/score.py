@@ -95,14 +95,15 @@ def feature_influence(values: DataFrame, importances: Column, features: list[str
 
     ``importances`` is a struct column (one field per feature), e.g. a
     scalar subquery over a one-row table. The ranking is a per-row sort of
-    (-|influence|, place of the name) pairs, numbers only; name, importance and
+    (-|influence| to nine digits, place of the name) pairs, plain numbers only (a
+    decimal rounding of every value would cost more than the sort); name, importance and
     value are looked up for the few that are kept: no shuffle, no window over
     rows, no lambda. Null influences rank last, ties go by name."""
     names = sorted(features)
     values = values.withColumn("_imp", importances)
     values = values.select(*key, F.array(*[F.coalesce(F.col("_imp")[f], F.lit(0.0)) for f in names]).alias("_w"),
                            F.array(*[F.col(f"`{f}`").cast("double") for f in names]).alias("_v"))
-    ranks = F.array(*[F.struct(F.coalesce(-F.round(F.abs(F.col("_w")[i] * F.col("_v")[i]), 9), F.lit(1.0)).alias("k"), F.lit(i).alias("i"))
+    ranks = F.array(*[F.struct(F.coalesce(-F.rint(F.abs(F.col("_w")[i] * F.col("_v")[i]) * F.lit(1e9)), F.lit(1.0)).alias("k"), F.lit(i).alias("i"))
                       for i in range(len(names))])
     topk = F.slice(F.sort_array(ranks), 1, top or len(names))
     rows = values.select(*key, "_w", "_v", F.posexplode(topk.getField("i")).alias("pos", "i"))

@@ -9,7 +9,7 @@ from .. import config as C
 from ..operators import decisions as D
 from ..operators import prepare as P
 from ..operators import score as SC
-from ..operators.quality import _corr
+from ..operators.quality import _corr, wide_agg
 from . import fixtures as X
 from . import sql as S
 from .catalog import features, log_table, register, split_rows
@@ -256,7 +256,7 @@ def feature_influence(spark, sf_dir):
     operator the forest's own importances."""
     f = features(spark, sf_dir)
     y = F.col(C.TARGET).cast("double")
-    absc = f.agg(*[F.coalesce(F.abs(_corr(F.col(c).cast("double"), y)), F.lit(0.0)).alias(c) for c in MODEL_FEATURES])
+    absc = wide_agg(f, {c: F.coalesce(F.abs(_corr(F.col(c).cast("double"), y)), F.lit(0.0)) for c in MODEL_FEATURES})
     total = None
     for c in MODEL_FEATURES:
         total = F.col(f"`{c}`") if total is None else total + F.col(f"`{c}`")
