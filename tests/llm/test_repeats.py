@@ -3,6 +3,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from purchase_signals.llm import repeats as R
 
@@ -80,3 +81,37 @@ def test_long_text_over_slices(spark, monkeypatch):
 def test_given_documents(spark):
     sf = "/root/testdata/sf0.001"
     check(spark, dict(duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet' WHERE length(text) < 20000").fetchall()))
+
+
+def test_common_keys_equal_brute_force(spark, monkeypatch):
+    """With copies, a passage and a line in most texts, and any share of the keys common."""
+    rng = random.Random(5)
+    make = lambda n: "".join(rng.choice("abcdefgh \n") for _ in range(n))
+    passage, line, copied = make(620), make(90) + "\n", make(1200)
+    texts = {i: make(rng.randrange(80)) + passage + make(rng.randrange(80)) for i in range(30)}
+    texts |= {i: copied for i in range(30, 45)} | {45: copied[300:900], 46: copied[:399], 47: copied[:399], 48: make(700)}
+    texts |= {i: make(rng.randrange(80)) + line * rng.randrange(5, 9) for i in range(50, 60)}
+    for hot in (1, 8, 1 << 30):
+        monkeypatch.setattr(R, "HOT", hot)
+        want = check(spark, texts)
+        assert want[30][1] == want[30][0] and want[45][1] == 600 and want[46][1] == want[48][1] == 0
+
+
+def test_rows_of_a_common_key_stay_in_their_tasks(spark):
+    rows = spark.range(0, 20000, 1, 8).select(F.when(F.col("id") % 10 < 9, -1).otherwise(F.col("id")).alias("gram"), "id")
+    keys = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("gram < 10000")
+    kept = R.with_keys(rows, keys, "gram", "n")
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 18000 + 1000 and max(sizes) < 4000
+    assert sorted(r.id for r in kept.collect()) == sorted(r.id for r in rows.where("gram < 10000").collect())
+
+
+def test_contract_counts_bytes_not_words(spark):
+    """Repeated passages of over 50 words but under 400 bytes stay, those from 400 bytes on go, other texts lose nothing."""
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(n))
+    short, long = words(60), words(85)
+    assert len(short) == 299 and len(long) == 424
+    texts = {0: "X " + short + " x", 1: "Y " + short + " y", 2: "Z " + long + " z", 3: "W " + long + " w", 4: words(100)}
+    want = check(spark, texts)
+    assert [want[i][1] for i in range(5)] == [0, 0, 426, 426, 0]
