@@ -78,23 +78,12 @@ def spread(df: DataFrame, partitions: int = C.FIT_PARTITIONS) -> DataFrame:
             .sortWithinPartitions("_row", *df.columns).drop("_row"))
 
 
-def bounded_sample(df: DataFrame, label: str = C.TARGET, max_rows: int = C.MAX_TRAINING_ROWS) -> DataFrame:
-    """At most about ``max_rows`` rows, the same share of every class, chosen by
-    a hash of the row. A forest with unlimited leaves grows with its rows and is
-    broadcast for scoring; this documented bound on the labelled rows used to
-    fit is what bounds it."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    share = F.least(F.lit(1.0), F.lit(float(max_rows)) / total)
-    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
-
-
 def train_forest(train: DataFrame, features: list[str], label: str = C.TARGET,
                  params: ForestParams | None = None) -> PipelineModel:
-    """Fit the forest with balanced class weights (M2): MLlib grows the top of
-    each tree, ``subtrees`` what lies deeper."""
+    """Fit the forest with balanced class weights to every labelled row (M2): MLlib
+    grows the top of each tree, ``subtrees`` what lies deeper."""
     p = params or ForestParams()
-    data = bounded_sample(prepare_for_fit(train, features, label).select(*features, label), label)
-    data = spread(with_class_weights(data, label))
+    data = spread(with_class_weights(prepare_for_fit(train, features, label).select(*features, label), label))
     if p.max_depth <= subtrees.TOP_DEPTH:
         return forest_pipeline(features, label, "class_weight", p).fit(data)
     # rows get their numbers in the order of the spread, which depends on their values alone
