@@ -4,8 +4,8 @@ and aggregates over it, in a form that any SQL engine can read.
     tree, node, left_child, right_child, feature, threshold, gain, weights
 
 Leaves have no children (null) and ``weights`` holds the weight of each class in
-a node. MLlib's own transform stays the way to score many rows; the table says
-what it computes.
+a node. ``walk`` and MLlib's own transform are the ways to score many rows; the
+table says what they compute.
 """
 
 from __future__ import annotations
@@ -17,20 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, stored
+from .walk import StoredForest
 
 
-def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def node_table(spark: SparkSession, model: PipelineModel | StoredForest) -> DataFrame:
     """The nodes of the model's forest, one row each, read from its saved form in
     the shared folder. Every split is by a threshold: a model column is a number."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores/forest-{uuid.uuid4().hex}"
-    model.stages[-1].write().save(path)
+    if isinstance(model, StoredForest):
+        data = model.data
+    else:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores/forest-{uuid.uuid4().hex}"
+        model.stages[-1].write().save(path)
+        data = f"{path}/data"
     n = F.col("nodeData")
     inner = n["leftChild"] >= 0
 
     def of_split(c):
         return F.when(inner, c)
 
-    rows = spark.read.parquet(f"{path}/data").select(
+    rows = spark.read.parquet(data).select(
         F.col("treeID").cast("int").alias("tree"), n["id"].alias("node"), of_split(n["leftChild"]).alias("left_child"),
         of_split(n["rightChild"]).alias("right_child"), of_split(n["split"]["featureIndex"]).alias("feature"),
         of_split(n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"), of_split(n["gain"]).alias("gain"),

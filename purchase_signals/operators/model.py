@@ -1,12 +1,14 @@
 """Random-forest training, cross-validation, scoring and importances with
 Spark MLlib (M2, M3, M5, M6, T2, A17).
 
-MLlib trains on partitions and aggregates split statistics across executors;
-the fitted forest is broadcast to score. Nothing here collects rows.
+MLlib trains on partitions and aggregates split statistics across executors.
+A deep forest stays in files and scores where its nodes are (``walk``). Nothing
+here collects rows or, below the tops of the trees, nodes.
 """
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -20,9 +22,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import stored
-from . import subtrees
+from . import forest, subtrees
 from .metrics import binary_metrics, roc_auc
 from .prepare import stratified_folds
+from .walk import StoredForest
 
 
 @dataclass
@@ -33,8 +36,8 @@ class ForestParams:
     feature_subset: str = "sqrt"
     max_bins: int = 32
     seed: int = C.RANDOM_STATE
-    # Deep trees: keep each row's node id on the executors instead of
-    # shipping the growing trees every level (checkpointed to the shared
+    # Forests that MLlib grows whole: keep each row's node id on the executors
+    # instead of shipping the growing trees every level (checkpointed to the shared
     # checkpoint folder), and let one pass split more nodes at once.
     cache_node_ids: bool = True
     max_memory_mb: int = 1024
@@ -69,17 +72,18 @@ def prepare_for_fit(df: DataFrame, features: list[str], label: str = C.TARGET) -
     return df.withColumns({f: F.col(f).cast("double") for f in features} | {label: F.col(label).cast("double")})
 
 
-def spread(df: DataFrame, partitions: int = C.FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt by a hash of their values to a fixed number of partitions
-    and sorted by it there. MLlib draws its bags partition by partition, so
-    the forest depends on the rows alone, not on cores or on how the input
-    was laid out."""
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt by a hash of their values to a number of partitions that depends
+    on the number of rows alone, and sorted by it there. MLlib draws its bags
+    partition by partition, so the forest depends on the rows alone, not on cores
+    or on how the input was laid out."""
+    partitions = partitions or max(C.FIT_PARTITIONS, math.ceil(df.count() / C.FIT_PARTITION_ROWS))
     return (df.withColumn("_row", F.xxhash64(*df.columns)).repartition(partitions, "_row")
             .sortWithinPartitions("_row", *df.columns).drop("_row"))
 
 
 def train_forest(train: DataFrame, features: list[str], label: str = C.TARGET,
-                 params: ForestParams | None = None) -> PipelineModel:
+                 params: ForestParams | None = None) -> PipelineModel | StoredForest:
     """Fit the forest with balanced class weights to every labelled row (M2): MLlib
     grows the top of each tree, ``subtrees`` what lies deeper."""
     p = params or ForestParams()
@@ -88,18 +92,20 @@ def train_forest(train: DataFrame, features: list[str], label: str = C.TARGET,
         return forest_pipeline(features, label, "class_weight", p).fit(data)
     # rows get their numbers in the order of the spread, which depends on their values alone
     rows = stored(data.withColumn(subtrees.ROW, F.monotonically_increasing_id()), "fit")
-    pipeline = forest_pipeline(features, label, "class_weight", replace(p, max_depth=subtrees.TOP_DEPTH))
-    pipeline.getStages()[-1].setLeafCol(subtrees.LEAVES)
-    top = pipeline.fit(spread(rows.drop(subtrees.ROW)))
+    # a top is small enough to be shipped every level
+    shallow = replace(p, max_depth=subtrees.TOP_DEPTH, cache_node_ids=False)
+    top = forest_pipeline(features, label, "class_weight", shallow).fit(spread(rows.drop(subtrees.ROW)))
     return subtrees.finished(top, rows, features, label, "class_weight", p)
 
 
-def predict(model: PipelineModel, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+def predict(model: PipelineModel | StoredForest, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     """Predicted class and P(class 1) (M5)."""
-    out = model.transform(prepare_for_fit(df, features, C.TARGET) if C.TARGET in df.columns
-                          else df.withColumns({f: F.col(f).cast("double") for f in features}))
-    return out.select(*keep, F.col("prediction").cast("int").alias("prediction"),
-                      vector_to_array("probability")[1].alias("probability"))
+    data = (prepare_for_fit(df, features, C.TARGET) if C.TARGET in df.columns
+            else df.withColumns({f: F.col(f).cast("double") for f in features}))
+    if isinstance(model, StoredForest):
+        return model.predict(data, keep)
+    return model.transform(data).select(*keep, F.col("prediction").cast("int").alias("prediction"),
+                                        vector_to_array("probability")[1].alias("probability"))
 
 
 def evaluate(pred: DataFrame, label: str = C.TARGET) -> DataFrame:
@@ -112,11 +118,14 @@ def evaluate(pred: DataFrame, label: str = C.TARGET) -> DataFrame:
     return b.withColumn("roc_auc", auc)
 
 
-def importances(spark: SparkSession, model: PipelineModel, features: list[str], top: int | None = C.TOP_IMPORTANCES) -> DataFrame:
-    """Feature importances (M6, T2). The vector has one entry per model
-    feature (bounded by the model width, not the data)."""
-    vec = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(features, [float(v) for v in vec])), "feature string, importance double")
+def importances(spark: SparkSession, model: PipelineModel | StoredForest, features: list[str], top: int | None = C.TOP_IMPORTANCES) -> DataFrame:
+    """Feature importances (M6, T2): one row per model feature (bounded by the
+    model width, not the data), aggregated over the nodes of a stored forest."""
+    if isinstance(model, StoredForest):
+        df = forest.importances(forest.node_table(spark, model), features)
+    else:
+        vec = model.stages[-1].featureImportances.toArray().tolist()
+        df = spark.createDataFrame(list(zip(features, [float(v) for v in vec])), "feature string, importance double")
     df = df.orderBy(F.col("importance").desc(), "feature")
     return df.limit(top) if top else df
 

@@ -5,6 +5,11 @@ few; deep trees have about as many open nodes as rows, and nearly all of each
 histogram is zeros. So MLlib grows the top of each tree, and below it Spark deals
 the rows by (tree, leaf of the top) and every group grows its own subtree, a level
 at a time over all its nodes. The work follows rows and depth, not partitions.
+A leaf of the top with more than ``GROUP_ROWS`` rows is split first, a level in each
+pass over the rows, by sums of the tasks' histograms, until no group has more.
+
+Subtrees stay where they are grown: one row for each, its nodes as arrays. The
+driver holds the tops alone, whatever the rows.
 
 A row's weight in the bag of a tree is a Poisson(1) count drawn from a hash of the
 row's number, the tree and the seed: the bags below the top are the same however
@@ -18,20 +23,24 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, stored
+from .walk import StoredForest, bins_of, places, values_of
 
 #: Levels that MLlib grows: at most 8 groups of rows for each tree.
 TOP_DEPTH = 3
-LEAVES, ROW = "_leaves", "_id"
+#: Rows of a bag that one task grows a subtree of, and nodes split in one pass before that.
+GROUP_ROWS, PASS_NODES = 1_000_000, 4096
+ROW = "_id"
+PACKED = "tree int, leaf int, nodes long, left binary, feature binary, cut binary, says binary, gain binary, counts binary"
+_TYPES = {"left": np.int32, "feature": np.int32, "cut": np.uint16, "says": np.int32, "gain": np.float64, "counts": np.int64}
 SUBTREE = ("tree int, leaf int, node long, left long, right long, prediction double, impurity double, "
            "stats array<double>, raw long, gain double, feature int, threshold double")
 _TINY = 1e-12
@@ -71,21 +80,20 @@ def bag_counts(ids: np.ndarray, tree: int, seed: int) -> np.ndarray:
     return np.searchsorted(_POISSON, (x >> np.uint64(11)) / float(1 << 53), side="right").astype(np.uint8)
 
 
-def dealer(points: list[np.ndarray], open_leaves: np.ndarray, seed: int):
-    """(row number, class, leaves, features) to the bagged rows of each (tree,
-    leaf), features as bins; a batch's rows of a leaf travel as one."""
-    wide = np.uint8 if max(map(len, points), default=0) < 256 else np.uint16
+def dealer(points: list[np.ndarray], routes: list[tuple], open_leaves: np.ndarray, seed: int):
+    """(row number, class, features) to the bagged rows of each (tree, leaf),
+    features as bins; a batch's rows of a leaf travel as one."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             ids, y = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint8)
-            leaves = b.column(2).flatten().to_numpy().reshape(b.num_rows, -1).astype(np.int64)
-            x = np.stack([np.searchsorted(p, b.column(3 + i).to_numpy()) for i, p in enumerate(points)], 1).astype(wide)
+            values = values_of(b, 2)
+            x = bins_of(values, points)
             out: list[tuple] = []
-            for tree in range(leaves.shape[1]):
-                count, leaf = bag_counts(ids, tree, seed), leaves[:, tree]
+            for tree, route in enumerate(routes):
+                count, leaf = bag_counts(ids, tree, seed), places(route, values)
                 rows = np.flatnonzero((count > 0) & open_leaves[tree, leaf])
                 rows = rows[np.argsort(leaf[rows], kind="stable")]
                 cuts = np.flatnonzero(np.diff(leaf[rows])) + 1
@@ -182,72 +190,218 @@ def pruned(nodes: dict[str, np.ndarray], sizes: list[int], weight: np.ndarray) -
     return out | {"right": np.where(out["left"] >= 0, out["left"] + 1, -1)}
 
 
+def packed(tree: int, leaf: int, nodes: dict[str, np.ndarray]) -> pa.Table:
+    """A subtree as one row."""
+    row = {"tree": [tree], "leaf": [leaf], "nodes": [len(nodes["left"])]} | {c: [nodes[c].astype(t).tobytes()] for c, t in _TYPES.items()}
+    types = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * len(_TYPES)]
+    return pa.table([pa.array(v, t) for v, t in zip(row.values(), types)], names=list(row))
+
+
 def grower(points, weight, depths, bins, size, least, seed):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         tree, leaf = (v.as_py() for v in key)
         y, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8) for c in ("y", "n"))
         x = b"".join(table.column("x").to_pylist())
         x = np.frombuffer(x, np.uint8 if len(x) == len(y) * len(points) else np.uint16).reshape(len(y), -1)
-        t = grow(x, y, n, weight, bins, depths[tree, leaf], size, least, np.random.default_rng([seed, tree, leaf]))
-        leaves, stats = t["left"] < 0, t["counts"] * weight
-        threshold = [None if f < 0 else float(points[f][c]) for f, c in zip(t["feature"].tolist(), t["cut"].tolist())]
-        m = len(leaves)
-        columns = [np.full(m, tree, np.int32), np.full(m, leaf, np.int32), np.arange(m), t["left"], t["right"], t["says"].astype(float), gini(stats),
-                   pa.array(list(stats), pa.list_(pa.float64())), t["counts"].sum(1), np.where(leaves, -1.0, t["gain"]),
-                   np.where(leaves, -1, t["feature"]).astype(np.int32), pa.array(threshold, pa.float64())]
-        names = ["tree", "leaf", "node", "left", "right", "prediction", "impurity", "stats", "raw", "gain", "feature", "threshold"]
-        return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=names)
+        return packed(tree, leaf, grow(x, y, n, weight, bins, depths[tree, leaf], size, least, np.random.default_rng([seed, tree, leaf])))
+
+    return run
+
+
+def unpacker(points, weight, most: int = 50_000):
+    """Rows of ``PACKED`` to rows of ``SUBTREE``, one for each node."""
+    edges = np.full((len(points) + 1, 1 + max(map(len, points), default=0)), np.nan)
+    for i, p in enumerate(points):
+        edges[i, :len(p)] = p
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
+            whole = {c: np.frombuffer(row[c], t) for c, t in _TYPES.items()}
+            whole["counts"] = whole["counts"].reshape(-1, len(weight))
+            for a in range(0, row["nodes"], most):
+                t = {c: v[a:a + most] for c, v in whole.items()}
+                m, leaves, stats = len(t["left"]), t["left"] < 0, t["counts"] * weight
+                left = t["left"].astype(np.int64)
+                columns = {
+                    "tree": np.full(m, row["tree"], np.int32), "leaf": np.full(m, row["leaf"], np.int32), "node": np.arange(a, a + m),
+                    "left": left, "right": np.where(leaves, -1, left + 1), "prediction": t["says"].astype(float), "impurity": gini(stats),
+                    "stats": pa.ListArray.from_arrays(pa.array(np.arange(m + 1) * len(weight), pa.int32()), pa.array(stats.ravel())),
+                    "raw": t["counts"].sum(1), "gain": np.where(leaves, -1.0, t["gain"]), "feature": np.where(leaves, -1, t["feature"]).astype(np.int32),
+                    "threshold": pa.array(edges[t["feature"], t["cut"]], mask=leaves)}
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns.values()], names=list(columns))
 
     return run
 
 
-def top_leaves(nodes: DataFrame) -> list[tuple[int, int, int, int, int, bool]]:
-    """(tree, number of the leaf, node, depth, nodes of the tree, impure) of the
-    leaves of the top, at most 2 ** TOP_DEPTH for each tree."""
+@dataclass
+class Node:
+    """A node of a top, in the form that MLlib saves, with its depth; ``leaf`` is the
+    number of a leaf in its tree, ``grows`` says whether a subtree takes its place."""
+    id: int
+    prediction: float
+    impurity: float
+    stats: np.ndarray
+    raw: int
+    gain: float
+    left: int
+    right: int
+    feature: int
+    threshold: float | None
+    depth: int = 0
+    leaf: int = -1
+    grows: bool = False
+
+
+def read_tops(nodes: DataFrame, max_depth: int) -> list[list[Node]]:
+    """The nodes of every tree of the top, at most 2 ** (TOP_DEPTH + 1) for each tree."""
     n = F.col("nodeData")
-    rows = nodes.select("treeID", n["id"], n["leftChild"], n["rightChild"], n["impurity"]).collect()
-    size: dict[int, int] = {}
-    for r in rows:
-        size[r[0]] = size.get(r[0], 0) + 1
-    depth, number, out = {}, dict.fromkeys(size, 0), []
-    for tree, node, left, right, impurity in sorted(rows):
-        here = depth.get((tree, node), 0)
-        if left >= 0:
-            depth[tree, left] = depth[tree, right] = here + 1
-        else:
-            out.append((tree, number[tree], node, here, size[tree], impurity > _TINY))
-            number[tree] += 1
+    rows = nodes.select("treeID", n["id"], n["prediction"], n["impurity"], n["impurityStats"], n["rawCount"], n["gain"], n["leftChild"],
+                        n["rightChild"], n["split"]["featureIndex"], n["split"]["leftCategoriesOrThreshold"]).collect()
+    tops: list[list[Node]] = [[] for _ in range(1 + max(r[0] for r in rows))]
+    for tree, *fields, stats, raw, gain, left, right, feature, threshold in sorted(rows, key=lambda r: r[:2]):
+        tops[tree].append(Node(*fields, np.array(stats), raw, gain, left, right, feature, threshold[0] if left >= 0 else None))
+    for top in tops:
+        leaves = 0
+        for node in top:  # parents come first
+            if node.left >= 0:
+                top[node.left].depth = top[node.right].depth = node.depth + 1
+            else:
+                node.leaf, node.grows = leaves, node.impurity > _TINY and node.depth < max_depth
+                leaves += 1
+    return tops
+
+
+def routes_of(tops: list[list[Node]]) -> list[tuple]:
+    """What ``places`` needs of each tree: arrays by node, leaves lead to themselves."""
+    out = []
+    for top in tops:
+        inner = np.array([n.left >= 0 for n in top])
+        ids = np.arange(len(top))
+        side = lambda c: np.where(inner, [getattr(n, c) for n in top], ids)
+        out.append((np.array([max(n.feature, 0) for n in top]), np.array([0.0 if n.threshold is None else n.threshold for n in top]),
+                    side("left"), side("right"), np.array([n.leaf for n in top]), max(n.depth for n in top)))
     return out
 
 
-def finished(top: PipelineModel, rows: DataFrame, features: list[str], label: str, weight_col: str, p) -> PipelineModel:
+def counter(points, routes, some: list[tuple[int, int]], tried: np.ndarray, bins: int, classes: int, seed: int):
+    """(row number, class, features) to the class counts of the tried features' bins
+    in the leaves ``some``: one row for each leaf of a task."""
+    trees: dict[int, list[int]] = {}
+    for i, (tree, _) in enumerate(some):
+        trees.setdefault(tree, []).append(i)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = tried.shape[1]
+        sums = np.zeros((len(some), size, bins * classes), np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, y = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)
+            values = values_of(b, 2)
+            x = bins_of(values, points)
+            for tree, mine in trees.items():
+                at = np.full(1 + routes[tree][4].max(), -1)
+                at[[some[i][1] for i in mine]] = np.arange(len(mine))
+                count, here = bag_counts(ids, tree, seed), at[places(routes[tree], values)]
+                rows = np.flatnonzero((count > 0) & (here >= 0))
+                here, n = here[rows], count[rows]
+                for j in range(size):
+                    f = tried[mine, j][here]
+                    place = (here * bins + x[rows, f]) * classes + y[rows]
+                    sums[mine, j] += np.bincount(place, n, len(mine) * bins * classes).astype(np.int64).reshape(len(mine), -1)
+        found = np.flatnonzero(sums.any(axis=(1, 2)))
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([sums[i].tobytes() for i in found], pa.binary())], ["at", "sums"])
+
+    return run
+
+
+def chooser(weight, tried, bins, least):
+    """The tasks' counts of a leaf to its best split, as ``best_splits`` finds it."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        k, (i,) = len(weight), (v.as_py() for v in key)
+        sums = sum(np.frombuffer(v.as_py(), np.int64) for v in table.column("sums")).reshape(-1, bins, k)
+        counts, left = sums[0].sum(0), sums.cumsum(1)[:, :-1]
+        right = counts - left
+        share = left @ weight / (counts @ weight)
+        of = lambda c: gini((c * weight).reshape(-1, k)).reshape(share.shape)
+        gain = gini(counts[None] * weight) - share * of(left) - (1 - share) * of(right)
+        gain[np.minimum(left.sum(2), right.sum(2)) < max(least, 1)] = 0
+        j, cut = np.unravel_index(gain.argmax(), gain.shape)
+        row = [i, float(gain[j, cut]), int(tried[i, j]), int(cut), left[j, cut].tolist(), counts.tolist()]
+        types = [pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.table([pa.array([v], t) for v, t in zip(row, types)], names=["at", "gain", "feature", "cut", "lefts", "counts"])
+
+    return run
+
+
+def widened(tops: list[list[Node]], rows: DataFrame, points, weight, bins, size, p) -> None:
+    """Splits the leaves of the tops that more than ``GROUP_ROWS`` rows are in, in
+    place, a level in each pass over ``rows`` (number, class, features)."""
+    def become(node: Node, counts: np.ndarray) -> None:
+        node.stats, node.raw = counts * weight, int(counts.sum())
+        node.prediction, node.impurity = float(node.stats.argmax()), float(gini(node.stats[None])[0])
+        node.grows = node.impurity > _TINY and node.depth < p.max_depth
+
+    while big := [(tree, n) for tree, top in enumerate(tops) for n in top if n.grows and n.raw > GROUP_ROWS][:PASS_NODES]:
+        some = [(tree, n.leaf) for tree, n in big]
+        tried = np.stack([np.random.default_rng([p.seed, tree, leaf, 1]).permutation(len(points))[:size] for tree, leaf in some])
+        sums = rows.mapInArrow(counter(points, routes_of(tops), some, tried, bins, len(weight), p.seed), "at int, sums binary")
+        found = sums.groupBy("at").applyInArrow(
+            chooser(weight, tried, bins, p.min_instances_per_node), "at int, gain double, feature int, cut int, lefts array<long>, counts array<long>").collect()
+        splits = {r["at"]: r for r in found}
+        for i, (tree, node) in enumerate(big):
+            top, r = tops[tree], splits.get(i)
+            if r is None:  # no row of the bag is here
+                node.grows = False
+                continue
+            counts, lefts = np.array(r.counts), np.array(r.lefts)
+            become(node, counts)
+            if r.gain <= _TINY:
+                node.grows = False
+            if not node.grows:
+                continue
+            leaves = 1 + max(n.leaf for n in top)
+            node.left, node.right, node.feature, node.threshold, node.gain = len(top), len(top) + 1, r.feature, float(points[r.feature][r.cut]), r.gain
+            for side, part in enumerate((lefts, counts - lefts)):
+                child = Node(len(top), 0.0, 0.0, part, 0, -1.0, -1, -1, -1, None, node.depth + 1, leaves + side)
+                become(child, part)
+                top.append(child)
+            node.leaf, node.grows = -1, False
+
+
+def finished(top: PipelineModel, rows: DataFrame, features: list[str], label: str, weight_col: str, p) -> StoredForest:
     """``top`` with its impure leaves grown on to ``p.max_depth``. ``rows`` has the
     features, class, weight and row number. The forest is put together as a table
-    of nodes in the form that MLlib saves, and is an MLlib model again."""
-    spark, (assembler, forest) = rows.sparkSession, top.stages
+    of nodes in the form that MLlib saves, and is never loaded here."""
+    spark, (_, forest) = rows.sparkSession, top.stages
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores/forest-{uuid.uuid4().hex}"
     weight = np.ones(forest.numClasses)
     for r in rows.groupBy(label).agg(F.max(weight_col).alias("w")).collect():  # one row for each class
         weight[int(r[0])] = r.w
     points = split_points(rows, features, p.max_bins)
-    dealt = top.transform(rows).select(ROW, label, vector_to_array(LEAVES).alias(LEAVES), *[f"`{f}`" for f in features])
+    bins, size = max(2, 1 + max(map(len, points))), subset_size(p.feature_subset, len(features))
     forest.set(forest.maxDepth, p.max_depth)
-    forest.setLeafCol("").write().save(path)
-    nodes = stored(spark.read.parquet(f"{path}/data"), "top")
-    leaves = top_leaves(nodes)
-    open_leaves = np.zeros((p.num_trees, 1 + max(leaf[1] for leaf in leaves)), bool)
+    top.write().save(path)
+    data = f"{path}/stages/1_{forest.uid}/data"
+    nodes = spark.read.parquet(data)
+    kind, tops = nodes.schema, read_tops(nodes, p.max_depth)
+    numbered = rows.select(ROW, label, *[f"`{f}`" for f in features])
+    widened(tops, numbered, points, weight, bins, size, p)
+    leaves = [(tree, n) for tree, t in enumerate(tops) for n in t if n.left < 0]
+    open_leaves = np.zeros((p.num_trees, 1 + max(n.leaf for _, n in leaves)), bool)
     depths = np.zeros(open_leaves.shape, np.int64)
-    for tree, number, _, depth, _, impure in leaves:
-        open_leaves[tree, number], depths[tree, number] = impure and depth < p.max_depth, p.max_depth - depth
-    bags = dealt.mapInArrow(dealer(points, open_leaves, p.seed), "tree int, leaf int, y binary, n binary, x binary")
+    for tree, n in leaves:
+        open_leaves[tree, n.leaf], depths[tree, n.leaf] = n.grows, p.max_depth - n.depth
+    routes = routes_of(tops)
+    bags = numbered.mapInArrow(dealer(points, routes, open_leaves, p.seed), "tree int, leaf int, y binary, n binary, x binary")
     # small rows, much work: dealt to a task for each tree's worth, whatever their bytes
-    groups = bags.repartition(p.num_trees, "tree", "leaf").groupBy("tree", "leaf")
-    made = grower(points, weight, depths, max(2, 1 + max(map(len, points))), subset_size(p.feature_subset, len(features)), p.min_instances_per_node, p.seed)
-    subtrees = stored(groups.applyInArrow(made, SUBTREE), "subtrees")
+    tasks = max(p.num_trees, sum(t[0].raw for t in tops) // GROUP_ROWS)
+    made = grower(points, weight, depths, bins, size, p.min_instances_per_node, p.seed)
+    whole = stored(bags.repartition(tasks, "tree", "leaf").groupBy("tree", "leaf").applyInArrow(made, PACKED), "subtrees")
     # a subtree's root takes the place of its leaf; its other nodes are numbered on from the top's
     before = Window.partitionBy("tree").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
-    places = spark.createDataFrame([leaf[:3] + leaf[4:5] for leaf in leaves], "tree int, leaf int, at int, size long")
-    places = subtrees.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).join(places, ["tree", "leaf"]).withColumn(
+    places_of = spark.createDataFrame([(tree, n.leaf, n.id, len(tops[tree])) for tree, n in leaves], "tree int, leaf int, at int, size long")
+    places_of = whole.select("tree", "leaf", F.col("nodes").alias("n")).join(places_of, ["tree", "leaf"]).withColumn(
         "first", F.col("size") - 1 + F.coalesce(F.sum(F.col("n") - 1).over(before), F.lit(0)))
     named = lambda c: F.when(F.col(c) < 0, F.lit(-1)).when(F.col(c) == 0, F.col("at")).otherwise(F.col("first") + F.col(c)).cast("int")
     is_leaf = F.col("left") < 0
@@ -255,10 +409,16 @@ def finished(top: PipelineModel, rows: DataFrame, features: list[str], label: st
         "leftCategoriesOrThreshold"), F.lit(-1).alias("numCategories"))
     fields = {"id": named("node"), "prediction": F.col("prediction"), "impurity": F.col("impurity"), "impurityStats": F.col("stats"), "rawCount": F.col("raw"),
               "gain": F.col("gain"), "leftChild": named("left"), "rightChild": named("right"), "split": split}
-    kind = nodes.schema["nodeData"].dataType
-    grown = subtrees.join(places.drop("n", "size"), ["tree", "leaf"]).select(
-        F.col("tree").cast(nodes.schema["treeID"].dataType).alias("treeID"), F.struct(*[fields[c].alias(c) for c in kind.names]).cast(kind).alias("nodeData"))
-    replaced = places.select(F.col("tree").alias("treeID"), F.col("at").alias("id"))
-    kept = nodes.withColumn("id", F.col("nodeData.id")).join(replaced, ["treeID", "id"], "left_anti")
-    kept.select(*nodes.columns).unionByName(grown).write.mode("overwrite").parquet(f"{path}/data")
-    return PipelineModel([assembler, RandomForestClassificationModel.load(path)])
+    of_node = kind["nodeData"].dataType
+    grown = whole.mapInArrow(unpacker(points, weight), SUBTREE).join(places_of.drop("n", "size"), ["tree", "leaf"]).select(
+        F.col("tree").cast(kind["treeID"].dataType).alias("treeID"), F.struct(*[fields[c].alias(c) for c in of_node.names]).cast(of_node).alias("nodeData"))
+    taken = {(r.tree, r["at"]) for r in places_of.select("tree", "at").collect()}
+    kept = spark.createDataFrame([(tree, n.id, n.prediction, n.impurity, n.stats.tolist(), n.raw, n.gain, n.left, n.right, n.feature, n.threshold)
+                                  for tree, t in enumerate(tops) for n in t if (tree, n.id) not in taken],
+                                 "tree int, node int, prediction double, impurity double, stats array<double>, raw long, gain double, left int, right int, "
+                                 "feature int, threshold double")
+    plain = fields | {"id": F.col("node"), "leftChild": F.col("left"), "rightChild": F.col("right")}
+    kept = kept.select(F.col("tree").cast(kind["treeID"].dataType).alias("treeID"), F.struct(*[plain[c].alias(c) for c in of_node.names]).cast(of_node).alias("nodeData"))
+    kept.unionByName(grown).write.mode("overwrite").parquet(data)
+    stats = {(tree, n.leaf): n.stats for tree, n in leaves}
+    return StoredForest(top, path, data, features, points, weight, routes, stats, whole)
