@@ -47,6 +47,8 @@ def test_nothing_loads_the_forest_to_the_driver(spark, rows, monkeypatch):
     model = ML.train_forest(rows, FEATURES, params=PARAMS)
     assert ML.predict(model, rows, FEATURES, ["id"]).count() == 900
     assert sum(r.importance for r in ML.importances(spark, model, FEATURES, top=None).collect()) == pytest.approx(1.0)
+    folds = ML.cross_validate(spark, rows, FEATURES, ["id"], k=2, params=PARAMS)
+    assert {r.fold for r in folds.collect()} == {"0", "1", "mean", "std"}
 
 
 @pytest.mark.parametrize(("nodes", "block"), [(2_000_000, 250_000), (500, 100), (40, 100)])
